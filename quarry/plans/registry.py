@@ -278,3 +278,13 @@ ORACLE_SQL = {
                    * log10(d.nd / CAST(df.doc_freq AS DOUBLE)), 8) AS tfidf
       FROM c JOIN tot USING (doc_id) JOIN df USING (word), d""",
 }
+
+
+def _register_streams():
+    from quarry.plans.streams import STREAM_ORACLE_SQL, STREAM_QUERIES
+
+    QUERIES.update(STREAM_QUERIES)
+    ORACLE_SQL.update(STREAM_ORACLE_SQL)
+
+
+_register_streams()
