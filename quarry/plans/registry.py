@@ -288,3 +288,14 @@ def _register_streams():
 
 
 _register_streams()
+
+
+def _register_loads():
+    from quarry.plans.loads import LOAD_ORACLE_SQL, LOAD_QUERIES
+
+    QUERIES.update(LOAD_QUERIES)
+    ORACLE_SQL.update(LOAD_ORACLE_SQL)
+    ORACLE_SQL["packed_tfidf"] = ORACLE_SQL["tfidf"]
+
+
+_register_loads()
