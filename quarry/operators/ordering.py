@@ -36,15 +36,6 @@ def top_k(df: DataFrame, k: int, by: str = "count", tiebreak: str = "name") -> D
     return df.orderBy(F.col(by).desc(), F.col(tiebreak).asc()).limit(k)
 
 
-def nested_sorted(df: DataFrame, keys: list[str], order: str, value_cols: list[str],
-                  out: str = "items") -> DataFrame:
-    """Per group, its rows as an array sorted by ``order`` (Pig's nested
-    ORDER).  The array holds one whole group in one row: use only for groups
-    of bounded size; series work should use ``quarry.plans.scan``."""
-    return df.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(order, *value_cols))).alias(out))
-
-
 def partition_by_first_letter(df: DataFrame, key: str, n: int, base: str | None = None) -> DataFrame:
     """Place rows by first character of ``key`` (``pmod`` keeps the index
     in ``[0, n)`` where the reference could go negative)."""
@@ -62,7 +53,8 @@ def fixed_outputs(df: DataFrame, n: int) -> DataFrame:
 
 
 def secondary_sort(df: DataFrame, group: list, order: list, num_partitions: int | None = None) -> DataFrame:
-    """Group on part of a key, ordered by the rest.  A range partition on
+    """Group on part of a key, ordered by the rest (Pig's nested
+    ORDER without building one bag per group).  A range partition on
     ``group + order`` keeps each group's rows contiguous and in order while
     still cutting a very large group across partitions."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -22,18 +22,6 @@ def dividend_changes(df: DataFrame, key: str, order: list[str], value: str, eps:
                          pass_cols=[key, *order, value])
 
 
-def dividend_changes_lag(df: DataFrame, key: str, order: list[str], value: str, eps: float = 1e-6,
-                         change_col: str = "change") -> DataFrame:
-    """W1 fast form with ``lag``: equal to the fold when no step lies in
-    ``(0, 2*eps]``.  Uses a key-partitioned window: for keys of bounded size."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(key).orderBy(*order)
-    prev = F.coalesce(F.lag(value).over(w), F.lit(0.0))
-    return (df.select(key, *order, value, (F.col(value) - prev).alias(change_col))
-            .where(F.abs(F.col(change_col)) > F.lit(eps)))
-
-
 def price_series(df: DataFrame, key: str, order: str | list[str], value: str) -> DataFrame:
     """(key, order, value) in (key, order) order (range-partitioned sort)."""
     order = [order] if isinstance(order, str) else list(order)

@@ -164,6 +164,13 @@ def inverted_index(spark, sf):
                                block_size=INDEX_BLOCK)
 
 
+def english_word_count(spark, sf):
+    """F8: analysed (stemmed) word counts of the English documents."""
+    from quarry.operators.english import english_word_count as ewc
+
+    return ewc(table(spark, sf, "documents").where(F.col("lang") == F.lit("en")), "text")
+
+
 def tfidf_scores(spark, sf):
     """M2 (A8 + A9 + A10, F9, P12): tf-idf of every kept word of every document."""
     return tfidf(table(spark, sf, "documents"), "doc_id", "text")
@@ -189,6 +196,7 @@ QUERIES = {
     "semi_join_bloom": semi_join_bloom,
     "inverted_index": inverted_index,
     "tfidf": tfidf_scores,
+    "english_word_count": english_word_count,
 }
 
 
