@@ -14,6 +14,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.stemmer import stem
 from quarry.functions.tokenize import split_lines
@@ -28,7 +29,7 @@ ENGLISH_STOPWORDS = [
 WORD = "[\\p{L}\\p{M}\\p{N}_]+(?:['’][\\p{L}\\p{M}\\p{N}_]+)*"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def porter_stem(words: pd.Series) -> pd.Series:
     return words.map(stem)
 

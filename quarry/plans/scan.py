@@ -316,7 +316,7 @@ class OrderedScan:
             if first is not None:
                 yield pd.DataFrame([{_PID: pid, "first_key": first["first_key"], "last_key": first["last_key"],
                                      "last_is_first": first["last_is_first"],
-                                     "local": json.dumps(first["local"])}])
+                                     "local": json.dumps(first["local"], default=_py)}])
 
         return sorted_df.mapInPandas(summarize, _SUMMARY_SCHEMA)
 
@@ -336,7 +336,7 @@ class OrderedScan:
             for r in rows.to_dict("records"):
                 carry_in = prev_carry if (prev_last_key is not None and r["first_key"] == prev_last_key) else None
                 if carry_in is not None:
-                    out.append({_PID: int(r[_PID]), "_carry_key": r["first_key"], "_carry": json.dumps(carry_in)})
+                    out.append({_PID: int(r[_PID]), "_carry_key": r["first_key"], "_carry": json.dumps(carry_in, default=_py)})
                 local = json.loads(r["local"])
                 prev_carry = recipe.resolve(carry_in if r["last_is_first"] else None, local)
                 prev_last_key = r["last_key"]
