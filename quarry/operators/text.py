@@ -55,33 +55,56 @@ def grep_count(df: DataFrame, search: str, text_col: str = "text",
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
 
-def matching_lines(df: DataFrame, search: str, text_col: str = "text", keep=(),
-                   strict: bool = False) -> DataFrame:
-    """P10: one output row per word of a line that contains ``search``.
-
-    Each row carries ``sort_key = word0 + ' ' + word2`` of its line (words
-    from ``java_split(line, ' ')``).  The reference fails on a matching line
-    with fewer than three words; ``strict=True`` keeps that (ANSI index error),
-    the default uses an empty string for the missing words.
+def matching_line_counts(df: DataFrame, search: str, text_col: str = "text", keep=(),
+                         strict: bool = False) -> DataFrame:
+    """P10, one row per matching line: ``(sort_key, line, hits)``.
+
+    ``hits`` is the number of words of ``java_split(line, ' ')`` that contain
+    ``search`` and ``sort_key = word0 + ' ' + word2``.  A word can only
+    contain ``search`` if its line (and document) does, so both are
+    filtered with a plain substring test before any splitting.  The
+    reference fails on a matching line with fewer than three words;
+    ``strict=True`` keeps that (ANSI index error), the default uses an empty
+    string for the missing words.
     """
-    lines = explode_lines(df, text_col, keep=keep)
-    words = java_split(F.col("line"), " ")
+    needle = F.lit(search)
+    docs = df.where(F.col(text_col).contains(needle))
+    lines = explode_lines(docs, text_col, keep=keep).where(F.col("line").contains(needle))
+    staged = lines.select(*keep, "line", java_split(F.col("line"), " ").alias("_w"))
+    words = F.col("_w")
     pick = (lambda i: F.element_at(words, i)) if strict else (
         lambda i: F.coalesce(F.try_element_at(words, F.lit(i)), F.lit("")))
-    hits = F.filter(words, lambda w: w.contains(F.lit(search)))
-    return (lines
-            .select(*keep, "line", F.concat(pick(1), F.lit(" "), pick(3)).alias("sort_key"),
-                    F.explode(hits).alias("_hit"))
-            .drop("_hit"))
+    hits = F.size(F.filter(words, lambda w: w.contains(needle)))
+    return (staged.select(*keep, "line", F.concat(pick(1), F.lit(" "), pick(3)).alias("sort_key"),
+                          hits.alias("hits"))
+            .where(F.col("hits") > 0))
+
+
+def repeat_by_hits(counted: DataFrame, hits: str = "hits") -> DataFrame:
+    """One row per hit (order within a partition is kept)."""
+    return (counted.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col(hits))))
+            .drop("_rep", hits))
+
+
+def matching_lines(df: DataFrame, search: str, text_col: str = "text", keep=(),
+                   strict: bool = False) -> DataFrame:
+    """P10: one output row per word of a line that contains ``search``,
+    carrying the line and its ``sort_key``."""
+    return repeat_by_hits(matching_line_counts(df, search, text_col, keep, strict))
 
 
 def lines_ordered_by_key(matched: DataFrame, key: str = "sort_key", value: str = "line") -> DataFrame:
     """Group by key, pass every row, drop the key: a total order by key.
 
     ``orderBy`` range-partitions on sampled cut points, so a hot key does not
-    land in a single task the way a hash group would.
+    land in a single task the way a hash group would.  Given
+    ``matching_line_counts`` output, lines are sorted once and repeated
+    after the sort.
     """
-    return matched.orderBy(key, value).select(value)
+    ordered = matched.orderBy(key, value)
+    if "hits" in matched.columns:
+        ordered = repeat_by_hits(ordered)
+    return ordered.select(value)
 
 
 def inverted_index(df: DataFrame, url_col: str, terms_col: str, distinct: bool = False,
@@ -100,20 +123,22 @@ def inverted_index(df: DataFrame, url_col: str, terms_col: str, distinct: bool =
     from quarry.plans.scan import row_index
 
     postings = df.select(F.explode(terms_col).alias("term"), F.col(url_col).alias("url"))
-    if distinct:
-        postings = postings.distinct()
     if block_col is not None:
         if block_col != url_col:
             raise ValueError("block_col must be the url column itself (a unique integer id)")
-        postings = postings.withColumn("block", F.floor(F.col("url") / F.lit(block_size)).cast("long"))
+        # one shuffle: duplicates fall out inside the (partial) set aggregate
+        blocked = postings.withColumn("block", F.floor(F.col("url") / F.lit(block_size)).cast("long"))
+        urls = F.array_sort(F.collect_set("url") if distinct else F.collect_list("url"))
     else:
-        postings = (row_index(postings, ["term"], ["url"], out_col="_rn")
-                    .withColumn("block", F.floor((F.col("_rn") - 1) / F.lit(block_size)).cast("long"))
-                    .drop("_rn"))
-    return (postings.groupBy("term", "block")
-            .agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_list("url")),
-                                              lambda u: u.cast("string"))).alias("urls"),
-                 F.count(F.lit(1)).alias("n_urls")))
+        if distinct:
+            postings = postings.distinct()
+        blocked = (row_index(postings, ["term"], ["url"], out_col="_rn")
+                   .withColumn("block", F.floor((F.col("_rn") - 1) / F.lit(block_size)).cast("long"))
+                   .drop("_rn"))
+        urls = F.array_sort(F.collect_list("url"))
+    return (blocked.groupBy("term", "block").agg(urls.alias("_u"))
+            .select("term", "block", F.concat_ws(",", F.transform("_u", lambda u: u.cast("string"))).alias("urls"),
+                    F.size("_u").cast("long").alias("n_urls")))
 
 
 def name_count(df: DataFrame, name: Column | str, count_col: str = "count") -> DataFrame:

@@ -38,8 +38,8 @@ def grep_count(spark, sf):
 
 def grep_lines(spark, sf):
     """P10 + A15 + F3: each line once per matching word, in key order."""
-    matched = text.matching_lines(table(spark, sf, "documents"), GREP_SEARCH, "text")
-    return matched.orderBy("sort_key", "line")
+    counted = text.matching_line_counts(table(spark, sf, "documents"), GREP_SEARCH, "text")
+    return text.repeat_by_hits(counted.orderBy("sort_key", "line")).select("sort_key", "line")
 
 
 def avg_by_key(spark, sf):
@@ -159,8 +159,11 @@ def semi_join_bloom(spark, sf):
 
 def inverted_index(spark, sf):
     """Word -> sorted document ids, in bounded blocks of ids."""
-    docs = table(spark, sf, "documents").select("doc_id", text.token_array("text", "regex_words").alias("terms"))
-    return text.inverted_index(docs, "doc_id", "terms", distinct=True, block_col="doc_id",
+    # doc_id is unique per row, so de-duplicating terms inside each row is the
+    # (term, doc) distinct without a shuffle
+    terms = F.array_distinct(text.token_array("text", "regex_words", per_line=False))
+    docs = table(spark, sf, "documents").select("doc_id", terms.alias("terms"))
+    return text.inverted_index(docs, "doc_id", "terms", distinct=False, block_col="doc_id",
                                block_size=INDEX_BLOCK)
 
 
