@@ -43,10 +43,14 @@ def extremes(df: DataFrame, keys: list, high: str, low: str, extra_max: str,
 def max_with_date(df: DataFrame, key: str, value: str, date: str,
                   out=("max_value", "max_date")) -> DataFrame:
     """Per key, the maximum ``value`` and the (earliest) ``date`` it
-    occurred on.  ``min_by`` over ``(-value, date)`` picks the date of the
-    maximum and breaks ties by the earliest date, in one partial aggregate."""
-    order = F.struct((-F.col(value)).alias("neg"), F.col(date).alias("d"))
-    return df.groupBy(key).agg(F.max(value).alias(out[0]), F.min_by(F.col(date), order).alias(out[1]))
+    occurred on.
+
+    Two hash aggregates, both partial: the earliest date per (key, value),
+    then ``max_by`` over values that are now unique per key, so the pick is
+    deterministic.  A hot key is spread over its distinct values in the first
+    step and reduced map-side in both."""
+    per_value = df.groupBy(key, value).agg(F.min(date).alias("_d"))
+    return per_value.groupBy(key).agg(F.max(value).alias(out[0]), F.max_by("_d", value).alias(out[1]))
 
 
 def total_of(df: DataFrame, value: str, out: str = "sum") -> DataFrame:
