@@ -77,13 +77,15 @@ def split_escaped(text, sep: str = " ", escape: str = "\\") -> Column:
     # mark every (escape, char) pair left to right, then protect escaped seps
     marked = F.regexp_replace(c, f"{esc_re}([\\s\\S])", _ESC_MARK + "$1")
     marked = F.regexp_replace(marked, _ESC_MARK + sep_re, _ESC_MARK + _SEP_MARK)
-    parts = java_split(marked, sep_re)
-    parts = F.when(c == F.lit(""), F.array().cast("array<string>")).otherwise(parts)
-    return F.transform(
-        parts,
+    escaped = F.transform(
+        java_split(marked, sep_re),
         lambda w: F.regexp_replace(F.regexp_replace(w, _SEP_MARK, sep), _ESC_MARK,
                                    escape.replace("\\", "\\\\").replace("$", "\\$")),
     )
+    # without an escape char the marking is a no-op: plain split
+    return (F.when(c == F.lit(""), F.array().cast("array<string>"))
+            .when(c.contains(F.lit(escape)), escaped)
+            .otherwise(java_split(c, sep_re)))
 
 
 def split_tokenizer(text) -> Column:

@@ -50,7 +50,8 @@ def grep_count(df: DataFrame, search: str, text_col: str = "text",
     The filter runs before the aggregation, and the aggregation is partial,
     exactly the mapper/combiner/reducer split of the reference.
     """
-    return (tokens(df, text_col, tokenizer)
+    # a word can only contain ``search`` if its document does
+    return (tokens(df.where(F.col(text_col).contains(F.lit(search))), text_col, tokenizer)
             .where(contains("word", search))
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
@@ -136,7 +137,9 @@ def inverted_index(df: DataFrame, url_col: str, terms_col: str, distinct: bool =
                    .withColumn("block", F.floor((F.col("_rn") - 1) / F.lit(block_size)).cast("long"))
                    .drop("_rn"))
         urls = F.array_sort(F.collect_list("url"))
-    return (blocked.groupBy("term", "block").agg(urls.alias("_u"))
+    # blocks are bounded, so no partial aggregate is needed: partition on the
+    # group key first and let one (final) aggregate build each list
+    return (blocked.repartition("term", "block").groupBy("term", "block").agg(urls.alias("_u"))
             .select("term", "block", F.concat_ws(",", F.transform("_u", lambda u: u.cast("string"))).alias("urls"),
                     F.size("_u").cast("long").alias("n_urls")))
 
