@@ -37,8 +37,10 @@ def top_k(df: DataFrame, k: int, by: str = "count", tiebreak: str = "name") -> D
 
 
 def partition_by_first_letter(df: DataFrame, key: str, n: int, base: str | None = None) -> DataFrame:
-    """Place rows by first character of ``key`` (``pmod`` keeps the index
-    in ``[0, n)`` where the reference could go negative)."""
+    """Place rows by first character of ``key``: rows with the same index
+    ``pmod(code(c0) [- code(base)], n)`` share a partition (``pmod`` keeps the
+    index in ``[0, n)`` where the reference could go negative).  The index is
+    a placement hint: Spark hashes it onto the ``n`` partitions."""
     return df.repartition(n, first_char_partition(key, n, base))
 
 
