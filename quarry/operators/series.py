@@ -48,11 +48,12 @@ def best_window(df: DataFrame, key: str, order: list[str], value: str, width: in
     hot key is reduced map-side."""
     rolled = rolling_mean(df, [key], order, value, width, "_avg", num_partitions,
                           pass_cols=[key, *order, value])
-    full = rolled.where(F.col("n_in_window") == F.lit(width))
-    best = full.groupBy(key).agg(F.max(F.struct(
-        F.round("_avg", places).alias("avg"), (-F.col("rn")).alias("neg_rn"),
-        *[F.col(c).alias(c) for c in order])).alias("b"))
-    return best.select(key, *[F.col(f"b.{c}").alias(c) for c in order], F.col("b.avg").alias(out))
+    full = rolled.where(F.col("n_in_window") == F.lit(width)).withColumn("_a", F.round("_avg", places))
+    # two hash aggregates: the first window per (key, mean), then the
+    # largest mean per key, which is unique after the first step
+    first = full.groupBy(key, "_a").agg(*[F.min_by(c, "rn").alias(c) for c in order])
+    best = first.groupBy(key).agg(F.max("_a").alias(out), *[F.max_by(c, "_a").alias(c) for c in order])
+    return best.select(key, *order, out)
 
 
 def highest_window_by_group(df: DataFrame, key: str, order: str, value: str, width: int = 4) -> DataFrame:
