@@ -15,22 +15,24 @@ from quarry.plans.tables import table
 from quarry.session import scratch_path
 from quarry.streaming import wordcount as wc
 
-STREAM_FILES = 8          # staged files
-FILES_PER_TRIGGER = 2     # -> several micro-batches
+STREAM_FILES = 8          # staged files at least (more with more shuffle partitions)
+MICRO_BATCHES = 4         # the replay is cut into this many micro-batches
 STREAM_TOKENIZER = "whitespace"
 REQUEST_ROLE = "user"
 
 
-def _staged_conversations(spark: SparkSession, sf: str) -> tuple[str, object]:
+def _staged_conversations(spark: SparkSession, sf: str) -> tuple[str, object, int]:
+    """Stage the table as balanced files; returns (path, schema, files per trigger)."""
     src = table(spark, sf, "conversations")
     path = scratch_path(spark, "conversations-stream")
-    src.repartition(STREAM_FILES).write.parquet(path)
-    return path, src.schema
+    n = max(STREAM_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    src.repartition(n).write.parquet(path)
+    return path, src.schema, max(1, n // MICRO_BATCHES)
 
 
 def _words_stream(spark, sf):
-    path, schema = _staged_conversations(spark, sf)
-    stream = wc.file_stream(spark, path, schema, "parquet", FILES_PER_TRIGGER)
+    path, schema, per_trigger = _staged_conversations(spark, sf)
+    stream = wc.file_stream(spark, path, schema, "parquet", per_trigger)
     return wc.split_sentences(stream, "text", STREAM_TOKENIZER)
 
 
@@ -75,8 +77,8 @@ def state_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_archive(spark: SparkSession, sf: str) -> DataFrame:
     """The stream appended to rolling JSON-lines files, read back."""
-    path, schema = _staged_conversations(spark, sf)
-    stream = wc.file_stream(spark, path, schema, "parquet", FILES_PER_TRIGGER)
+    path, schema, per_trigger = _staged_conversations(spark, sf)
+    stream = wc.file_stream(spark, path, schema, "parquet", per_trigger)
     out = scratch_path(spark, "archive")
     q = wc.start_archive(stream, out, scratch_path(spark, "archive-ckpt"), fmt="json",
                          max_records_per_file=1000)
