@@ -5,7 +5,8 @@ key holds a third of all rows that task holds a third of the data.  The scan
 here instead
 
 1. range-partitions on ``(keys..., order...)`` with an explicit partition
-   count (Spark samples cut points on the whole composite key, so a hot key
+   count (by default the input's split count, so slices follow the data
+   size; Spark samples cut points on the whole composite key, so a hot key
    is cut into many contiguous slices) and sorts within each partition;
 2. runs a vectorised pandas pass per partition (``mapInPandas``) that
    returns one summary row per partition: its first and last key and the
@@ -289,10 +290,12 @@ class OrderedScan:
     pass_cols: list[str] = field(default_factory=list)
 
     def _sorted(self, df: DataFrame) -> DataFrame:
-        spark = df.sparkSession
-        n = self.num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         cols = list(dict.fromkeys(self.pass_cols + self.keys + self.order + self.recipe.needs))
-        return (df.select(*cols)
+        narrow = df.select(*cols)
+        # sized by the data: as many slices as the input has splits
+        # (spark.sql.files.maxPartitionBytes each), unless given
+        n = self.num_partitions or max(1, narrow.rdd.getNumPartitions())
+        return (narrow
                 .repartitionByRange(n, *self.keys, *self.order)
                 .sortWithinPartitions(*self.keys, *self.order)
                 .withColumn(_PID, F.spark_partition_id()))
