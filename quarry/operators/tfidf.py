@@ -29,7 +29,11 @@ def kept_terms(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                stopwords=STOPWORDS) -> DataFrame:
     """F9 + P12: ASCII word runs, lower-cased; keep those starting with a
     letter, without underscore, not in the stop list -> (word, doc)."""
-    words = docs.select(F.col(doc_col).alias("doc"), F.explode(regex_words(text_col)).alias("word"))
+    # the joins below drop null documents anyway; filtering here makes the
+    # three uses of the term counts one identical plan, so Spark computes
+    # the tokens and their shuffle once (ReusedExchange)
+    words = (docs.where(F.col(doc_col).isNotNull())
+             .select(F.col(doc_col).alias("doc"), F.explode(regex_words(text_col)).alias("word")))
     return words.where(F.col("word").rlike("^[a-z][a-z0-9]*$") & ~F.col("word").isin(list(stopwords)))
 
 
@@ -53,7 +57,9 @@ def tfidf(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
     (the reference printed it with at most 8 decimals; see
     ``quarry.functions.format_decimals`` for that text form)."""
     counts = term_counts(kept_terms(docs, doc_col, text_col, stopwords))
-    dfreq = counts.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
+    # documents where the word occurs; reading ``n`` keeps this branch the same
+    # plan as the others below the shuffle, so it is computed once
+    dfreq = counts.groupBy("word").agg(F.count_if(F.col("n") > 0).cast("long").alias("doc_freq"))
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     scored = (with_doc_totals(counts).join(dfreq, "word")
               .withColumn("tfidf", (F.col("n").cast("double") / F.col("total_terms").cast("double"))
