@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import composite_key, contains, reformat_date
+from quarry.functions.columns import composite_key, contains, format_decimals, reformat_date
+from quarry.functions.tokenize import head_and_rest
+from quarry.functions.udfs import python_split
 from quarry.operators import aggregate, bloom, joins, ordering, series, text
 from quarry.operators.tfidf import STOPWORDS, tfidf
 from quarry.plans.tables import table
@@ -179,6 +181,49 @@ def tfidf_scores(spark, sf):
     return tfidf(table(spark, sf, "documents"), "doc_id", "text")
 
 
+def report_lines(spark, sf):
+    """S20 + F19: the top-50 report printed as fixed-width lines."""
+    from quarry.sources.sinks import report_lines as lines
+
+    return lines(top50_filtered(spark, sf), "name", "count")
+
+
+def tfidf_text(spark, sf):
+    """F16: tf-idf as the reference's text (at most 8 decimals, no trailing zeros)."""
+    scored = tfidf(table(spark, sf, "documents"), "doc_id", "text", places=None)
+    return scored.select("word", "doc_id", format_decimals("tfidf", 8).alias("tfidf_text"))
+
+
+def python_split_count(spark, sf):
+    """U4 + F6: words from Python's ``str.split(' ')`` on Arrow batches of
+    lines (every empty piece kept), counted."""
+    lines = text.explode_lines(table(spark, sf, "documents"), "text", line_col="sentence")
+    return python_split(lines, "sentence").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+
+def mean_by_segment(spark, sf):
+    """A3 + F11: mean balance per trimmed market segment (string key)."""
+    out = aggregate.mean_by_key(table(spark, sf, "customer"), "c_mktsegment", "c_acctbal", "avg_acctbal")
+    return out.withColumn("avg_acctbal", F.round("avg_acctbal", 6))
+
+
+def semi_join_unmatched(spark, sf):
+    """J4's counter (A16) as a query: urgent orders without a returned line."""
+    orders, lines = _semi_sides(spark, sf)
+    return joins.anti_count(orders, lines.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+
+
+def inverted_index_lines(spark, sf):
+    """F7 + A7 on the reference's line shape ``url,term,term,...``: the url
+    is text, so blocks are runs of 100 urls in url order (ordered scan)."""
+    terms = F.array_distinct(text.token_array("text", "regex_words", per_line=False))
+    lines = table(spark, sf, "documents").select(
+        F.concat_ws(",", F.col("doc_id").cast("string"), terms).alias("line"))
+    url, rest = head_and_rest(F.col("line"))
+    parsed = lines.select(url.alias("url"), rest.alias("terms"))
+    return text.inverted_index(parsed, "url", "terms", distinct=False, block_size=INDEX_BLOCK)
+
+
 QUERIES = {
     "word_count": word_count,
     "grep_count": grep_count,
@@ -200,6 +245,12 @@ QUERIES = {
     "inverted_index": inverted_index,
     "tfidf": tfidf_scores,
     "english_word_count": english_word_count,
+    "report_lines": report_lines,
+    "tfidf_text": tfidf_text,
+    "python_split_count": python_split_count,
+    "mean_by_segment": mean_by_segment,
+    "semi_join_unmatched": semi_join_unmatched,
+    "inverted_index_lines": inverted_index_lines,
 }
 
 
@@ -217,6 +268,19 @@ _EXTREMES = """
   FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey"""
 _W = "PARTITION BY user_id ORDER BY ts, event_id"
 
+_TFIDF_SQL = (f"""
+      WITH t AS (SELECT doc_id, w AS word FROM (SELECT doc_id, unnest({_REGEX_WORDS}) AS w FROM documents)
+                 WHERE regexp_matches(w, '^[a-z][a-z0-9]*$') AND w NOT IN ({_STOP})),
+           c AS (SELECT word, doc_id, count(*) AS n FROM t GROUP BY word, doc_id),
+           tot AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS total_terms FROM c GROUP BY doc_id),
+           df AS (SELECT word, count(*) AS doc_freq FROM c GROUP BY word),
+           d AS (SELECT CAST(count(*) AS DOUBLE) AS nd FROM documents),
+           s AS (SELECT c.word, c.doc_id, c.n, tot.total_terms, df.doc_freq,
+                        (CAST(c.n AS DOUBLE) / CAST(tot.total_terms AS DOUBLE))
+                        * log10(d.nd / CAST(df.doc_freq AS DOUBLE)) AS _raw
+                 FROM c JOIN tot USING (doc_id) JOIN df USING (word), d)
+      SELECT word, doc_id, """ + "{cols}{score} FROM s")
+
 ORACLE_SQL = {
     "word_count": f"SELECT word, count(*) AS count FROM ({_WORDS_SPACE}) WHERE word <> '' GROUP BY word",
     "grep_count": (f"SELECT word, count(*) AS count FROM ({_WORDS_SPACE}) "
@@ -277,19 +341,25 @@ ORACLE_SQL = {
              string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS urls, count(*) AS n_urls
       FROM (SELECT DISTINCT unnest({_REGEX_WORDS}) AS term, doc_id FROM documents)
       GROUP BY term, block""",
-    "tfidf": f"""
-      WITH t AS (SELECT doc_id, w AS word FROM (SELECT doc_id, unnest({_REGEX_WORDS}) AS w FROM documents)
-                 WHERE regexp_matches(w, '^[a-z][a-z0-9]*$') AND w NOT IN ({_STOP})),
-           c AS (SELECT word, doc_id, count(*) AS n FROM t GROUP BY word, doc_id),
-           tot AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS total_terms FROM c GROUP BY doc_id),
-           df AS (SELECT word, count(*) AS doc_freq FROM c GROUP BY word),
-           d AS (SELECT CAST(count(*) AS DOUBLE) AS nd FROM documents)
-      SELECT c.word, c.doc_id, c.n, tot.total_terms, df.doc_freq,
-             round((CAST(c.n AS DOUBLE) / CAST(tot.total_terms AS DOUBLE))
-                   * log10(d.nd / CAST(df.doc_freq AS DOUBLE)), 8) AS tfidf
-      FROM c JOIN tot USING (doc_id) JOIN df USING (word), d""",
+    "tfidf": _TFIDF_SQL.format(score="round(_raw, 8) AS tfidf", cols="n, total_terms, doc_freq, "),
+    "tfidf_text": _TFIDF_SQL.format(score="rtrim(rtrim(printf('%.8f', _raw), '0'), '.') AS tfidf_text", cols=""),
+    "python_split_count": (f"SELECT word, count(*) AS count FROM ({_WORDS_SPACE}) GROUP BY word"),
+    "mean_by_segment": ("SELECT trim(c_mktsegment) AS c_mktsegment, round(avg(c_acctbal), 6) AS avg_acctbal "
+                        "FROM customer GROUP BY 1"),
+    "semi_join_unmatched": (f"SELECT count(*) AS unmatched FROM orders WHERE o_orderpriority = '{SEMI_PRIORITY}' "
+                            f"AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey "
+                            f"AND l_returnflag = '{SEMI_RETURNFLAG}')"),
+    "inverted_index_lines": f"""
+      WITH p AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS url, unnest({_REGEX_WORDS}) AS term FROM documents),
+           r AS (SELECT term, url, (row_number() OVER (PARTITION BY term ORDER BY url) - 1) // {INDEX_BLOCK} AS block
+                 FROM p)
+      SELECT term, block, string_agg(url, ',' ORDER BY url) AS urls, count(*) AS n_urls
+      FROM r GROUP BY term, block""",
 }
 
+ORACLE_SQL["report_lines"] = (f"SELECT printf('%-35s%d', name, count) AS line "
+                              f"FROM ({ORACLE_SQL['top50_filtered']})")
+
 
 def _register_streams():
     from quarry.plans.streams import STREAM_ORACLE_SQL, STREAM_QUERIES
