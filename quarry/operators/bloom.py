@@ -84,14 +84,17 @@ def bloom_semi_join(big: DataFrame, small: DataFrame, big_key: str, small_key: s
                     verify: bool = True) -> DataFrame:
     """Build the filter over ``small``'s keys, drop rows of ``big``
     that cannot match before any shuffle, then (``verify``) make the result
-    exact with a semi join.  Give ``expected_keys`` to size the filter for
-    ``fp_rate`` instead of the reference's fixed 10,000 bits / 2 hashes."""
+    exact with a semi join.  Give ``expected_keys`` (or ``"auto"``: an
+    approximate distinct count of the small side) to size the filter for
+    ``fp_rate`` instead of the reference's fixed 10,000 bits / 2 hashes,
+    which saturates once the key set is large."""
+    if expected_keys == "auto":
+        # one small aggregate job; its scalar result sizes the filter
+        expected_keys = int(small.select(F.approx_count_distinct(small_key)).first()[0] or 0)
     if expected_keys is not None:
         m, k = optimal_shape(expected_keys, fp_rate)
     filt = build_filter(small, small_key, m, k)
     candidates = bloom_prefilter(big, big_key, filt, m, k)
     if not verify:
         return candidates
-    keys = small.select(F.col(small_key).alias(big_key)).distinct() if small_key != big_key else \
-        small.select(big_key).distinct()
-    return semi_join(candidates, keys, big_key)
+    return semi_join(candidates, small.select(F.col(small_key).alias(big_key)), big_key)

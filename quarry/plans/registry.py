@@ -156,7 +156,7 @@ def semi_join_exact(spark, sf):
 def semi_join_bloom(spark, sf):
     """A13 + J5 + M1: the same through a Bloom pre-filter, verified exact."""
     orders, lines = _semi_sides(spark, sf)
-    return bloom.bloom_semi_join(orders, lines, "o_orderkey", "l_orderkey")
+    return bloom.bloom_semi_join(orders, lines, "o_orderkey", "l_orderkey", expected_keys="auto")
 
 
 def inverted_index(spark, sf):
