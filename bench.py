@@ -25,7 +25,8 @@ HEADLINE = [
     "word_count", "grep_count", "grep_lines", "avg_by_key", "sum_total_order", "group_sort", "top50_filtered",
     "left_join_year_extremes", "left_join_key_extremes", "broadcast_join", "max_by_key", "value_change",
     "moving_average", "best_window", "series_sorted", "semi_join_exact", "semi_join_bloom", "inverted_index",
-    "tfidf", "english_word_count",
+    "tfidf", "english_word_count", "report_lines", "tfidf_text", "python_split_count", "mean_by_segment",
+    "semi_join_unmatched", "inverted_index_lines",
 ]
 
 

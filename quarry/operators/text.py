@@ -133,7 +133,7 @@ def inverted_index(df: DataFrame, url_col: str, terms_col: str, distinct: bool =
     else:
         if distinct:
             postings = postings.distinct()
-        blocked = (row_index(postings, ["term"], ["url"], out_col="_rn")
+        blocked = (row_index(postings, ["term"], ["url"], out_col="_rn", materialize=True)
                    .withColumn("block", F.floor((F.col("_rn") - 1) / F.lit(block_size)).cast("long"))
                    .drop("_rn"))
         urls = F.array_sort(F.collect_list("url"))

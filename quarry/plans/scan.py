@@ -44,11 +44,16 @@ _PID = "_pid"
 
 
 class Recipe:
-    """One kind of per-key sequential computation.
+    """One kind of per-key sequential computation, vectorised over a batch.
+
+    ``run_batch(cols, starts, carry, track)`` processes one Arrow batch
+    whose rows are sorted by key; ``starts`` are the offsets where a new key
+    run begins (``starts[0] == 0``).  ``carry`` continues the first run
+    (``None`` = that key starts here).  It returns ``(outputs, keep_mask or
+    None, carry_out)`` where ``carry_out`` is the state after the batch's
+    last run.  ``track`` asks the recipe to also record what
+    ``resolve`` needs when the batch holds a single run.
 
-    ``run(cols, carry, track)`` processes one run of rows of a single key
-    (arrays in order) starting from ``carry`` (``None`` = the key starts
-    here) and returns ``(outputs, keep_mask_or_None, carry_out)``.
     ``resolve(carry_in, local)`` gives the carry at the end of a partition
     made of one run that continues a key, from the carry coming in and the
     ``local`` carry computed as if the key had started in that partition.
@@ -57,13 +62,20 @@ class Recipe:
     out_fields: list[T.StructField] = []
     needs: list[str] = []
 
-    def run(self, cols: dict, carry: dict | None, track: bool):
+    def run_batch(self, cols: dict, starts: np.ndarray, carry: dict | None, track: bool):
         raise NotImplementedError
 
     def resolve(self, carry_in: dict | None, local: dict) -> dict:
         raise NotImplementedError
 
 
+def _layout(n: int, starts: np.ndarray):
+    """Run id and run start offset of every row."""
+    lengths = np.diff(np.append(starts, n))
+    run_id = np.repeat(np.arange(len(starts)), lengths)
+    return run_id, starts[run_id]
+
+
 class RowIndex(Recipe):
     """1-based row number within the key."""
 
@@ -72,10 +84,13 @@ class RowIndex(Recipe):
         self.out_fields = [T.StructField(out_col, T.LongType(), False)]
         self.needs = []
 
-    def run(self, cols, carry, track):
-        n = cols["__n"] if "__n" in cols else len(next(iter(cols.values())))
-        before = carry["cnt"] if carry else 0
-        return {self.out_col: np.arange(before + 1, before + n + 1, dtype=np.int64)}, None, {"cnt": before + n}
+    def run_batch(self, cols, starts, carry, track):
+        n = cols["__n"]
+        run_id, run_start = _layout(n, starts)
+        rn = np.arange(n, dtype=np.int64) - run_start + 1
+        if carry:
+            rn[run_id == 0] += int(carry["cnt"])
+        return {self.out_col: rn}, None, {"cnt": int(rn[-1])}
 
     def resolve(self, carry_in, local):
         return {"cnt": (carry_in["cnt"] if carry_in else 0) + local["cnt"]}
@@ -83,7 +98,8 @@ class RowIndex(Recipe):
 
 class Rolling(Recipe):
     """Trailing mean over the last ``width`` rows of ``value`` (fewer at the
-    start of a key), with the row number and the number of rows averaged."""
+    start of a key), with the row number and the number of rows averaged.
+    Each window is summed afresh (no running add/subtract drift)."""
 
     def __init__(self, value: str, width: int, mean_col: str = "moving_avg", rn_col: str = "rn",
                  n_col: str = "n_in_window"):
@@ -96,25 +112,29 @@ class Rolling(Recipe):
                            T.StructField(rn_col, T.LongType(), False),
                            T.StructField(n_col, T.LongType(), False)]
 
-    def run(self, cols, carry, track):
+    def run_batch(self, cols, starts, carry, track):
         v = cols[self.value].astype("float64")
-        before = carry["cnt"] if carry else 0
+        n, w, h = len(v), self.width, self.width - 1
+        run_id, run_start = _layout(n, starts)
         tail = np.asarray(carry["tail"] if carry else [], dtype="float64")
-        h = self.width - 1
+        off = len(tail)
         ext = np.concatenate([tail, v])
-        n = len(v)
-        # window sums computed afresh per row (no running add/subtract drift)
-        pad = np.concatenate([np.full(self.width - 1 - len(tail), np.nan), ext]) if self.width > 1 else ext
-        if self.width > 1:
-            win = np.lib.stride_tricks.sliding_window_view(pad, self.width)[-n:]
-        else:
-            win = pad.reshape(-1, 1)[-n:]
-        cnt = np.sum(~np.isnan(win), axis=1)
-        sums = np.nansum(win, axis=1)
-        rn = np.arange(before + 1, before + n + 1, dtype=np.int64)
-        out = {self.mean_col: sums / cnt, self.rn_col: rn, self.n_col: cnt.astype(np.int64)}
-        new_tail = ext[-h:].tolist() if h > 0 else []
-        return out, None, {"cnt": before + n, "tail": new_tail}
+        # lowest usable position (in ``ext``) of each row's window
+        lower = off + run_start
+        if carry:
+            lower[run_id == 0] = 0
+        pos = off + np.arange(n)
+        idx = pos[:, None] - (w - 1) + np.arange(w)[None, :]
+        ok = idx >= lower[:, None]
+        vals = np.where(ok, ext[np.clip(idx, 0, None)], 0.0)
+        cnt = ok.sum(axis=1)
+        rn = np.arange(n, dtype=np.int64) - run_start + 1
+        if carry:
+            rn[run_id == 0] += int(carry["cnt"])
+        out = {self.mean_col: vals.sum(axis=1) / cnt, self.rn_col: rn, self.n_col: cnt.astype(np.int64)}
+        last_lower = int(lower[-1])
+        new_tail = ext[max(last_lower, len(ext) - h):].tolist() if h > 0 else []
+        return out, None, {"cnt": int(rn[-1]), "tail": new_tail}
 
     def resolve(self, carry_in, local):
         h = self.width - 1
@@ -130,7 +150,7 @@ class ValueChange(Recipe):
 
     Vectorised: ``last`` is always within ``eps`` of the previous row's value,
     so a step above ``2*eps`` from the previous value is always emitted and a
-    zero step never is; only steps in ``(0, 2*eps]`` are decided by a loop.
+    zero step never is; only steps in ``(0, 2*eps]`` are decided one by one.
     """
 
     def __init__(self, value: str, eps: float = 1e-6, change_col: str = "change"):
@@ -138,51 +158,55 @@ class ValueChange(Recipe):
         self.needs = [value]
         self.out_fields = [T.StructField(change_col, T.DoubleType(), False)]
 
-    def _fold(self, v, last, prev):
-        """Return (emit mask, change, last after, prev after) for values ``v``."""
+    def _fold(self, v, starts, last0, prev0):
+        """Fold a batch of runs.  ``last0`` / ``prev0``: state entering each
+        run (arrays, one per run).  Returns emit mask, change, big mask, and
+        the state after the last run."""
         eps = self.eps
         n = len(v)
+        run_id, run_start = _layout(n, starts)
         prevs = np.empty(n)
-        if n:
-            prevs[0] = prev
-            prevs[1:] = v[:-1]
+        prevs[1:] = v[:-1]
+        prevs[starts] = prev0
         step = np.abs(v - prevs)
         big = step > 2 * eps
         small = (step > 0) & ~big
         emit = big.copy()
-        change = np.zeros(n)
         if small.any():
-            # state before row i: value of the last emitted row before i, else `last`
             idx = np.arange(n)
-            last_big_before = np.maximum.accumulate(np.where(big, idx, -1))
-            last_small_emit = -1
+            last_big = np.maximum.accumulate(np.where(big, idx, -1))
+            last_small, last_small_run = -1, -1
             for i in np.flatnonzero(small):
-                lb = last_big_before[i - 1] if i > 0 else -1
-                j = max(lb, last_small_emit)
-                state = v[j] if j >= 0 else last
+                r = run_id[i]
+                j = last_big[i - 1] if i > 0 else -1
+                if last_small_run == r:
+                    j = max(j, last_small)
+                state = v[j] if j >= run_start[i] else last0[r]
                 if abs(v[i] - state) > eps:
                     emit[i] = True
-                    last_small_emit = i
-        # change = value - state before the row, state = last emitted value
+                    last_small, last_small_run = i, r
+        change = np.zeros(n)
         e_idx = np.flatnonzero(emit)
         if len(e_idx):
-            before_vals = np.empty(len(e_idx))
-            before_vals[0] = last
-            before_vals[1:] = v[e_idx[:-1]]
-            change[e_idx] = v[e_idx] - before_vals
-            last_after = float(v[e_idx[-1]])
-        else:
-            last_after = last
-        prev_after = float(v[-1]) if n else prev
-        return emit, change, last_after, prev_after, big
-
-    def run(self, cols, carry, track):
+            before = last0[run_id[e_idx]].astype("float64")
+            same = np.zeros(len(e_idx), dtype=bool)
+            same[1:] = run_id[e_idx[1:]] == run_id[e_idx[:-1]]
+            before[1:][same[1:]] = v[e_idx[:-1]][same[1:]]
+            change[e_idx] = v[e_idx] - before
+        last_run = len(starts) - 1
+        in_last = e_idx[run_id[e_idx] == last_run] if len(e_idx) else e_idx
+        last_after = float(v[in_last[-1]]) if len(in_last) else float(last0[last_run])
+        return emit, change, big, last_after, float(v[-1])
+
+    def run_batch(self, cols, starts, carry, track):
         v = cols[self.value].astype("float64")
-        last = carry["last"] if carry else 0.0
-        prev = carry["prev"] if carry else 0.0
-        emit, change, last_after, prev_after, big = self._fold(v, last, prev)
+        k = len(starts)
+        last0, prev0 = np.zeros(k), np.zeros(k)
+        if carry:
+            last0[0], prev0[0] = carry["last"], carry["prev"]
+        emit, change, big, last_after, prev_after = self._fold(v, starts, last0, prev0)
         out_carry = {"last": last_after, "prev": prev_after}
-        if track:
+        if track and k == 1:
             # determined: a step > 2 eps inside this run (not on its first row)
             det = bool((carry or {}).get("det", False)) or bool(big[1:].any()) or (
                 carry is not None and bool(big[:1].any()))
@@ -194,7 +218,10 @@ class ValueChange(Recipe):
         if carry_in is None or local.get("det", False):
             return {"last": local["last"], "prev": local["prev"]}
         v = np.asarray(local.get("drift", []), dtype="float64")
-        _, _, last_after, prev_after, _ = self._fold(v, carry_in["last"], carry_in["prev"])
+        if not len(v):
+            return dict(carry_in)
+        _, _, _, last_after, prev_after = self._fold(
+            v, np.array([0]), np.array([carry_in["last"]]), np.array([carry_in["prev"]]))
         return {"last": last_after, "prev": prev_after}
 
 
@@ -222,47 +249,40 @@ def _run_starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
 
 def _walk(batches, keys, recipe: Recipe, carry0: dict | None, carry_key: str | None, track: bool,
           emit_rows: bool, pass_cols: list[str]):
-    """Shared pass over one partition.  Yields output frames (final pass) and
-    returns the partition summary via the last yielded dict (summary pass)."""
-    cur_key = None          # json of the open run's key
+    """Shared pass over one partition, one vectorised call per Arrow batch.
+    Yields output frames (final pass) or, at the end, the partition summary
+    (summary pass)."""
+    cur_key = None          # json of the open run's key (last row seen)
     cur_carry = None
     first_key = None
-    first_run_open = True   # still inside the partition's first run
-    last_is_first = True
+    single_run = True       # the partition so far is one run of one key
     for pdf in batches:
-        if len(pdf) == 0:
+        n = len(pdf)
+        if n == 0:
             continue
         starts = _run_starts(pdf, keys)
-        ends = np.append(starts[1:], len(pdf))
-        outs, masks = [], []
-        for s, e in zip(starts, ends):
-            kj = _key_json(pdf, keys, s)
-            if first_key is None:
-                first_key = kj
-                cur_key = kj
-                cur_carry = carry0 if (carry0 is not None and kj == carry_key) else None
-            elif kj != cur_key:
-                cur_key, cur_carry = kj, None
-                first_run_open = False
-                last_is_first = False
-            cols = {c: pdf[c].to_numpy()[s:e] for c in recipe.needs}
-            if not recipe.needs:
-                cols = {"__n": e - s}
-            o, m, cur_carry = recipe.run(cols, cur_carry, track and first_run_open)
-            outs.append(o)
-            masks.append(m)
+        head = _key_json(pdf, keys, 0)
+        if first_key is None:
+            first_key = head
+            carry = carry0 if (carry0 is not None and head == carry_key) else None
+        else:
+            carry = cur_carry if head == cur_key else None
+            if head != cur_key:
+                single_run = False
+        if len(starts) > 1:
+            single_run = False
+        cols = {c: pdf[c].to_numpy() for c in recipe.needs} if recipe.needs else {"__n": n}
+        out, mask, cur_carry = recipe.run_batch(cols, starts, carry, track and single_run)
+        cur_key = _key_json(pdf, keys, n - 1)
         if emit_rows:
-            out = pdf[pass_cols].copy() if pass_cols else pd.DataFrame(index=pdf.index)
+            frame = pdf[pass_cols].copy() if pass_cols else pd.DataFrame(index=pdf.index)
             for f in recipe.out_fields:
-                parts = [o[f.name] for o in outs]
-                out[f.name] = np.concatenate(parts) if parts else np.array([])
-            if any(m is not None for m in masks):
-                mask = np.concatenate([m if m is not None else np.ones(len(o[recipe.out_fields[0].name]), bool)
-                                       for m, o in zip(masks, outs)])
-                out = out[mask]
-            yield out.reset_index(drop=True)
+                frame[f.name] = out[f.name]
+            if mask is not None:
+                frame = frame[mask]
+            yield frame.reset_index(drop=True)
     if not emit_rows and first_key is not None:
-        yield {"first_key": first_key, "last_key": cur_key, "last_is_first": last_is_first,
+        yield {"first_key": first_key, "last_key": cur_key, "last_is_first": single_run,
                "local": cur_carry}
 
 
@@ -288,10 +308,19 @@ class OrderedScan:
     recipe: Recipe
     num_partitions: int | None = None
     pass_cols: list[str] = field(default_factory=list)
+    materialize: bool = False
 
     def _sorted(self, df: DataFrame) -> DataFrame:
         cols = list(dict.fromkeys(self.pass_cols + self.keys + self.order + self.recipe.needs))
         narrow = df.select(*cols)
+        if self.materialize:
+            # the range partitioner samples its input in a separate job; an
+            # expensive input (e.g. tokenised text) is written once to the
+            # shared checkpoint folder instead of being computed twice
+            from quarry.session import checkpoint_root
+
+            checkpoint_root(df.sparkSession)
+            narrow = narrow.checkpoint(eager=True)
         # sized by the data: as many slices as the input has splits
         # (spark.sql.files.maxPartitionBytes each), unless given
         n = self.num_partitions or max(1, narrow.rdd.getNumPartitions())
@@ -378,10 +407,11 @@ class OrderedScan:
 
 
 def row_index(df: DataFrame, keys: list[str], order: list[str], out_col: str = "rn",
-              num_partitions: int | None = None) -> DataFrame:
-    """Row number (1-based) within ``keys`` in ``order``, skew-safe."""
+              num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
+    """Row number (1-based) within ``keys`` in ``order``, skew-safe.
+    ``materialize`` checkpoints an expensive input before it is sampled."""
     return OrderedScan(keys, order, RowIndex(out_col), num_partitions,
-                       pass_cols=[c for c in df.columns]).apply(df)
+                       pass_cols=[c for c in df.columns], materialize=materialize).apply(df)
 
 
 def rolling_mean(df: DataFrame, keys: list[str], order: list[str], value: str, width: int,

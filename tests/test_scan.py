@@ -70,3 +70,21 @@ def test_scan_plan_uses_range_partitioning(spark):
     plan = OrderedScan(["k"], ["t"], RowIndex(), 4, ["k", "t"]).apply(df)._jdf.queryExecution().executedPlan()
     text = plan.toString()
     assert "rangepartitioning" in text.lower() or "AdaptiveSparkPlan" in text
+
+
+def test_scan_small_arrow_batches(spark):
+    # runs cross Arrow batch boundaries inside a partition as well
+    data = _data(seed=3, n_hot=120, n_cold=30)
+    df = spark.createDataFrame(data, "k string, t long, v double")
+    rn, ma, ch = _brute(data, 3)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got_rn = {(r["k"], r["t"]): r["rn"] for r in row_index(df, ["k"], ["t"], num_partitions=4).collect()}
+        roll = OrderedScan(["k"], ["t"], Rolling("v", 3), 4, ["k", "t", "v"]).apply(df).collect()
+        fold = OrderedScan(["k"], ["t"], ValueChange("v"), 4, ["k", "t", "v"]).apply(df).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got_rn == rn
+    assert {(r["k"], r["t"]): round(r["moving_avg"], 9) for r in roll} == {k: round(v, 9) for k, v in ma.items()}
+    assert {(r["k"], r["t"]): round(r["change"], 9) for r in fold} == {k: round(v, 9) for k, v in ch.items()}
