@@ -8,6 +8,8 @@ do, unless ``permissive=True`` (then they become null).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,10 +47,10 @@ def read_key_value(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame
     """``key`` = text before the first ``sep``, ``value`` = the rest (the
     whole line and ``''`` when there is no separator)."""
     line = F.col("value")
-    pos = F.instr(line, sep)
+    has_sep = F.instr(line, sep) > 0
     return spark.read.text(path).select(
-        F.when(pos > 0, F.substring_index(line, sep, 1)).otherwise(line).alias("key"),
-        F.when(pos > 0, F.expr(f"substring(value, instr(value, '{sep}') + {len(sep)})"))
+        F.when(has_sep, F.substring_index(line, sep, 1)).otherwise(line).alias("key"),
+        F.when(has_sep, F.regexp_extract(line, f"^.*?{re.escape(sep)}([\\s\\S]*)$", 1))
         .otherwise(F.lit("")).alias("value"))
 
 
