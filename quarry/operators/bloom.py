@@ -47,14 +47,15 @@ def build_filter(keys: DataFrame, key: Column | str, m: int = REFERENCE_BITS,
     """One row ``bits ARRAY<BIGINT>`` (``ceil(m/64)`` words)."""
     key = F.col(key) if isinstance(key, str) else key
     n_words = (m + 63) // 64
-    words = (keys.select(F.explode(bit_positions(key, m, k)).alias("p"))
-             .groupBy((F.col("p") / 64).cast("long").alias("w"))
-             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
-                                           (F.col("p") % 64).cast("int"))).alias("b")))
-    packed = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m"))
-    return packed.select(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(n_words - 1).cast("long")),
-                                     lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("long")))
-                         .alias("bits"))
+    set_bits = (keys.select(F.explode(bit_positions(key, m, k)).alias("p"))
+                .select((F.col("p") / 64).cast("long").alias("w"),
+                        F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))
+                        .alias("b")))
+    # every word present (zeros), so the packed array is dense and in order
+    zeros = keys.sparkSession.range(n_words).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("b"))
+    words = set_bits.unionByName(zeros).groupBy("w").agg(F.bit_or("b").alias("b"))
+    return words.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "b"))), lambda x: x["b"])
+                     .alias("bits"))
 
 
 def might_contain(bits: Column, key: Column, m: int, k: int) -> Column:
