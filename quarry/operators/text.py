@@ -23,7 +23,16 @@ def explode_lines(df: DataFrame, text_col: str = "text", keep=(), line_col: str
 
 def token_array(text, tokenizer="collapse", per_line: bool = True) -> Column:
     """All tokens of a text column as one array; lines are split first so no
-    token spans a line break (the reference's record is one line)."""
+    token spans a line break (the reference's record is one line).
+
+    Tokenizers that drop empty pieces and never keep a line break inside a
+    token give the same tokens on the whole text, so for them the per-line
+    split is skipped (one split, no per-line lambda): ``collapse`` on a space
+    becomes one split on space and line breaks."""
+    if per_line and tokenizer == "collapse":
+        return F.filter(F.split(as_col(text), "[ \\r\\n]+", -1), lambda x: x != F.lit(""))
+    if per_line and tokenizer in ("tokenizer", "whitespace", "regex_words"):
+        per_line = False
     tok = get_tokenizer(tokenizer)
     if per_line:
         return F.flatten(F.transform(split_lines(as_col(text)), lambda line: tok(line)))
