@@ -88,3 +88,17 @@ def test_scan_small_arrow_batches(spark):
     assert got_rn == rn
     assert {(r["k"], r["t"]): round(r["moving_avg"], 9) for r in roll} == {k: round(v, 9) for k, v in ma.items()}
     assert {(r["k"], r["t"]): round(r["change"], 9) for r in fold} == {k: round(v, 9) for k, v in ch.items()}
+
+
+def test_hot_key_is_split_across_partitions(spark):
+    # one key holds a third of all rows: the range cut points split it
+    rows_ = [("hot", i, float(i % 7)) for i in range(3000)] + \
+            [(f"k{i % 900}", i, float(i % 5)) for i in range(6000)]
+    df = spark.createDataFrame(rows_, "k string, t long, v double")
+    scan = OrderedScan(["k"], ["t"], RowIndex(), 8, ["k", "t"])
+    sizes = scan._sorted(df).groupBy("_pid").count().collect()
+    hot_parts = scan._sorted(df).where("k = 'hot'").select("_pid").distinct().count()
+    assert max(r["count"] for r in sizes) < 3000          # no task holds the whole hot key
+    assert hot_parts >= 2
+    got = {r["t"]: r["rn"] for r in scan.apply(df).where("k = 'hot'").collect()}
+    assert got == {i: i + 1 for i in range(3000)}
