@@ -76,14 +76,15 @@ def top50_filtered(spark, sf):
     return ordering.top_k(counts, 50, "count", "name")
 
 
-def _orders_with_lines(spark, sf):
+def _orders_with_lines(spark, sf, declared_smaller: bool = False):
     """J1 with the dividend side pre-aggregated per order key before the join
-    (max of a max), so lineitem ships one row per order instead of one per line."""
+    (max of a max), so lineitem ships one row per order instead of one per line.
+    ``declared_smaller`` (J2) broadcasts that side when its size is proven."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     per_order = (table(spark, sf, "lineitem")
                  .groupBy(F.col("l_orderkey").alias("o_orderkey"))
                  .agg(F.max("l_extendedprice").alias("dividend")))
-    joined = joins.left_join(orders, per_order, "o_orderkey")
+    joined = joins.left_join(orders, per_order, "o_orderkey", declared_smaller=declared_smaller)
     return joined.select("o_custkey", reformat_date("o_orderdate", "yyyy-MM-dd HH:mm:ss", "yyyy").alias("year"),
                          "o_totalprice", aggregate.coerce_double("dividend").alias("dividend"))
 
@@ -96,7 +97,7 @@ def left_join_year_extremes(spark, sf):
 
 def left_join_key_extremes(spark, sf):
     """J2 + A6: the same per customer only."""
-    return aggregate.extremes(_orders_with_lines(spark, sf), ["o_custkey"], "o_totalprice",
+    return aggregate.extremes(_orders_with_lines(spark, sf, declared_smaller=True), ["o_custkey"], "o_totalprice",
                               "o_totalprice", "dividend", ("max_high", "min_low", "max_dividend"))
 
 
