@@ -103,14 +103,20 @@ def matching_lines(df: DataFrame, search: str, text_col: str = "text", keep=(),
     return repeat_by_hits(matching_line_counts(df, search, text_col, keep, strict))
 
 
-def lines_ordered_by_key(matched: DataFrame, key: str = "sort_key", value: str = "line") -> DataFrame:
+def lines_ordered_by_key(matched: DataFrame, key: str = "sort_key", value: str = "line",
+                         materialize: bool = False) -> DataFrame:
     """Group by key, pass every row, drop the key: a total order by key.
 
     ``orderBy`` range-partitions on sampled cut points, so a hot key does not
     land in a single task the way a hash group would.  Given
     ``matching_line_counts`` output, lines are sorted once and repeated
-    after the sort.
+    after the sort.  ``materialize`` checkpoints the input first, so the
+    sampling job does not recompute the text splitting.
     """
+    if materialize:
+        from quarry.sources.sinks import stage
+
+        matched = stage(matched)
     ordered = matched.orderBy(key, value)
     if "hits" in matched.columns:
         ordered = repeat_by_hits(ordered)
