@@ -39,6 +39,11 @@ from pyspark.sql import types as T
 
 _PID = "_pid"
 
+# Upper bound on scan slices by default: the carry table has at most one row
+# per slice (a key, a count and at most ``width - 1`` values), so it stays a
+# few MB; at 100 TB this still gives slices of about 1 GB.
+MAX_SCAN_PARTITIONS = 100_000
+
 
 # --------------------------------------------------------------------------- recipes
 
@@ -322,8 +327,9 @@ class OrderedScan:
             checkpoint_root(df.sparkSession)
             narrow = narrow.checkpoint(eager=True)
         # sized by the data: as many slices as the input has splits
-        # (spark.sql.files.maxPartitionBytes each), unless given
-        n = self.num_partitions or max(1, narrow.rdd.getNumPartitions())
+        # (spark.sql.files.maxPartitionBytes each), unless given; capped so
+        # the broadcast carry table stays bounded (one row per slice)
+        n = self.num_partitions or min(MAX_SCAN_PARTITIONS, max(1, narrow.rdd.getNumPartitions()))
         return (narrow
                 .repartitionByRange(n, *self.keys, *self.order)
                 .sortWithinPartitions(*self.keys, *self.order)
