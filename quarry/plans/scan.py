@@ -384,8 +384,11 @@ class OrderedScan:
 
     def apply(self, df: DataFrame) -> DataFrame:
         sorted_df = self._sorted(df)
-        carry = self.carries(self.summaries(sorted_df))
-        joined = sorted_df.join(F.broadcast(carry), _PID, "left")
+        carry = self.carries(self.summaries(sorted_df)).withColumn("_first", F.lit(True))
+        # the carry is attached to the first row of its slice only (row ids
+        # are ``slice << 33`` + position), not repeated on every row
+        first_row = F.monotonically_increasing_id() == F.shiftleft(F.col(_PID).cast("long"), 33)
+        joined = sorted_df.withColumn("_first", first_row).join(F.broadcast(carry), [_PID, "_first"], "left")
         keys, recipe = self.keys, self.recipe
         pass_cols = list(dict.fromkeys(self.pass_cols + self.keys + self.order + self.recipe.needs))
         out_schema = T.StructType([sorted_df.schema[c] for c in pass_cols] + recipe.out_fields)
