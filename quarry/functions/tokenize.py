@@ -59,7 +59,8 @@ def java_split(text, pattern: str = " ") -> Column:
     """
     c = as_col(text)
     # trailing empties come from trailing separators: strip them first
-    stripped = F.regexp_replace(c, f"(?:{pattern})+$", "")
+    # (\z, not $: $ would also match before a final line break)
+    stripped = F.regexp_replace(c, f"(?:{pattern})+\\z", "")
     return (F.when(c == F.lit(""), F.array(F.lit("")))
             .when(stripped == F.lit(""), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, pattern, -1)))
