@@ -38,7 +38,8 @@ _SEP_MARK = "\u0002"   # stands for an escaped separator
 
 
 def _non_empty(arr: Column) -> Column:
-    return F.filter(arr, lambda x: x != F.lit(""))
+    # array_remove is code-generated; a lambda filter would not be
+    return F.array_remove(arr, "")
 
 
 def split_lines(text) -> Column:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.stemmer import stem
-from quarry.functions.tokenize import split_lines
 
 # The English stop set of the analysis library.
 ENGLISH_STOPWORDS = [
@@ -36,8 +35,8 @@ def porter_stem(words: pd.Series) -> pd.Series:
 
 def english_terms(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Analysed terms before stemming, one row per token."""
-    toks = F.flatten(F.transform(split_lines(F.coalesce(F.col(text_col), F.lit(""))),
-                                 lambda line: F.regexp_extract_all(line, F.lit(WORD), 0)))
+    # a word never holds a line break, so the whole text is matched at once
+    toks = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD), 0)
     words = df.select(F.explode(toks).alias("raw"))
     cleaned = F.lower(F.regexp_replace("raw", "['’][sS]$", ""))
     return words.select(cleaned.alias("word")).where(

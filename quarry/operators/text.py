@@ -30,7 +30,7 @@ def token_array(text, tokenizer="collapse", per_line: bool = True) -> Column:
     split is skipped (one split, no per-line lambda): ``collapse`` on a space
     becomes one split on space and line breaks."""
     if per_line and tokenizer == "collapse":
-        return F.filter(F.split(as_col(text), "[ \\r\\n]+", -1), lambda x: x != F.lit(""))
+        return F.array_remove(F.split(as_col(text), "[ \\r\\n]+", -1), "")
     if per_line and tokenizer in ("tokenizer", "whitespace", "regex_words"):
         per_line = False
     tok = get_tokenizer(tokenizer)
@@ -84,7 +84,12 @@ def matching_line_counts(df: DataFrame, search: str, text_col: str = "text", kee
     words = F.col("_w")
     pick = (lambda i: F.element_at(words, i)) if strict else (
         lambda i: F.coalesce(F.try_element_at(words, F.lit(i)), F.lit("")))
-    hits = F.size(F.filter(words, lambda w: w.contains(needle)))
+    if search == "":
+        hits = F.size(words)  # every word contains the empty string
+    elif " " in search:
+        hits = F.lit(0)  # no word contains a space
+    else:
+        hits = F.size(F.filter(words, lambda w: w.contains(needle)))
     return (staged.select(*keep, "line", F.concat(pick(1), F.lit(" "), pick(3)).alias("sort_key"),
                           hits.alias("hits"))
             .where(F.col("hits") > 0))
