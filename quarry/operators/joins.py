@@ -39,11 +39,17 @@ def row_width_estimate(schema: T.StructType, var_width: int = 32) -> int:
     return total
 
 
+DEFAULT_MAX_PARTITIONS = 256
+
+
 def fits_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                   var_width: int = 32) -> bool:
+                   var_width: int = 32, max_partitions: int = DEFAULT_MAX_PARTITIONS) -> bool:
     """True when ``small`` provably holds at most ``max_bytes / row_width``
-    rows.  The count stops after that many rows + 1 (``limit``), so checking
-    a side that is large costs a bounded read, not a full scan."""
+    rows.  A side planned over more than ``max_partitions`` splits is
+    refused without reading it; otherwise the count stops after that many
+    rows + 1 per split (``limit``), so the check costs a bounded read."""
+    if small.rdd.getNumPartitions() > max_partitions:
+        return False
     max_rows = max(1, max_bytes // row_width_estimate(small.schema, var_width))
     return small.limit(max_rows + 1).count() <= max_rows
 

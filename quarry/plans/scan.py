@@ -356,7 +356,9 @@ class OrderedScan:
                                      "last_is_first": first["last_is_first"],
                                      "local": json.dumps(first["local"], default=_py)}])
 
-        return sorted_df.mapInPandas(summarize, _SUMMARY_SCHEMA)
+        # the summary reads only the slice id, the keys and the recipe inputs
+        narrow = sorted_df.select(_PID, *keys, *[c for c in recipe.needs if c not in keys])
+        return narrow.mapInPandas(summarize, _SUMMARY_SCHEMA)
 
     def carries(self, summaries: DataFrame) -> DataFrame:
         """Carry into each partition: one row per partition, resolved in
