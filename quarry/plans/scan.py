@@ -327,9 +327,11 @@ class OrderedScan:
             checkpoint_root(df.sparkSession)
             narrow = narrow.checkpoint(eager=True)
         # sized by the data: as many slices as the input has splits
-        # (spark.sql.files.maxPartitionBytes each), unless given; capped so
-        # the broadcast carry table stays bounded (one row per slice)
-        n = self.num_partitions or min(MAX_SCAN_PARTITIONS, max(1, narrow.rdd.getNumPartitions()))
+        # (spark.sql.files.maxPartitionBytes each) and at least one per core,
+        # unless given; capped so the broadcast carry table stays bounded
+        # (one row per slice)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n = self.num_partitions or min(MAX_SCAN_PARTITIONS, max(1, cores, narrow.rdd.getNumPartitions()))
         return (narrow
                 .repartitionByRange(n, *self.keys, *self.order)
                 .sortWithinPartitions(*self.keys, *self.order)
