@@ -42,13 +42,12 @@ def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
     return F.try_to_timestamp(as_col(c), F.lit(fmt)).cast("date")
 
 
-def reformat_date(c, in_fmt: str = "yyyy-MM-dd", out_fmt: str = "yyyy",
+def reformat_date(c, in_fmt: str | None = "yyyy-MM-dd", out_fmt: str = "yyyy",
                   invalid: str = "Invalid Date") -> Column:
-    """P5: replace a date by its reformatted text, ``invalid`` when unparsable."""
+    """P5: replace a date by its reformatted text, ``invalid`` when unparsable.
+    ``in_fmt=None`` means the column already holds dates or timestamps."""
     col = as_col(c)
-    if not isinstance(col, Column):
-        col = F.col(col)
-    parsed = F.try_to_timestamp(col.cast("string"), F.lit(in_fmt))
+    parsed = col if in_fmt is None else F.try_to_timestamp(col.cast("string"), F.lit(in_fmt))
     return F.coalesce(F.date_format(parsed, out_fmt), F.lit(invalid))
 
 

@@ -89,7 +89,7 @@ def _orders_with_lines(spark, sf, declared_smaller: bool = False):
                  .groupBy(F.col("l_orderkey").alias("o_orderkey"))
                  .agg(F.max("l_extendedprice").alias("dividend")))
     joined = joins.left_join(orders, per_order, "o_orderkey", declared_smaller=declared_smaller)
-    return joined.select("o_custkey", reformat_date("o_orderdate", "yyyy-MM-dd HH:mm:ss", "yyyy").alias("year"),
+    return joined.select("o_custkey", reformat_date("o_orderdate", None, "yyyy").alias("year"),
                          "o_totalprice", aggregate.coerce_double("dividend").alias("dividend"))
 
 

@@ -67,3 +67,15 @@ def test_series_plans_avoid_key_windows(spark, name):
 
 def test_rows_helper(spark):
     assert rows(spark.createDataFrame([(2,), (1,)], "x int")) == [(1,), (2,)]
+
+
+def test_mean_uses_wide_sums(spark):
+    # partial sums beyond 32 bits (the reference's combiner parsed them as int)
+    df = spark.createDataFrame([("CA", 2_000_000_000), ("CA", 2_000_000_000), ("CA", 2_000_000_001)],
+                               "state string, income long")
+    assert rows(aggregate.mean_by_key(df, "state", "income")) == [("CA", 2_000_000_000 + 1 / 3)]
+
+
+def test_reformat_typed_dates(spark):
+    df = spark.createDataFrame([("2009-01-02 10:00:00",)], "s string").select(F.to_timestamp("s").alias("ts"))
+    assert df.select(C.reformat_date("ts", None)).first()[0] == "2009"
