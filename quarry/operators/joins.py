@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import split_count
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 _FIXED_WIDTH = {
@@ -48,7 +50,7 @@ def fits_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     rows.  A side planned over more than ``max_partitions`` splits is
     refused without reading it; otherwise the count stops after that many
     rows + 1 per split (``limit``), so the check costs a bounded read."""
-    if small.rdd.getNumPartitions() > max_partitions:
+    if split_count(small) > max_partitions:
         return False
     max_rows = max(1, max_bytes // row_width_estimate(small.schema, var_width))
     return small.limit(max_rows + 1).count() <= max_rows

@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import core_count, split_count
+
 _PID = "_pid"
 
 # Upper bound on scan slices by default: the carry table has at most one row
@@ -330,8 +332,8 @@ class OrderedScan:
         # (spark.sql.files.maxPartitionBytes each) and at least one per core,
         # unless given; capped so the broadcast carry table stays bounded
         # (one row per slice)
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        n = self.num_partitions or min(MAX_SCAN_PARTITIONS, max(1, cores, narrow.rdd.getNumPartitions()))
+        cores = core_count(df.sparkSession)
+        n = self.num_partitions or min(MAX_SCAN_PARTITIONS, max(1, cores, split_count(narrow)))
         return (narrow
                 .repartitionByRange(n, *self.keys, *self.order)
                 .sortWithinPartitions(*self.keys, *self.order)

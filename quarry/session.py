@@ -70,3 +70,20 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/quarry-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def split_count(df) -> int:
+    """Number of partitions ``df`` is planned over (shuffle partitions when
+    the session cannot expose its RDD, e.g. a remote session)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def core_count(spark: SparkSession) -> int:
+    """Default parallelism of the cluster (shuffle partitions when unknown)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
