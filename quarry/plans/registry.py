@@ -229,6 +229,21 @@ def inverted_index_lines(spark, sf):
     return text.inverted_index(parsed, "url", "terms", distinct=False, block_size=INDEX_BLOCK)
 
 
+def first_letter_counts(spark, sf):
+    """O5 + F11: customers per first-letter placement index of the trimmed
+    segment (``pmod`` keeps the index in range)."""
+    from quarry.functions.columns import first_char_partition
+
+    cust = table(spark, sf, "customer")
+    return (cust.groupBy(first_char_partition("c_mktsegment", 5, base="A").alias("part"))
+            .agg(F.count(F.lit(1)).alias("customers")))
+
+
+def series_secondary_sort(spark, sf):
+    """Rows grouped by user and ordered by time inside each range slice."""
+    return ordering.secondary_sort(_events(spark, sf), ["user_id"], EVENT_ORDER)
+
+
 QUERIES = {
     "word_count": word_count,
     "grep_count": grep_count,
@@ -256,6 +271,8 @@ QUERIES = {
     "mean_by_segment": mean_by_segment,
     "semi_join_unmatched": semi_join_unmatched,
     "inverted_index_lines": inverted_index_lines,
+    "first_letter_counts": first_letter_counts,
+    "series_secondary_sort": series_secondary_sort,
 }
 
 
@@ -362,6 +379,9 @@ ORACLE_SQL = {
       FROM r GROUP BY term, block""",
 }
 
+ORACLE_SQL["first_letter_counts"] = ("SELECT CAST(((ascii(trim(c_mktsegment)) - 65) % 5 + 5) % 5 AS INTEGER) AS part, "
+                                     "count(*) AS customers FROM customer GROUP BY 1")
+ORACLE_SQL["series_secondary_sort"] = ORACLE_SQL["series_sorted"]
 ORACLE_SQL["report_lines"] = (f"SELECT printf('%-35s%d', name, count) AS line "
                               f"FROM ({ORACLE_SQL['top50_filtered']})")
 
