@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quarry.functions.columns import fixed_width
 from quarry.session import scratch_path
