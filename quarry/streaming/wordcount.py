@@ -51,6 +51,8 @@ def start_running_counts(words: DataFrame, checkpoint: str, changelog: str, avai
     """Run T3; each micro-batch appends its updated ``(word, count, batch_id)``
     rows to ``changelog`` (Parquet).  Returns the ``StreamingQuery``."""
     def publish(batch: DataFrame, batch_id: int) -> None:
+        # a retried batch may append its rows again; readers take the largest
+        # count per word, so a repeat changes nothing
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(changelog)
 
     w = (running_counts(words).writeStream.outputMode("update")

@@ -118,3 +118,9 @@ def test_price_series_order(frames):
     stocks, _ = frames
     out = series.price_series(stocks, "stock_symbol", "date", "stock_price_close").collect()
     assert [(r[0], r[1]) for r in out] == sorted((r[0], r[1]) for r in out)
+
+
+def test_broadcast_check_refuses_many_splits_unread(spark):
+    wide = spark.range(0, 100, 1, numPartitions=300)
+    assert not joins.fits_broadcast(wide, max_bytes=10**9)          # refused by split count
+    assert joins.fits_broadcast(wide.coalesce(4), max_bytes=10**9)   # few splits: counted
