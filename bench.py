@@ -26,7 +26,7 @@ HEADLINE = [
     "left_join_year_extremes", "left_join_key_extremes", "broadcast_join", "max_by_key", "value_change",
     "moving_average", "best_window", "series_sorted", "semi_join_exact", "semi_join_bloom", "inverted_index",
     "tfidf", "english_word_count", "report_lines", "tfidf_text", "python_split_count", "mean_by_segment",
-    "semi_join_unmatched", "inverted_index_lines",
+    "semi_join_unmatched", "inverted_index_lines", "first_letter_counts", "series_secondary_sort",
 ]
 
 

@@ -329,11 +329,11 @@ class OrderedScan:
             checkpoint_root(df.sparkSession)
             narrow = narrow.checkpoint(eager=True)
         # sized by the data: as many slices as the input has splits
-        # (spark.sql.files.maxPartitionBytes each) and at least one per core,
-        # unless given; capped so the broadcast carry table stays bounded
-        # (one row per slice)
-        cores = core_count(df.sparkSession)
-        n = self.num_partitions or min(MAX_SCAN_PARTITIONS, max(1, cores, split_count(narrow)))
+        # (spark.sql.files.maxPartitionBytes each), unless given; a
+        # checkpointed (expensive) input gets at least one slice per core;
+        # capped so the broadcast carry table stays bounded (one row per slice)
+        floor = core_count(df.sparkSession) if self.materialize else 1
+        n = self.num_partitions or min(MAX_SCAN_PARTITIONS, max(floor, split_count(narrow)))
         return (narrow
                 .repartitionByRange(n, *self.keys, *self.order)
                 .sortWithinPartitions(*self.keys, *self.order)
