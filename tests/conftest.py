@@ -27,3 +27,16 @@ def rows(df, *cols):
     """Sorted list of tuples of the given columns (all when none)."""
     cols = cols or tuple(df.columns)
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def executed_plan(df) -> str:
+    """The physical plan text from the public ``explain`` (runs the query
+    first so the adaptive plan is final)."""
+    import contextlib
+    import io
+
+    df.collect()  # small test inputs: run the query itself so its plan is final
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quarry.functions import columns as C
 from quarry.operators import aggregate, joins, ordering
 from quarry.plans.registry import QUERIES
-from tests.conftest import rows
+from tests.conftest import executed_plan, rows
 
 
 def test_lookup_sum_and_total(spark):
@@ -59,7 +59,7 @@ def test_composite_key(spark):
 
 @pytest.mark.parametrize("name", ["value_change", "moving_average", "best_window"])
 def test_series_plans_avoid_key_windows(spark, name):
-    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    plan = executed_plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "Window" not in plan
     # range partitioning (one slice when the input is a single split)
     assert "rangepartitioning" in plan.lower() or "singlepartition" in plan.lower()

@@ -8,6 +8,7 @@ import random
 import pytest
 
 from quarry.plans.scan import OrderedScan, RowIndex, Rolling, ValueChange, row_index
+from tests.conftest import executed_plan
 
 
 def _data(seed=7, n_hot=400, n_cold=60):
@@ -67,9 +68,9 @@ def test_scan_drift_across_partitions(spark):
 
 def test_scan_plan_uses_range_partitioning(spark):
     df = spark.createDataFrame(_data(n_hot=50, n_cold=5), "k string, t long, v double")
-    plan = OrderedScan(["k"], ["t"], RowIndex(), 4, ["k", "t"]).apply(df)._jdf.queryExecution().executedPlan()
-    text = plan.toString()
-    assert "rangepartitioning" in text.lower() or "AdaptiveSparkPlan" in text
+    text = executed_plan(OrderedScan(["k"], ["t"], RowIndex(), 4, ["k", "t"]).apply(df))
+    assert "rangepartitioning" in text.lower()
+    assert "ReusedExchange" in text  # both passes read one range shuffle
 
 
 def test_scan_small_arrow_batches(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quarry.functions.columns import coerce_double, reformat_date
 from quarry.operators import aggregate, joins, series
 from quarry.sources import readers
-from tests.conftest import rows
+from tests.conftest import executed_plan, rows
 
 STOCKS = """exchange,stock_symbol,date,stock_price_open,stock_price_high,stock_price_low,stock_price_close,stock_volume,stock_price_adj_close
 NYSE,AA,2009-01-02,10.0,12.5,9.5,12.0,1000,12.0
@@ -60,7 +60,7 @@ def test_map_side_join_plan_and_rows(frames):
     stocks, divs = frames
     out = joins.map_side_join(stocks.select("stock_symbol", "date", "stock_price_close"),
                               divs.select("stock_symbol", "date", "dividends"), ["stock_symbol", "date"])
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in executed_plan(out)
     assert rows(out, "stock_symbol", "date", "dividends", "stock_price_close") == [
         ("AA", "2009-01-02", 0.17, 12.0), ("AA", "2009-01-05", 0.17, 11.5), ("AA", "2010-03-01", 0.03, 13.9)]
 
