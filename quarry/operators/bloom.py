@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.aggregate import with_counters
 from quarry.operators.joins import semi_join
 
 # The reference's filter shape.
@@ -82,13 +83,16 @@ def bloom_prefilter(big: DataFrame, big_key: Column | str, filter_df: DataFrame,
 def bloom_semi_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
                     m: int | None = REFERENCE_BITS, k: int | None = REFERENCE_HASHES,
                     expected_keys: int | None = None, fp_rate: float = 0.01,
-                    verify: bool = True) -> DataFrame:
+                    verify: bool = True, counters: bool = False) -> DataFrame:
     """Build the filter over ``small``'s keys, drop rows of ``big``
     that cannot match before any shuffle, then (``verify``) make the result
     exact with a semi join.  Give ``expected_keys`` (or ``"auto"``: an
     approximate distinct count of the small side) to size the filter for
     ``fp_rate`` instead of the reference's fixed 10,000 bits / 2 hashes,
-    which saturates once the key set is large."""
+    which saturates once the key set is large.  ``counters`` observes the
+    candidate and verified row counts; after an action
+    ``result.false_positives()`` gives their difference (the reference's
+    false-positive counter)."""
     if expected_keys == "auto":
         # one small aggregate job; its scalar result sizes the filter
         expected_keys = int(small.select(F.approx_count_distinct(small_key)).first()[0] or 0)
@@ -96,6 +100,13 @@ def bloom_semi_join(big: DataFrame, small: DataFrame, big_key: str, small_key: s
         m, k = optimal_shape(expected_keys, fp_rate)
     filt = build_filter(small, small_key, m, k)
     candidates = bloom_prefilter(big, big_key, filt, m, k)
+    if counters:  # A16: rows passing the filter, read after an action
+        candidates = with_counters(candidates, "bloom_candidates", candidates=F.count(F.lit(1)))
     if not verify:
         return candidates
-    return semi_join(candidates, small.select(F.col(small_key).alias(big_key)), big_key)
+    out = semi_join(candidates, small.select(F.col(small_key).alias(big_key)), big_key)
+    if counters:
+        obs = candidates.observation
+        out = with_counters(out, "bloom_verified", verified=F.count(F.lit(1)))
+        out.false_positives = lambda: obs.get["candidates"] - out.observation.get["verified"]
+    return out

@@ -52,3 +52,12 @@ def test_counters(spark):
     obs_df = with_counters(spark.range(10).where(F.col("id") > 4), "m", kept=F.count(F.lit(1)))
     obs_df.write.format("noop").mode("overwrite").save()
     assert obs_df.observation.get["kept"] == 5
+
+
+def test_bloom_false_positive_counter(spark):
+    big = spark.range(0, 3000).withColumnRenamed("id", "k")
+    small = spark.range(0, 3000, 3).withColumnRenamed("id", "k")
+    out = bloom.bloom_semi_join(big, small, "k", "k", counters=True)
+    out.write.format("noop").mode("overwrite").save()
+    assert out.observation.get["verified"] == 1000
+    assert out.false_positives() >= 0
