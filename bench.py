@@ -27,6 +27,7 @@ HEADLINE = [
     "moving_average", "best_window", "series_sorted", "semi_join_exact", "semi_join_bloom", "inverted_index",
     "tfidf", "english_word_count", "report_lines", "tfidf_text", "python_split_count", "mean_by_segment",
     "semi_join_unmatched", "inverted_index_lines", "first_letter_counts", "series_secondary_sort",
+    "english_terms_count",
 ]
 
 

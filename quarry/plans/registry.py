@@ -181,6 +181,15 @@ def english_word_count(spark, sf):
     return ewc(table(spark, sf, "documents").where(F.col("lang") == F.lit("en")), "text")
 
 
+def english_terms_count(spark, sf):
+    """F8 before stemming: tokenise, strip possessives, lower-case, drop stop
+    words, count (the analysed terms that the stemmer then folds)."""
+    from quarry.operators.english import english_terms
+
+    docs = table(spark, sf, "documents").where(F.col("lang") == F.lit("en"))
+    return english_terms(docs, "text").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+
 def tfidf_scores(spark, sf):
     """M2 (A8 + A9 + A10, F9, P12): tf-idf of every kept word of every document."""
     return tfidf(table(spark, sf, "documents"), "doc_id", "text")
@@ -265,6 +274,7 @@ QUERIES = {
     "inverted_index": inverted_index,
     "tfidf": tfidf_scores,
     "english_word_count": english_word_count,
+    "english_terms_count": english_terms_count,
     "report_lines": report_lines,
     "tfidf_text": tfidf_text,
     "python_split_count": python_split_count,
@@ -290,6 +300,14 @@ _EXTREMES = """
   FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey"""
 _W = "PARTITION BY user_id ORDER BY ts, event_id"
 
+def _en_sql_consts():
+    from quarry.operators.english import ENGLISH_STOPWORDS, WORD
+
+    return WORD.replace("'", "''"), ", ".join(f"'{w}'" for w in ENGLISH_STOPWORDS)
+
+
+_EN_WORD, _EN_STOP = _en_sql_consts()
+
 _TFIDF_SQL = (f"""
       WITH t AS (SELECT doc_id, w AS word FROM (SELECT doc_id, unnest({_REGEX_WORDS}) AS w FROM documents)
                  WHERE regexp_matches(w, '^[a-z][a-z0-9]*$') AND w NOT IN ({_STOP})),
@@ -382,6 +400,12 @@ ORACLE_SQL = {
 ORACLE_SQL["first_letter_counts"] = ("SELECT CAST(((ascii(trim(c_mktsegment)) - 65) % 5 + 5) % 5 AS INTEGER) AS part, "
                                      "count(*) AS customers FROM customer GROUP BY 1")
 ORACLE_SQL["series_secondary_sort"] = ORACLE_SQL["series_sorted"]
+ORACLE_SQL["english_terms_count"] = f"""
+  SELECT word, count(*) AS count FROM (
+    SELECT lower(regexp_replace(raw, '[''’][sS]$', '')) AS word
+    FROM (SELECT unnest(regexp_extract_all(text, '{_EN_WORD}')) AS raw FROM documents WHERE lang = 'en'))
+  WHERE word <> '' AND word NOT IN ({_EN_STOP})
+  GROUP BY word"""
 ORACLE_SQL["report_lines"] = (f"SELECT printf('%-35s%d', name, count) AS line "
                               f"FROM ({ORACLE_SQL['top50_filtered']})")
 
