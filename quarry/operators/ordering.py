@@ -50,8 +50,10 @@ def spread(df: DataFrame, n: int, by: list | None = None) -> DataFrame:
 
 
 def fixed_outputs(df: DataFrame, n: int) -> DataFrame:
-    """A fixed number of output files without a full shuffle."""
-    return df.coalesce(n)
+    """A fixed reducer / output-file count.  A shuffle into ``n``
+    partitions, not ``coalesce``: a narrow coalesce to few partitions would
+    also run everything upstream of it in only ``n`` tasks."""
+    return df.repartition(n)
 
 
 def secondary_sort(df: DataFrame, group: list, order: list, num_partitions: int | None = None) -> DataFrame:

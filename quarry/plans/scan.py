@@ -386,7 +386,10 @@ class OrderedScan:
                 prev_last_key = r["last_key"]
             yield pd.DataFrame(out, columns=[_PID, "_carry_key", "_carry"])
 
-        return summaries.coalesce(1).mapInPandas(resolve, _CARRY_SCHEMA)
+        # repartition (a shuffle), not coalesce: coalesce(1) is narrow and
+        # would pull the summary pass itself into one task; here the summary
+        # runs per slice and only its one-row-per-slice output moves
+        return summaries.repartition(1).mapInPandas(resolve, _CARRY_SCHEMA)
 
     def apply(self, df: DataFrame) -> DataFrame:
         sorted_df = self._sorted(df)

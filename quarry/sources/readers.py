@@ -106,7 +106,7 @@ def pack_small_files(spark: SparkSession, src_dir: str, out_path: str, recursive
              .select(F.regexp_extract("path", "([^/]*)$", 1).alias("filename"),
                      F.col("path").alias("source_path"), F.col("content").alias("contents")))
     if num_files:
-        files = files.coalesce(num_files)
+        files = files.repartition(num_files)  # a shuffle keeps the file reads parallel
     files.write.mode("overwrite").option("compression", compression).parquet(out_path)
     return spark.read.parquet(out_path).count()
 

@@ -16,8 +16,9 @@ def write_delimited(df: DataFrame, path: str, sep: str = "\t", header: bool = Fa
     ``replace=True`` overwrites old output (S11); ``False`` fails when the
     output exists (S12).  ``header`` on or off (S13); ``compression`` e.g.
     ``"snappy"``, ``"gzip"`` (S15).  ``num_files`` fixes the file count
-    (O7) with a narrow ``coalesce``."""
-    out = df.coalesce(num_files) if num_files else df
+    (O7) with a shuffle into that many partitions."""
+    # repartition, not coalesce: the work upstream keeps its own parallelism
+    out = df.repartition(num_files) if num_files else df
     w = out.write.mode("overwrite" if replace else "errorifexists").option("sep", sep).option("header", header)
     if compression:
         w = w.option("compression", compression)
