@@ -41,19 +41,20 @@ def row_width_estimate(schema: T.StructType, var_width: int = 32) -> int:
     return total
 
 
-DEFAULT_MAX_PARTITIONS = 256
+DEFAULT_MAX_PARTITIONS = 64
 
 
 def fits_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
                    var_width: int = 32, max_partitions: int = DEFAULT_MAX_PARTITIONS) -> bool:
     """True when ``small`` provably holds at most ``max_bytes / row_width``
     rows.  A side planned over more than ``max_partitions`` splits is
-    refused without reading it; otherwise the count stops after that many
-    rows + 1 per split (``limit``), so the check costs a bounded read."""
+    refused without reading it (a side that small fits in a few splits);
+    otherwise its rows are counted (partial counts, no rows move), so the
+    check reads at most ``max_partitions`` splits."""
     if split_count(small) > max_partitions:
         return False
     max_rows = max(1, max_bytes // row_width_estimate(small.schema, var_width))
-    return small.limit(max_rows + 1).count() <= max_rows
+    return small.count() <= max_rows
 
 
 def checked_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
