@@ -83,17 +83,24 @@ def wide_import(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("o_orderkey", "info.date", "p.close", "p.vol")
 
 
+DOCS_PER_FILE = 100
+
+
 def packed_tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    """S7 + S8 + M2: one small file per document, packed into a
-    ``(filename, contents)`` container, then tf-idf over the container."""
+    """S7 + S8 + M2: documents written as many small files (JSON lines of at
+    most ``DOCS_PER_FILE`` documents each, so the file count grows with the
+    data but never reaches one file per document), packed into a
+    ``(filename, contents)`` container, unpacked, then tf-idf."""
     files = scratch_path(spark, "doc-files")
     (table(spark, sf, "documents").select("doc_id", "text")
-     .write.partitionBy("doc_id").text(files))
+     .write.option("maxRecordsPerFile", DOCS_PER_FILE).json(files))
     packed = scratch_path(spark, "doc-packed")
-    readers.pack_small_files(spark, files, packed, recursive=True)
-    docs = readers.read_packed(spark, packed).select(
-        F.regexp_extract("source_path", "doc_id=([0-9]+)", 1).cast("long").alias("doc_id"),
-        F.decode("contents", "UTF-8").alias("text"))
+    readers.pack_small_files(spark, files, packed)
+    doc_schema = "doc_id BIGINT, text STRING"
+    lines = readers.read_packed(spark, packed).where(F.col("filename").endswith(".json")).select(
+        F.explode(F.split(F.decode("contents", "UTF-8"), "\n")).alias("line"))
+    docs = (lines.where(F.col("line") != F.lit(""))
+            .select(F.from_json("line", doc_schema).alias("d")).select("d.doc_id", "d.text"))
     return tfidf(docs, "doc_id", "text")
 
 
