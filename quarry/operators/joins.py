@@ -57,9 +57,27 @@ def fits_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     return small.count() <= max_rows
 
 
+def _has_shuffle(df: DataFrame) -> bool:
+    """Whether ``df``'s physical plan contains an exchange (public explain text)."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return "Exchange" in buf.getvalue()
+
+
 def checked_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(small)`` when its size is proven under ``max_bytes``,
-    else ``small`` unchanged (shuffle join chosen by the planner)."""
+    else ``small`` unchanged (shuffle join chosen by the planner).
+
+    A side that is itself the output of a shuffle (an aggregate, a join) is
+    not counted up front, which would compute it twice: AQE measures it when
+    its shuffle stage finishes and switches to a broadcast join only if the
+    real size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``."""
+    if _has_shuffle(small):
+        return small
     return F.broadcast(small) if fits_broadcast(small, max_bytes) else small
 
 
