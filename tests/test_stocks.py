@@ -124,3 +124,10 @@ def test_broadcast_check_refuses_many_splits_unread(spark):
     wide = spark.range(0, 100, 1, numPartitions=300)
     assert not joins.fits_broadcast(wide, max_bytes=10**9)          # refused by split count
     assert joins.fits_broadcast(wide.coalesce(4), max_bytes=10**9)   # few splits: counted
+
+
+def test_checked_broadcast_leaves_shuffled_side_to_aqe(spark):
+    agg = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    assert joins.checked_broadcast(agg) is agg                 # not counted, not hinted
+    scan = spark.range(10)
+    assert joins.checked_broadcast(scan) is not scan           # small plain side: hinted
