@@ -62,9 +62,9 @@ def stream_running_count(spark: SparkSession, sf: str) -> DataFrame:
     words = _words_stream(spark, sf)
     ckpt = scratch_path(spark, "increments-ckpt")
     out = scratch_path(spark, "increments-out")
-    q = wc.start_count_increments(words, ckpt, out, available_now=True)
+    q = wc.start_count_ranges(words, ckpt, out, available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("word", "count")
 
 
 def state_query(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,8 +4,11 @@
 * T3 ``start_running_counts``: ``groupBy(word).count()`` kept in the state
   store across micro-batches (checkpointed, so a restart resumes); every
   batch's updated counts are also appended to a change log table.
-* T2 ``start_count_increments``: ``(word, running count)`` for *every* input
-  word, from ``applyInPandasWithState`` (per word: the count so far).
+* T2 ``start_count_ranges``: ``(word, running count)`` for *every* input
+  word: per micro-batch, each word's new range of counts from the streaming
+  aggregation and the previous totals in its state store, expanded in
+  bounded chunks spread over tasks; ``start_count_increments`` is the
+  per-word ``applyInPandasWithState`` form (one task per word and batch).
 * T4 ``query_counts``: split request texts, look each word up in the
   running counts, drop misses, sum per request (J6 + P11 + A12), as a batch
   query over the published state.
@@ -26,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quarry.operators.text import token_array
+from quarry.session import core_count
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -106,6 +110,52 @@ def start_count_increments(words: DataFrame, checkpoint: str, out_path: str, ava
     return w.start()
 
 
+RANGE_CHUNK = 100_000
+
+
+def start_count_ranges(words: DataFrame, checkpoint: str, out_path: str, chunk: int = RANGE_CHUNK,
+                       available_now: bool = True):
+    """T2 without one task per word: ``(word, n)`` for the n-th occurrence of
+    every word, as ranges.
+
+    The running count is an ordinary streaming aggregation (partial
+    aggregates, so a word holding a third of a batch is reduced map-side).
+    Each micro-batch's updated totals are joined with the totals after the
+    previous batch, read from the query's own state store, and every word's
+    new range ``prev+1 .. total`` is cut into chunks of at most ``chunk``
+    numbers that are spread over tasks before they are expanded.  Batches
+    are written to ``out_path/batch_id=N`` with overwrite, so a retried
+    batch replaces its own output.  Row order inside a batch is not kept
+    (the multiset of ``(word, n)`` is)."""
+    spark = words.sparkSession
+
+    def emit(updated: DataFrame, batch_id: int) -> None:
+        totals = updated.select("word", F.col("count").alias("hi")).persist()
+        try:
+            if batch_id > 0:
+                prev = (spark.read.format("statestore").option("batchId", batch_id - 1).load(checkpoint)
+                        .select(F.col("key.word").alias("word"), F.col("value.count").alias("lo")))
+                ranges = totals.join(prev, "word", "left").select(
+                    "word", F.coalesce("lo", F.lit(0)).cast("long").alias("lo"), "hi")
+            else:
+                ranges = totals.select("word", F.lit(0).cast("long").alias("lo"), "hi")
+            n_chunks = F.floor((F.col("hi") - F.col("lo") - 1) / F.lit(chunk)).cast("long")
+            pieces = ranges.select("word", "lo", "hi",
+                                   F.explode(F.sequence(F.lit(0).cast("long"), n_chunks)).alias("c"))
+            start = F.col("lo") + F.col("c") * F.lit(chunk) + F.lit(1)
+            end = F.least(F.col("hi"), F.col("lo") + (F.col("c") + F.lit(1)) * F.lit(chunk))
+            out = (pieces.repartition(max(1, core_count(spark)))
+                   .select("word", F.explode(F.sequence(start, end)).alias("count")))
+            out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            totals.unpersist()
+
+    w = (running_counts(words).writeStream.outputMode("update")
+         .option("checkpointLocation", checkpoint).foreachBatch(emit))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start()
+
+
 def query_counts(requests: DataFrame, counts: DataFrame, id_cols: list[str], text_col: str = "args",
                  tokenizer="java") -> DataFrame:
     """Per request, the sum of the running counts of its

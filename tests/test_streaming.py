@@ -60,3 +60,13 @@ def test_stream_equals_batch(spark, source, tmp_path):
     assert sorted(map(tuple, batch.collect())) == sorted(
         map(tuple, wc.current_counts(spark, str(tmp_path / "log4")).select("word", "count").collect()))
     assert F is not None
+
+
+def test_count_ranges_match_increments(spark, source, tmp_path):
+    words = wc.split_sentences(wc.file_stream(spark, source, SCHEMA), "sentence", "java")
+    q = wc.start_count_ranges(words, str(tmp_path / "ck5"), str(tmp_path / "ranges"), chunk=2)
+    q.awaitTermination()
+    got = sorted((r["word"], r["count"]) for r in spark.read.parquet(str(tmp_path / "ranges")).collect())
+    assert [c for w, c in got if w == "the"] == [1, 2, 3, 4]   # split over chunks of 2
+    assert [c for w, c in got if w == "and"] == [1, 2]         # continues across batches
+    assert len(got) == 6 + 10 + 6
