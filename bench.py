@@ -40,6 +40,7 @@ def main() -> None:
                           conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                                 "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in only:
         fn = QUERIES[name]
 
@@ -48,15 +49,23 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()  # warm-up
-        samples = [once() for _ in range(runs)]
+        try:
+            once()  # warm-up
+            samples = [once() for _ in range(runs)]
+        except Exception as exc:  # keep measuring the others; report the failure
+            errors[name] = str(exc).splitlines()[0][:200] if str(exc) else type(exc).__name__
+            print(f"{name:26s} FAILED {errors[name]}", file=sys.stderr, flush=True)
+            continue
         times[name] = round(statistics.median(samples), 3)
         print(f"{name:26s} {times[name]:8.3f}s  runs={[round(s, 3) for s in samples]}", file=sys.stderr,
               flush=True)
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}))
+    out = {"metric": "total_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
