@@ -46,6 +46,10 @@ _PID = "_pid"
 # few MB; at 100 TB this still gives slices of about 1 GB.
 MAX_SCAN_PARTITIONS = 100_000
 
+# Windows up to this width are summed row by row (exact); wider ones use
+# prefix sums so memory stays O(batch) instead of O(batch * width).
+EXACT_WINDOW_MAX = 64
+
 
 # --------------------------------------------------------------------------- recipes
 
@@ -131,14 +135,22 @@ class Rolling(Recipe):
         if carry:
             lower[run_id == 0] = 0
         pos = off + np.arange(n)
-        idx = pos[:, None] - (w - 1) + np.arange(w)[None, :]
-        ok = idx >= lower[:, None]
-        vals = np.where(ok, ext[np.clip(idx, 0, None)], 0.0)
-        cnt = ok.sum(axis=1)
+        if w <= EXACT_WINDOW_MAX:
+            # each window summed afresh: an (n, w) gather, exact and small
+            idx = pos[:, None] - (w - 1) + np.arange(w)[None, :]
+            ok = idx >= lower[:, None]
+            sums = np.where(ok, ext[np.clip(idx, 0, None)], 0.0).sum(axis=1)
+            cnt = ok.sum(axis=1)
+        else:
+            # wide windows: prefix sums, O(n) memory
+            cs = np.concatenate([[0.0], np.cumsum(ext)])
+            first = np.maximum(lower, pos - (w - 1))
+            sums = cs[pos + 1] - cs[first]
+            cnt = pos + 1 - first
         rn = np.arange(n, dtype=np.int64) - run_start + 1
         if carry:
             rn[run_id == 0] += int(carry["cnt"])
-        out = {self.mean_col: vals.sum(axis=1) / cnt, self.rn_col: rn, self.n_col: cnt.astype(np.int64)}
+        out = {self.mean_col: sums / cnt, self.rn_col: rn, self.n_col: cnt.astype(np.int64)}
         last_lower = int(lower[-1])
         new_tail = ext[max(last_lower, len(ext) - h):].tolist() if h > 0 else []
         return out, None, {"cnt": int(rn[-1]), "tail": new_tail}

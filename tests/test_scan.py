@@ -103,3 +103,13 @@ def test_hot_key_is_split_across_partitions(spark):
     assert hot_parts >= 2
     got = {r["t"]: r["rn"] for r in scan.apply(df).where("k = 'hot'").collect()}
     assert got == {i: i + 1 for i in range(3000)}
+
+
+def test_wide_rolling_window_prefix_sums(spark):
+    data = _data(seed=9, n_hot=400, n_cold=20)
+    df = spark.createDataFrame(data, "k string, t long, v double")
+    _, ma, _ = _brute(data, 100)
+    roll = OrderedScan(["k"], ["t"], Rolling("v", 100), 5, ["k", "t", "v"]).apply(df).collect()
+    got = {(r["k"], r["t"]): r["moving_avg"] for r in roll}
+    assert got.keys() == ma.keys()
+    assert all(abs(got[key] - ma[key]) < 1e-9 for key in ma)
