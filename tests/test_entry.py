@@ -53,3 +53,27 @@ def test_english_word_count(spark):
     out = {r["word"]: r["count"] for r in english_word_count(df).collect()}
     assert out["cat"] == 2 and out["run"] == 1 and "the" not in out and "and" not in out
     assert out["owner"] == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables absent")
+def test_english_word_count_against_python(spark):
+    """The query without a SQL oracle, against a plain-Python run of the same
+    rules on the whole sf0.001 English documents."""
+    import collections
+
+    import pyarrow.parquet as pq
+    regex = pytest.importorskip("regex")
+    from quarry.operators.english import ENGLISH_STOPWORDS, WORD
+
+    docs = pq.read_table(f"{SMOKE}/documents.parquet", columns=["text", "lang"]).to_pylist()
+    word_re = regex.compile(WORD)
+    expected = collections.Counter()
+    for d in docs:
+        if d["lang"] != "en":
+            continue
+        for raw in word_re.findall(d["text"] or ""):
+            w = regex.sub("['’][sS]$", "", raw).lower()
+            if w and w not in ENGLISH_STOPWORDS:
+                expected[stem(w)] += 1
+    got = {r["word"]: r["count"] for r in E.queries()["english_word_count"](spark, SMOKE).collect()}
+    assert got == dict(expected)
