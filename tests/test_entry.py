@@ -77,3 +77,19 @@ def test_english_word_count_against_python(spark):
                 expected[stem(w)] += 1
     got = {r["word"]: r["count"] for r in E.queries()["english_word_count"](spark, SMOKE).collect()}
     assert got == dict(expected)
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables absent")
+def test_value_change_against_sequential_fold(spark):
+    """W1 on the whole sf0.001 events table against the sequential fold."""
+    import pyarrow.parquet as pq
+
+    ev = pq.read_table(f"{SMOKE}/events.parquet", columns=["user_id", "ts", "event_id", "value"]).to_pylist()
+    expected, last = {}, {}
+    for e in sorted(ev, key=lambda e: (e["user_id"], e["ts"], e["event_id"])):
+        prev = last.get(e["user_id"], 0.0)
+        if abs(e["value"] - prev) > 1e-6:
+            expected[e["event_id"]] = e["value"] - prev
+            last[e["user_id"]] = e["value"]
+    got = {r["event_id"]: r["change"] for r in E.queries()["value_change"](spark, SMOKE).collect()}
+    assert got == expected
