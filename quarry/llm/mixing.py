@@ -97,16 +97,15 @@ steps AS (
 masses AS (
   SELECT source, rate, k, exp(k * ln(rate) - rate - sum(CASE WHEN k > 0 THEN ln(k) ELSE 0 END)
          OVER (PARTITION BY source ORDER BY k)) AS p FROM steps),
-cdf AS (
-  SELECT source, rate, list(c ORDER BY k) AS c FROM (
-    SELECT source, rate, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM masses) GROUP BY source, rate),
+cdf AS (SELECT source, rate, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM masses),
+numbered AS (
+  SELECT row_number() OVER () AS r, doc_id, source, ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')),
+         1, {_HEX}))::BIGINT / 4503599627370496.0 AS u FROM documents),
 drawn AS (
-  SELECT d.doc_id, d.source, cdf.rate,
-         len(list_filter(cdf.c, x -> x <= ('0x' || substr(md5('{SEED}:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))
-             ::BIGINT / 4503599627370496.0))::INTEGER AS copies
-  FROM documents d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source)
+  SELECT d.doc_id, d.source, cdf.rate, count(*) FILTER (WHERE c <= u)::INTEGER AS copies
+  FROM numbered d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source GROUP BY d.r, d.doc_id, d.source, cdf.rate)
 SELECT doc_id, source, copy::INTEGER AS copy, copies, round(rate, 9) AS rate,
-       ('0x' || substr(md5('{SEED}-place:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy), 1, 13))::BIGINT AS place
+       ('0x' || substr(md5('{SEED}-place:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy), 1, {_HEX}))::BIGINT AS place
 FROM (SELECT *, unnest(generate_series(0, copies - 1)) AS copy FROM drawn WHERE copies > 0)
 """
 
