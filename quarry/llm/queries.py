@@ -7,21 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from quarry.llm.annsearch import op4_ann_search
+from quarry.llm.chat import OP5_SQL, op5_chat_format
+from quarry.llm.licenses import op6_license_scan
 from quarry.llm.minhash import op3_minhash_dedup
 from quarry.llm.mixing import OP7_SQL, op7_mixing
 from quarry.llm.packing import op8_packing
 from quarry.llm.pii import op10_pii
+from quarry.llm.rpforest import op1_embedding_dedup
+from quarry.llm.suffixtree import op9_suffix_tree
 from quarry.llm.toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_ann_search": op4_ann_search,
+    "op5_chat_format": op5_chat_format,
+    "op6_license_scan": op6_license_scan,
     "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
+    "op9_suffix_tree": op9_suffix_tree,
     "op10_pii": op10_pii,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_mixing": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL, "op7_mixing": OP7_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
