@@ -36,7 +36,7 @@ class TextEncoder:
     The tokenizer drops white space and splits at it before anything else, so a text's ids are its words' ids one
     after another.  Plain words go to the tokenizer's model directly; all others through the tokenizer itself."""
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -83,6 +83,12 @@ class _Words(dict):
 _ENCODERS: dict[str, TextEncoder] = {}  # one for each worker process and file
 
 
+def encoder_of(path: str) -> TextEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = TextEncoder(path)
+    return _ENCODERS[path]
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -93,8 +99,9 @@ def pieces_of(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
     """One row a piece: doc_id, piece, start, length, ids_crc32 (and the ids, if asked for)."""
 
     def run(batches):
-        where = path or tokenizer_path()
-        encoder = _ENCODERS.get(where) or _ENCODERS.setdefault(where, TextEncoder(where))
+        from quarry.llm.packing import encoder_of  # the worker's own module: what it remembers outlives the task
+
+        encoder = encoder_of(path or tokenizer_path())
         for pdf in batches:
             out = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
