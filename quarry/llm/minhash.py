@@ -12,8 +12,9 @@ hit are made; documents with a component left are made again up to a later time,
 
 Groups.  (1) Documents with equal words form a class (hash of 128 bits).  (2) ``bands`` of ``rows`` components each put
 classes into buckets; 24 x 5 miss a pair of similarity 0.8 with a chance of 7e-5.  (3) Every class is verified against
-the smallest class that shares a bucket with it; links give components.  (4) Buckets that still hold several
-components give the pairs across them (those whose sizes and 120-bit sketches allow 0.8), which are
+the smallest class that shares a bucket with it; links give components.  (4) In buckets that
+still hold several components, another round compares each class with another hub of its bucket.  (5) Buckets that hold
+several components even then give all pairs across them (those whose sizes and 240-bit sketches allow 0.8), which are
 verified as well.  Pairs inside one component are never made, so groups of thousands of copies stay cheap, and no
 link between components is lost.
 
@@ -37,10 +38,12 @@ from quarry.llm.graph import components
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
 M = BANDS * ROWS
-CHUNK_CHARS = 2_000_000
+HUB_ROUNDS = 1
+SKETCH = ("k0", "k1", "k2", "k3")
+CHUNK_CHARS = 8_000_000
 _WORD = re.compile(r"\w+")
 _FACTORS = mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
-SIGNATURE = "struct<h1:bigint,h2:bigint,n:int,bands:array<bigint>,k1:bigint,k2:bigint>"
+SIGNATURE = "struct<h1:bigint,h2:bigint,n:int,bands:array<bigint>,k0:bigint,k1:bigint,k2:bigint,k3:bigint>"
 
 
 class _WordHash(dict):
@@ -96,7 +99,7 @@ def bag_min_hash(doc: np.ndarray, hashes: np.ndarray, weight: np.ndarray, n_docs
         values = out.ravel()
         while len(own):
             j += 1
-            r = mix64(s + np.uint64(j) * np.uint64(0xD1B54A32D192ED03))
+            r = mix64(s + np.uint64(j * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
             u = (r >> np.uint64(11)).astype(float) * 2.0**-53
             t = t - np.log1p(-u) / rate
             near = t < limit[d]
@@ -135,10 +138,11 @@ def signatures(texts: list[str]) -> pd.DataFrame:
     keys = np.zeros((len(texts), BANDS), np.uint64)
     for i in range(ROWS):
         keys = mix64(keys + bits[:, i::ROWS])
-    low = (mix64(bits) & np.uint64(1)).astype(np.uint64)
-    sketch = [(low[:, i:i + M // 2] << np.arange(M // 2, dtype=np.uint64)).sum(axis=1).view(np.int64) for i in (0, M // 2)]
+    fields = mix64(bits) & np.uint64(3)
+    sketch = {f"k{i}": (fields[:, i * 32:i * 32 + 32] << np.arange(0, 64, 2, dtype=np.uint64)[:min(32, M - i * 32)])
+              .sum(axis=1).view(np.int64) for i in range(4)}
     bands = [list(k) if n else [] for k, n in zip(keys.view(np.int64), sizes, strict=True)]
-    return pd.DataFrame({"h1": h1, "h2": h2, "n": sizes.astype(np.int32), "bands": bands, "k1": sketch[0], "k2": sketch[1]})
+    return pd.DataFrame({"h1": h1, "h2": h2, "n": sizes.astype(np.int32), "bands": bands, **sketch})
 
 
 def _signature(text: Column) -> Column:
@@ -156,22 +160,38 @@ def _signature(text: Column) -> Column:
     return F.pandas_udf(run, SIGNATURE)(text)
 
 
-def similarity(a: str, b: str, known: dict | None = None) -> float:
-    """Weighted Jaccard of the shingle multisets of two texts; 0 if either has no word."""
-    known = _WordHash() if known is None else known
-    x, y = (np.unique(shingles(_WORD.findall(t.lower()), known), return_counts=True) for t in (a or "", b or ""))
-    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    both = np.minimum(x[1][i], y[1][j]).sum()
-    total = x[1].sum() + y[1].sum() - both
-    return float(both / total) if total else 0.0
+def multiset(text: str | None, known: dict):
+    """Distinct shingles, sorted, and their counts."""
+    return np.unique(shingles(_WORD.findall((text or "").lower()), known), return_counts=True)
 
 
-def _similarity(a: Column, b: Column) -> Column:
-    def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        known = _WordHash()
-        return pd.Series([similarity(p, q, known) for p, q in zip(x, y, strict=True)], dtype=float)
+def overlap(x, y) -> float:
+    """Weighted Jaccard of two multisets; 0 if both are empty."""
+    if not len(x[0]) or not len(y[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(y[0], x[0]), len(y[0]) - 1)
+    both = np.minimum(x[1], np.where(y[0][at] == x[0], y[1][at], 0)).sum()
+    return float(both / (x[1].sum() + y[1].sum() - both))
 
-    return F.pandas_udf(run, "double")(a, b)
+
+def similarity(a: str | None, b: str | None) -> float:
+    known = _WordHash()
+    return overlap(multiset(a, known), multiset(b, known))
+
+
+def _linked(batches):
+    """Pairs (a, b) of a batch whose texts reach the similarity; the multiset of a text that comes again is remembered."""
+    known, seen = _WordHash(), {}
+    for pdf in batches:
+        keep = []
+        for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["a_text"], pdf["b_text"], strict=True):
+            if len(seen) > 2000:
+                seen.clear()
+            for rid, text in ((a, x), (b, y)):
+                if rid not in seen:
+                    seen[rid] = multiset(text, known)
+            keep.append(overlap(seen[a], seen[b]) >= SIMILARITY)
+        yield pdf.loc[keep, ["a", "b"]]
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -180,13 +200,41 @@ def _verified(pairs: DataFrame, rows: DataFrame, scratch: Scratch, name: str) ->
     texts = scratch.put(rows.select("rid", "text").join(wanted, "rid", "left_semi"), f"{name}-texts")
     left = texts.select(F.col("rid").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("rid").alias("b"), F.col("text").alias("b_text"))
-    found = (pairs.join(left, "a").join(right, "b")
-             .where(_similarity(F.col("a_text"), F.col("b_text")) >= SIMILARITY).select("a", "b"))
-    found = scratch.put(found, name)
+    both = pairs.join(right, "b").join(left, "a").sortWithinPartitions("a", "b")
+    found = scratch.put(both.select("a", "b", "a_text", "b_text").mapInPandas(_linked, "a long, b long"), name)
     scratch.drop(f"{name}-texts")
     return found
 
 
+def _still_open(entries: DataFrame, roots: DataFrame, rows: DataFrame) -> DataFrame:
+    """Entries of the buckets that hold several components, with component, size and sketch."""
+    entries = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = entries.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
+    return (entries.join(open_, "bucket", "left_semi")
+            .join(rows.select(F.col("rid").alias("node"), "n", *SKETCH), "node"))
+
+
+def _differing() -> Column:
+    """In how many of the 120 two-bit fields the sketches of a pair differ."""
+    out = F.lit(0)
+    for k in SKETCH:
+        x = F.col(f"a_{k}").bitwiseXOR(F.col(f"b_{k}"))
+        out = out + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return out
+
+
+def _candidates(some: DataFrame, entries: DataFrame) -> DataFrame:
+    """Distinct pairs of different components that share a bucket and whose sizes and sketches allow the similarity."""
+    one, two = (e.select("bucket", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", *SKETCH, "root")])
+                for s, e in (("a", some), ("b", entries)))
+    order = F.col("a_root") < F.col("b_root") if some is entries else F.col("a_root") != F.col("b_root")
+    # at similarity 0.8 sketches differ in 18 fields on average, with a deviation of 3.9: one pair in 200,000 exactly there
+    # differs in more than 36
+    return (one.join(two, "bucket").where(order).where(F.least("a_n", "b_n") >= SIMILARITY * F.greatest("a_n", "b_n"))
+            .where(_differing() <= 36)
+            .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct())
+
+
 def groups(docs: DataFrame, scratch: Scratch, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``(row, class_id, kept)``: ``row`` is the whole input row as a struct; ``class_id`` the smallest id of
     its near-duplicate group; ``kept`` marks one row of each group (smallest id, then first read)."""
@@ -197,28 +245,26 @@ def groups(docs: DataFrame, scratch: Scratch, text: str = "text", doc_id: str =
                        .withColumns({"h1": F.when(F.col("n") == 0, F.col("rid")).otherwise(F.col("h1")),
                                      "h2": F.when(F.col("n") == 0, F.lit(0)).otherwise(F.col("h2"))}), "rows", keep=True)
     classes = rows.groupBy("h1", "h2", "n").agg(F.min("rid").alias("node"))
-    reps = rows.select("rid", "n", "bands", "k1", "k2").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi")
-    entries = scratch.put(reps.select("rid", "n", "k1", "k2", F.posexplode("bands").alias("band", "key"))
-                          .select(F.col("rid").alias("node"), "n", "k1", "k2", F.xxhash64("band", "key").alias("bucket")),
-                          "entries")
+    reps = rows.select("rid", "bands").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi")
+    entries = scratch.put(reps.select("rid", F.posexplode("bands").alias("band", "key"))
+                          .select(F.col("rid").alias("node"), F.xxhash64("band", "key").alias("bucket")), "entries")
     shared = entries.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1")
     entries = scratch.put(entries.join(shared.drop("c"), "bucket"), "shared")
     scratch.drop("entries")
     stars = entries.groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a")).where("a < b").select("a", "b")
     links = _verified(scratch.put(stars, "stars"), rows, scratch, "star-links")
     roots = scratch.put(components(links, scratch, "star-components"), "star-roots")
-
-    entries = (entries.drop("hub").join(roots, "node", "left")
-               .withColumn("root", F.coalesce("root", "node")))
-    open_ = entries.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("bucket")
-    entries = scratch.put(entries.join(open_, "bucket", "left_semi"), "open")
-    one, two = (entries.select("bucket", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "k1", "k2", "root")])
-                for s in "ab")
-    differ = F.bit_count(F.col("a_k1").bitwiseXOR(F.col("b_k1"))) + F.bit_count(F.col("a_k2").bitwiseXOR(F.col("b_k2")))
-    # at similarity 0.8 the 120 sketch bits differ in 12 places on average (deviation 3.3)
-    crossing = (one.join(two, "bucket").where("a_root < b_root")
-                .where((F.least("a_n", "b_n") >= SIMILARITY * F.greatest("a_n", "b_n")) & (differ <= 32))
-                .select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())
+    entries = entries.drop("hub")
+    for i in range(HUB_ROUNDS):  # another hub each time; only classes of another component than the hub's are compared
+        entries = scratch.put(_still_open(entries, roots, rows), f"open-{i}")
+        hubs = entries.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.lit(i))).alias("node"))
+        stars = scratch.put(_candidates(entries.join(hubs, ["bucket", "node"], "left_semi"), entries), f"stars-{i}")
+        links = _verified(stars, rows, scratch, f"links-{i}")
+        old = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+        roots = scratch.put(components(old.union(links), scratch, f"components-{i}"), f"roots-{i}")
+        entries = entries.select("node", "bucket")
+    entries = scratch.put(_still_open(entries, roots, rows), "open")
+    crossing = _candidates(entries, entries)
     more = _verified(scratch.put(crossing, "crossing"), rows, scratch, "crossing-links")
     stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     roots = components(stars.union(more), scratch, "all-components")
