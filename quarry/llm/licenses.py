@@ -11,6 +11,8 @@ not looked at; an empty table stays empty.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,8 +151,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.col("n_words") - (_spaces(F.element_at(x, -1)) - 1) - len(p.split(" "))).alias("last")).alias(f"b{i}")
         for i, (p, x) in enumerate(pieces.items())])
     b = [F.when(F.col("w").isNotNull() & (F.col(f"b{i}.n") > 0), F.col(f"b{i}")) for i in range(len(BASE))]
-    known = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(p).alias("pattern"), F.lit(n).alias("priority"),
-                               F.lit(name).alias("label")) for name, k, p, n in rules()])
+    # one literal instead of some thousand: the plan stays small
+    known = F.from_json(F.lit(json.dumps([dict(zip(("label", "keyword", "pattern", "priority"), r, strict=True)) for r in rules()])),
+                        "array<struct<keyword:string,pattern:string,priority:int,label:string>>")
     found = F.flatten(F.transform(F.filter(known, lambda r: F.contains(F.col("w"), r["keyword"])),
                                   lambda r: _detections(F.col("w"), r)))
     hold = hold.select(

@@ -54,9 +54,11 @@ class TextEncoder:
     def encode_word(self, word: str) -> bytes:
         tail = word[-1] if word[-1] in ".,;:!?" else ""
         core = word[:-1] if tail else word
-        if core.isalpha() and (core.isascii() or ("Σ" not in core and unicodedata.is_normalized("NFC", word))):
+        low = core.lower()
+        if core.isalpha() and (core.isascii() or (low.isalpha() and len(low) == len(core) and "Σ" not in core
+                                                  and unicodedata.is_normalized("NFC", word))):
             ids = []
-            for part in (core.lower(), tail):
+            for part in (low, tail):
                 if part:
                     ids += [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.shown))]
             return self._bytes(ids)
