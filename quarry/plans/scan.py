@@ -46,9 +46,8 @@ _PID = "_pid"
 # few MB; at 100 TB this still gives slices of about 1 GB.
 MAX_SCAN_PARTITIONS = 100_000
 
-# Windows up to this width are summed row by row (exact); wider ones use
-# prefix sums so memory stays O(batch) instead of O(batch * width).
-EXACT_WINDOW_MAX = 64
+# A rolling mean looks at so many (row, window place) cells at once.
+WINDOW_CELLS = 1 << 20
 
 
 # --------------------------------------------------------------------------- recipes
@@ -135,22 +134,22 @@ class Rolling(Recipe):
         if carry:
             lower[run_id == 0] = 0
         pos = off + np.arange(n)
-        if w <= EXACT_WINDOW_MAX:
-            # each window summed afresh: an (n, w) gather, exact and small
-            idx = pos[:, None] - (w - 1) + np.arange(w)[None, :]
-            ok = idx >= lower[:, None]
-            sums = np.where(ok, ext[np.clip(idx, 0, None)], 0.0).sum(axis=1)
-            cnt = ok.sum(axis=1)
-        else:
-            # wide windows: prefix sums, O(n) memory
-            cs = np.concatenate([[0.0], np.cumsum(ext)])
-            first = np.maximum(lower, pos - (w - 1))
-            sums = cs[pos + 1] - cs[first]
-            cnt = pos + 1 - first
+        # each window summed afresh, whatever its width, so nothing of another key or an older row is left in it; a block of
+        # rows at a time bounds the memory; nulls are skipped as in SQL's avg
+        sums, seen = np.empty(n), np.empty(n)
+        step = max(1, WINDOW_CELLS // w)
+        for a in range(0, n, step):
+            idx = pos[a:a + step, None] - (w - 1) + np.arange(w)[None, :]
+            x = np.where(idx >= lower[a:a + step, None], ext[np.clip(idx, 0, None)], np.nan)
+            good = ~np.isnan(x)
+            sums[a:a + step] = np.where(good, x, 0.0).sum(axis=1)
+            seen[a:a + step] = good.sum(axis=1)
+        cnt = pos + 1 - np.maximum(lower, pos - (w - 1))
+        mean = np.divide(sums, seen, out=np.full(n, np.nan), where=seen > 0)
         rn = np.arange(n, dtype=np.int64) - run_start + 1
         if carry:
             rn[run_id == 0] += int(carry["cnt"])
-        out = {self.mean_col: sums / cnt, self.rn_col: rn, self.n_col: cnt.astype(np.int64)}
+        out = {self.mean_col: mean, self.rn_col: rn, self.n_col: cnt.astype(np.int64)}
         last_lower = int(lower[-1])
         new_tail = ext[max(last_lower, len(ext) - h):].tolist() if h > 0 else []
         return out, None, {"cnt": int(rn[-1]), "tail": new_tail}
@@ -262,7 +261,8 @@ def _run_starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
         change[0] = True
         for k in keys:
             a = pdf[k].to_numpy()
-            change[1:] |= a[1:] != a[:-1]
+            null = pd.isna(a)  # null keys are one key, as in GROUP BY
+            change[1:] |= (a[1:] != a[:-1]) & ~(null[1:] & null[:-1])
     return np.flatnonzero(change)
 
 
@@ -404,7 +404,12 @@ class OrderedScan:
         return summaries.repartition(1).mapInPandas(resolve, _CARRY_SCHEMA)
 
     def apply(self, df: DataFrame) -> DataFrame:
-        sorted_df = self._sorted(df)
+        # one set of slices for both passes, whatever columns each reads: without this the optimizer may prune below the
+        # range exchange of one pass only, which then samples other cut points than the other
+        from quarry.session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)
+        sorted_df = self._sorted(df).checkpoint(eager=False)
         carry = self.carries(self.summaries(sorted_df)).withColumn("_first", F.lit(True))
         # the carry is attached to the first row of its slice only (row ids
         # are ``slice << 33`` + position), not repeated on every row

@@ -68,7 +68,7 @@ def read_positional(spark: SparkSession, path: str, schema: T.StructType, sep: s
                     permissive: bool = False) -> DataFrame:
     """Load with a positional typed schema of the first ``len(schema)``
     fields; fields beyond it are dropped, missing ones are null."""
-    parts = F.split(F.col("value"), sep, -1)
+    parts = F.split(F.col("value"), re.escape(sep), -1)  # split takes a pattern; the separator is plain text
     cols = []
     for i, f in enumerate(schema.fields):
         raw = F.try_element_at(parts, F.lit(i + 1))

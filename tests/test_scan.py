@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from quarry.plans.scan import OrderedScan, RowIndex, Rolling, ValueChange, row_index
+from quarry.plans.scan import OrderedScan, RowIndex, Rolling, ValueChange, rolling_mean, row_index
 from tests.conftest import executed_plan
 
 
@@ -68,9 +68,10 @@ def test_scan_drift_across_partitions(spark):
 
 def test_scan_plan_uses_range_partitioning(spark):
     df = spark.createDataFrame(_data(n_hot=50, n_cold=5), "k string, t long, v double")
-    text = executed_plan(OrderedScan(["k"], ["t"], RowIndex(), 4, ["k", "t"]).apply(df))
-    assert "rangepartitioning" in text.lower()
-    assert "ReusedExchange" in text  # both passes read one range shuffle
+    scan = OrderedScan(["k"], ["t"], RowIndex(), 4, ["k", "t"])
+    assert "rangepartitioning" in executed_plan(scan._sorted(df)).lower()
+    # both passes read the same slices: no range exchange of their own that could be sampled apart
+    assert "rangepartitioning" not in executed_plan(scan.apply(df)).lower()
 
 
 def test_scan_small_arrow_batches(spark):
@@ -113,3 +114,38 @@ def test_wide_rolling_window_prefix_sums(spark):
     got = {(r["k"], r["t"]): r["moving_avg"] for r in roll}
     assert got.keys() == ma.keys()
     assert all(abs(got[key] - ma[key]) < 1e-9 for key in ma)
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_scan_with_extra_columns_equals_windows(spark, reuse):
+    from pyspark.sql import functions as F
+    from pyspark.sql.window import Window
+
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = spark.range(60_000, numPartitions=4).select(
+            (F.col("id") % 3).alias("k"), F.xxhash64("id").alias("t"), (F.col("id") % 1000).cast("double").alias("v"),
+            F.concat(F.lit("extra"), F.col("id").cast("string")).alias("more"))
+        w = Window.partitionBy("k").orderBy("t")
+        want = df.withColumn("want", F.row_number().over(w)).withColumn("mean", F.avg("v").over(w.rowsBetween(-3, 0)))
+        got = row_index(df, ["k"], ["t"], num_partitions=8)
+        assert got.join(want, ["k", "t"]).where("rn <> want").count() == 0
+        got = rolling_mean(df, ["k"], ["t"], "v", 4, num_partitions=8).select("k", "t", "rn", "moving_avg")
+        both = got.join(want, ["k", "t"])
+        assert both.count() == 60_000 and both.where("rn <> want or abs(moving_avg - mean) > 1e-9").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+@pytest.mark.parametrize("width", [4, 64, 65, 200])
+def test_rolling_mean_mixed_magnitudes_and_nulls(spark, width):
+    from pyspark.sql import functions as F
+    from pyspark.sql.window import Window
+
+    big = F.when(F.col("id") % 2 == 0, F.lit(1e17)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") / 1000)
+    df = spark.range(4000, numPartitions=3).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"), big.alias("v"))
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(-(width - 1), 0)
+    both = rolling_mean(df, ["k"], ["t"], "v", width, num_partitions=5).join(
+        df.select("k", "t", F.avg("v").over(w).alias("want")), ["k", "t"])
+    wrong = both.where("not (moving_avg <=> want) and not coalesce(abs(moving_avg - want) <= 1e-9 * abs(want), false)")
+    assert both.count() == 4000 and wrong.count() == 0

@@ -106,3 +106,18 @@ def test_message_stream_is_gated(spark):
         assert "Kafka" in str(exc)
     else:  # connector present: the stream is declared lazily, nothing to check here
         pass
+
+
+def test_positional_separators_are_plain_text(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import types as T
+
+    from quarry.sources.readers import read_positional
+
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    for sep in ("|", ".", "^", "||"):
+        path = os.path.join(tmp_dir, f"x{ord(sep[0])}{len(sep)}.txt")
+        with open(path, "w") as f:
+            f.write(f"10{sep}bob{sep}3\n")
+        assert [tuple(r) for r in read_positional(spark, path, schema, sep=sep).collect()] == [(10, "bob")]
