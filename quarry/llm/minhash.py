@@ -41,6 +41,8 @@ M = BANDS * ROWS
 HUB_ROUNDS = 1
 SKETCH = ("k0", "k1", "k2", "k3")
 CHUNK_CHARS = 8_000_000
+#: Shingles of the texts that a block of the verification holds, about.
+CELL_SHINGLES = 300_000
 _WORD = re.compile(r"\w+")
 _FACTORS = mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 SIGNATURE = "struct<h1:bigint,h2:bigint,n:int,bands:array<bigint>,k0:bigint,k1:bigint,k2:bigint,k3:bigint>"
@@ -179,30 +181,89 @@ def similarity(a: str | None, b: str | None) -> float:
     return overlap(multiset(a, known), multiset(b, known))
 
 
+class _Cell:
+    """The multisets of one cell's texts over a common numbering of its shingles, to compare many pairs at once."""
+
+    def __init__(self, rids: list[int], sets: list):
+        order = np.argsort(rids)
+        self.rids = np.array(rids, np.int64)[order]
+        sets = [sets[i] for i in order]
+        self.length = np.array([len(h) for h, _ in sets], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        known, self.element = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
+        self.count = np.concatenate([c for _, c in sets])
+        self.total = np.array([c.sum() for _, c in sets], np.int64)
+        self.dense = np.zeros(len(known), np.int64)
+
+    def _places(self, at: np.ndarray) -> np.ndarray:
+        n = self.length[at]
+        return np.repeat(self.start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+    def linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs reach the similarity; ``a`` is sorted."""
+        a, b = np.searchsorted(self.rids, a), np.searchsorted(self.rids, b)
+        both = np.zeros(len(a), np.int64)
+        # a text has a run of pairs; long runs are cut so that the gathered elements stay bounded
+        size = np.cumsum(self.length[b])
+        cut = np.concatenate([[True], (a[1:] != a[:-1]) | (size[1:] // CELL_SHINGLES != size[:-1] // CELL_SHINGLES)])
+        for x, y in zip(first := np.flatnonzero(cut), np.append(first[1:], len(a)), strict=True):
+            own = slice(self.start[a[x]], self.start[a[x]] + self.length[a[x]])
+            self.dense[self.element[own]] = self.count[own]
+            at = self._places(b[x:y])
+            n = self.length[b[x:y]]
+            filled = n > 0
+            if filled.any():
+                both[x:y][filled] = np.add.reduceat(np.minimum(self.dense[self.element[at]], self.count[at]),
+                                                    (np.cumsum(n) - n)[filled])
+            self.dense[self.element[own]] = 0
+        return both / np.maximum(self.total[a] + self.total[b] - both, 1) >= SIMILARITY
+
+
 def _linked(batches):
-    """Pairs (a, b) of a batch whose texts reach the similarity; the multiset of a text that comes again is remembered."""
-    known, seen = _WordHash(), {}
+    """Rows sorted by cell, its texts before its pairs sorted by ``a``; the pairs whose texts reach the similarity."""
+    known, now, rids, sets, cell = _WordHash(), None, [], [], None
     for pdf in batches:
-        keep = []
-        for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["a_text"], pdf["b_text"], strict=True):
-            if len(seen) > 2000:
-                seen.clear()
-            for rid, text in ((a, x), (b, y)):
-                if rid not in seen:
-                    seen[rid] = multiset(text, known)
-            keep.append(overlap(seen[a], seen[b]) >= SIMILARITY)
+        cells, a, b = pdf["cell"].to_numpy(), pdf["a"].to_numpy(), pdf["b"].to_numpy()
+        texts, pair, keep = pdf["text"].to_numpy(), pdf["pair"].to_numpy(), np.zeros(len(pdf), bool)
+        new = np.concatenate([[True], (cells[1:] != cells[:-1]) | (pair[1:] != pair[:-1])])[:len(pdf)]
+        for x, y in zip(first := np.flatnonzero(new), np.append(first[1:], len(pdf)), strict=True):
+            if cells[x] != now:
+                now, rids, sets, cell = cells[x], [], [], None
+            if not pair[x]:
+                rids.extend(a[x:y])
+                sets.extend(multiset(t, known) for t in texts[x:y])
+            else:
+                cell = cell or _Cell(rids, sets)
+                keep[x:y] = cell.linked(a[x:y], b[x:y])
         yield pdf.loc[keep, ["a", "b"]]
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b) whose texts reach the similarity."""
-    wanted = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid"))).distinct()
-    texts = scratch.put(rows.select("rid", "text").join(wanted, "rid", "left_semi"), f"{name}-texts")
-    left = texts.select(F.col("rid").alias("a"), F.col("text").alias("a_text"))
-    right = texts.select(F.col("rid").alias("b"), F.col("text").alias("b_text"))
-    both = pairs.join(right, "b").join(left, "a").sortWithinPartitions("a", "b")
-    found = scratch.put(both.select("a", "b", "a_text", "b_text").mapInPandas(_linked, "a long, b long"), name)
-    scratch.drop(f"{name}-texts")
+def _verified(pairs: DataFrame, entries: DataFrame, rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b) whose texts reach the similarity.
+
+    Classes are put into blocks: those that have the same largest bucket, cut by a hash so that a block holds about
+    ``CELL_SHINGLES`` shingles.  A pair belongs to the cell of its two blocks, and a text is sent once to each cell that has
+    pairs of it, not once a pair."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    size = entries.groupBy("bucket").agg(F.count("*").alias("c"))
+    home = (entries.join(wanted, "node", "left_semi").join(size, "bucket")
+            .groupBy("node").agg(F.max(F.struct("c", "bucket")).alias("home"))
+            .join(rows.select(F.col("rid").alias("node"), "n"), "node").select("node", "home.bucket", "n"))
+    parts = home.groupBy("bucket").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("parts"))
+    blocks = scratch.put(home.join(parts, "bucket").select(
+        "node", F.xxhash64("bucket", F.pmod(F.xxhash64("node"), "parts")).alias("block")), f"{name}-blocks")
+    placed = scratch.put(
+        pairs.join(blocks.select(F.col("node").alias("a"), F.col("block").alias("x")), "a")
+        .join(blocks.select(F.col("node").alias("b"), F.col("block").alias("y")), "b")
+        .select(F.xxhash64(F.least("x", "y"), F.greatest("x", "y")).alias("cell"), "a", "b"), f"{name}-placed")
+    sent = (placed.select("cell", F.col("a").alias("rid")).union(placed.select("cell", F.col("b").alias("rid"))).distinct()
+            .join(rows.select("rid", "text"), "rid"))
+    both = (sent.select("cell", F.lit(False).alias("pair"), F.col("rid").alias("a"), F.lit(0).cast("long").alias("b"), "text")
+            .union(placed.select("cell", F.lit(True), "a", "b", F.lit(None).cast("string"))))
+    found = scratch.put(both.repartition("cell").sortWithinPartitions("cell", "pair", "a")
+                        .mapInPandas(_linked, "a long, b long"), name)
+    scratch.drop(f"{name}-blocks")
+    scratch.drop(f"{name}-placed")
     return found
 
 
@@ -252,20 +313,20 @@ def groups(docs: DataFrame, scratch: Scratch, text: str = "text", doc_id: str =
     entries = scratch.put(entries.join(shared.drop("c"), "bucket"), "shared")
     scratch.drop("entries")
     stars = entries.groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a")).where("a < b").select("a", "b")
-    links = _verified(scratch.put(stars, "stars"), rows, scratch, "star-links")
+    links = _verified(scratch.put(stars, "stars"), entries, rows, scratch, "star-links")
     roots = scratch.put(components(links, scratch, "star-components"), "star-roots")
     entries = entries.drop("hub")
     for i in range(HUB_ROUNDS):  # another hub each time; only classes of another component than the hub's are compared
         entries = scratch.put(_still_open(entries, roots, rows), f"open-{i}")
         hubs = entries.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.lit(i))).alias("node"))
         stars = scratch.put(_candidates(entries.join(hubs, ["bucket", "node"], "left_semi"), entries), f"stars-{i}")
-        links = _verified(stars, rows, scratch, f"links-{i}")
+        links = _verified(stars, entries, rows, scratch, f"links-{i}")
         old = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
         roots = scratch.put(components(old.union(links), scratch, f"components-{i}"), f"roots-{i}")
         entries = entries.select("node", "bucket")
     entries = scratch.put(_still_open(entries, roots, rows), "open")
     crossing = _candidates(entries, entries)
-    more = _verified(scratch.put(crossing, "crossing"), rows, scratch, "crossing-links")
+    more = _verified(scratch.put(crossing, "crossing"), entries, rows, scratch, "crossing-links")
     stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     roots = components(stars.union(more), scratch, "all-components")
 
