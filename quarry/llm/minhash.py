@@ -300,33 +300,38 @@ def groups(docs: DataFrame, scratch: Scratch, text: str = "text", doc_id: str =
     """``(row, class_id, kept)``: ``row`` is the whole input row as a struct; ``class_id`` the smallest id of
     its near-duplicate group; ``kept`` marks one row of each group (smallest id, then first read)."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].cast("long").alias("id"),
-                       docs[text].alias("text"), _signature(docs[text]).alias("s"))
+                       _signature(docs[text]).alias("s"))
     # ids are fixed by writing them; a text without a word gets a class of its own
-    rows = scratch.put(rows.select("row", "id", "text", F.monotonically_increasing_id().alias("rid"), "s.*")
+    rows = scratch.put(rows.select("row", "id", F.monotonically_increasing_id().alias("rid"), "s.*")
                        .withColumns({"h1": F.when(F.col("n") == 0, F.col("rid")).otherwise(F.col("h1")),
                                      "h2": F.when(F.col("n") == 0, F.lit(0)).otherwise(F.col("h2"))}), "rows", keep=True)
     classes = rows.groupBy("h1", "h2", "n").agg(F.min("rid").alias("node"))
-    reps = rows.select("rid", "bands").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi")
+    reps = rows.select("rid", "bands").hint("merge").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi")
     entries = scratch.put(reps.select("rid", F.posexplode("bands").alias("band", "key"))
                           .select(F.col("rid").alias("node"), F.xxhash64("band", "key").alias("bucket")), "entries")
+    entries = entries.repartition("bucket")
     shared = entries.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1")
     entries = scratch.put(entries.join(shared.drop("c"), "bucket"), "shared")
     scratch.drop("entries")
+    # only classes that share a bucket are ever compared; their texts leave the table of all rows once.  No size of
+    # either side is bounded, so neither is broadcast
+    shares = entries.select(F.col("node").alias("rid")).distinct()
+    near = scratch.put(rows.select("rid", "n", F.col("row")[text].alias("text"), *SKETCH).hint("merge").join(shares, "rid", "left_semi"), "near")
     stars = entries.groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a")).where("a < b").select("a", "b")
-    links = _verified(scratch.put(stars, "stars"), entries, rows, scratch, "star-links")
+    links = _verified(scratch.put(stars, "stars"), entries, near, scratch, "star-links")
     roots = scratch.put(components(links, scratch, "star-components"), "star-roots")
     entries = entries.drop("hub")
     for i in range(HUB_ROUNDS):  # another hub each time; only classes of another component than the hub's are compared
-        entries = scratch.put(_still_open(entries, roots, rows), f"open-{i}")
+        entries = scratch.put(_still_open(entries, roots, near), f"open-{i}")
         hubs = entries.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.lit(i))).alias("node"))
         stars = scratch.put(_candidates(entries.join(hubs, ["bucket", "node"], "left_semi"), entries), f"stars-{i}")
-        links = _verified(stars, entries, rows, scratch, f"links-{i}")
+        links = _verified(stars, entries, near, scratch, f"links-{i}")
         old = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
         roots = scratch.put(components(old.union(links), scratch, f"components-{i}"), f"roots-{i}")
         entries = entries.select("node", "bucket")
-    entries = scratch.put(_still_open(entries, roots, rows), "open")
+    entries = scratch.put(_still_open(entries, roots, near), "open")
     crossing = _candidates(entries, entries)
-    more = _verified(scratch.put(crossing, "crossing"), entries, rows, scratch, "crossing-links")
+    more = _verified(scratch.put(crossing, "crossing"), entries, near, scratch, "crossing-links")
     stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     roots = components(stars.union(more), scratch, "all-components")
 
