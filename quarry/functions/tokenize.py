@@ -33,8 +33,11 @@ WHITESPACE = ("[\\s\\x1c-\\x1f\\u1680\\u2000-\\u2006\\u2008-\\u200a"
               "\\u2028\\u2029\\u205f\\u3000]+")  # Character.isWhitespace
 LINE_BREAK = "\\r\\n|\\n|\\r"
 
-_ESC_MARK = "\u0001"   # stands for the escape char of an escaped pair
-_SEP_MARK = "\u0002"   # stands for an escaped separator
+# marks of the escaped split; a U+0001 of the text itself is written as _OWN first, so no text can hold a mark
+_LEAD = "\u0001"
+_OWN = _LEAD + "\u0003"        # a U+0001 of the text
+_ESC_MARK = _LEAD + "\u0004"   # stands for the escape char of an escaped pair
+_SEP_MARK = _LEAD + "\u0005"   # stands for an escaped separator with its escape char
 
 
 def _non_empty(arr: Column) -> Column:
@@ -77,13 +80,16 @@ def split_escaped(text, sep: str = " ", escape: str = "\\") -> Column:
     esc_re = re.escape(escape)
     sep_re = re.escape(sep)
     # mark every (escape, char) pair left to right, then protect escaped seps
-    marked = F.regexp_replace(c, f"{esc_re}([\\s\\S])", _ESC_MARK + "$1")
-    marked = F.regexp_replace(marked, _ESC_MARK + sep_re, _ESC_MARK + _SEP_MARK)
-    escaped = F.transform(
-        java_split(marked, sep_re),
-        lambda w: F.regexp_replace(F.regexp_replace(w, _SEP_MARK, sep), _ESC_MARK,
-                                   escape.replace("\\", "\\\\").replace("$", "\\$")),
-    )
+    marked = F.replace(c, F.lit(_LEAD), F.lit(_OWN))
+    marked = F.regexp_replace(marked, f"{esc_re}([\\s\\S])", _ESC_MARK + "$1")
+    marked = F.replace(marked, F.lit(_ESC_MARK + sep), F.lit(_SEP_MARK))
+
+    def plain(w: Column) -> Column:
+        for mark, text_of in ((_SEP_MARK, escape + sep), (_ESC_MARK, escape), (_OWN, _LEAD)):
+            w = F.replace(w, F.lit(mark), F.lit(text_of))
+        return w
+
+    escaped = F.transform(java_split(marked, sep_re), plain)
     # without an escape char the marking is a no-op: plain split
     return (F.when(c == F.lit(""), F.array().cast("array<string>"))
             .when(c.contains(F.lit(escape)), escaped)

@@ -96,3 +96,12 @@ def test_first_char_partition_non_negative(spark):
     df = spark.createDataFrame([("apple",), ("0zero",), ("Zed",)], "k string")
     got = [r[0] for r in df.select(C.first_char_partition("k", 3, base="A")).collect()]
     assert all(0 <= g < 3 for g in got)
+
+
+def test_split_escaped_takes_control_characters_as_text(spark):
+    texts = ["a\\ b x\u0001y \u0002z", "\u0001\u0004 \\ \u0001\u0005", "\\\u0001 \u0003\\\\ q\u0001", "\u0001\u0003 \\x"]
+    want = [["a\\ b", "x\u0001y", "\u0002z"], ["\u0001\u0004", "\\ \u0001\u0005"], ["\\\u0001", "\u0003\\\\", "q\u0001"],
+            ["\u0001\u0003", "\\x"]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["w"] for r in df.select("i", T.split_escaped("t").alias("w")).orderBy("i").collect()]
+    assert got == want
