@@ -134,7 +134,7 @@ def signatures(texts: list[str]) -> pd.DataFrame:
         h1.append((whole >> 64) - (1 << 63))
         h2.append((whole & ((1 << 64) - 1)) - (1 << 63))
         found.append(shingles(words, known))
-    sizes = np.array([len(x) for x in found])
+    sizes = np.array([len(x) for x in found], np.int64)
     doc, hashes, weight = counted(np.repeat(np.arange(len(texts)), sizes), np.concatenate([*found, np.zeros(0, np.uint64)]))
     bits = bag_min_hash(doc, hashes, weight, len(texts)).view(np.uint64)
     keys = np.zeros((len(texts), BANDS), np.uint64)
@@ -156,8 +156,9 @@ def _signature(text: Column) -> Column:
             if size >= CHUNK_CHARS:
                 parts.append(signatures(now))
                 now, size = [], 0
-        parts.append(signatures(now))
-        return pd.concat(parts, ignore_index=True).iloc[:len(texts)]
+        if now or not parts:
+            parts.append(signatures(now))
+        return pd.concat(parts, ignore_index=True)
 
     return F.pandas_udf(run, SIGNATURE)(text)
 

@@ -66,6 +66,20 @@ def test_minhash_against_all_pairs(spark):
     assert got == dict(enumerate(root))
 
 
+def test_signatures_when_the_last_text_fills_a_chunk(monkeypatch):
+    import pandas as pd
+
+    texts = pd.Series([BASE, None, BASE + " today", "x" * 10])
+    whole = minhash.signatures([t or "" for t in texts])
+    run = {}
+    monkeypatch.setattr(minhash.F, "pandas_udf", lambda f, schema: lambda column: run.update(f=f))
+    minhash._signature(None)
+    for size in (1, 10, len(BASE), 8_000_000):
+        monkeypatch.setattr(minhash, "CHUNK_CHARS", size)
+        pd.testing.assert_frame_equal(run["f"](texts), whole)
+    assert len(run["f"](texts[:0])) == len(minhash.signatures([])) == 0
+
+
 def test_bag_min_hash_is_unbiased():
     x, y = {k: 1 + k % 5 for k in range(200)}, {k: 1 + (k * 7) % 6 for k in range(60, 260)}
     doc = np.array([0] * len(x) + [1] * len(y))
