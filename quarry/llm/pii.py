@@ -1,9 +1,11 @@
 """Personal data replaced by format-preserving Feistel pseudonyms, in DataFrame functions only.
 
-One regular expression finds candidates from left to right in the whole text; each is validated (Luhn sum, octets,
-calendar, area numbers, IBAN sum) and, if it is valid, permuted inside its own format by eight keyed Feistel
-rounds (round function: SHA-256 of key, kind, round and the other half).  A permutation never merges two
-values, and equal values get equal pseudonyms in every document.
+One regular expression finds every place of the whole text where a candidate starts; each is validated (Luhn sum, octets,
+calendar, area numbers, IBAN sum; cards and IBANs at each of their possible ends, longest first), and from left to right
+the valid ones that start behind the last one's end are permuted inside their own format by eight keyed Feistel
+rounds (round function: SHA-256 of key, kind, round and the other half).  An invalid candidate hides nothing.
+A permutation never merges two values, and equal values get equal pseudonyms in every document, however cards,
+IBANs and phones are spaced.
 
 * emails: letters and digits of the local part; the domain and all punctuation stay
 * phones: the digits after the country code
@@ -12,7 +14,8 @@ values, and equal values get equal pseudonyms in every document.
 * dates (yyyy-MM-dd, dd.MM.yyyy, MM/dd/yyyy; years 1800 to 2199): the day of the 400-year cycle, 189 x 773 days
 * social security numbers: area and group (898 x 99) against the serial (9999)
 * IBANs: letters and digits after the check digits, which are computed anew
-* secrets (cloud access key ids, values of password and token assignments): letters within letters, digits within digits
+* secrets (cloud access key ids, values of password and token assignments, names in any case): letters within letters,
+  digits within digits; a value that is a valid one of another kind as a whole is of that kind
 
 Defined cases: null stays null (nothing found), empty stays empty, invalid candidates and all other text stay as they
 are; repeated rows change alike; other columns are not looked at.
@@ -27,19 +30,22 @@ from quarry.llm.common import table
 
 KEY = "change-me"
 ROUNDS = 8
-#: kind -> pattern (Java); the first kind whose pattern matches a whole candidate is its kind
+#: kind -> pattern (Java)
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "access_key": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=[=:][ \"']{0,3})(?<=(?:password|passwd|pwd|token|secret|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9_+/.-]{8,256}",
+    "secret": r"(?<=[=:][ \"']{0,3})(?<=(?i:password|passwd|pwd|token|secret|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[A-Za-z0-9_+/.-]{8,}",
     "date": r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
-CANDIDATE = "|".join(PATTERNS.values())
+#: kinds that cannot both match at one place, but for emails, which are always valid
+_PLAIN = "|".join(p for k, p in PATTERNS.items() if k not in ("secret", "card"))
+#: the empty string before a candidate; groups: the secret, the plain kind and the longest card that start there
+CANDIDATE = f"(?=({PATTERNS['secret']})|{_PLAIN}|{PATTERNS['card']})(?=({_PLAIN})?)(?=({PATTERNS['card']})?)"
 
 
 def _let(value: Column, body) -> Column:
@@ -94,6 +100,16 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
+def _placed(value: Column, new: Column) -> Column:
+    """``value`` with its letters and digits replaced by those of ``new``, in order; all else stays."""
+    def at(i: Column) -> Column:
+        c = F.substr(value, i, F.lit(1))
+        place = F.length(F.regexp_replace(F.substr(value, F.lit(1), i), "[^A-Za-z0-9]", ""))
+        return F.when(c.rlike("[A-Za-z0-9]"), F.substr(new, place, F.lit(1))).otherwise(c)
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), at), "")
+
+
 def _luhn_sum(digits: Column, doubled_last: bool) -> Column:
     """Luhn sum; ``doubled_last``: the last digit is doubled (a payload without its check digit)."""
     n = F.length(digits)
@@ -109,16 +125,8 @@ def _luhn_sum(digits: Column, doubled_last: bool) -> Column:
 def _card(value: Column, key: str) -> Column:
     digits = _digits(value)
     payload = permute_text(F.substr(digits, F.lit(1), F.length(digits) - 1), "card", key)
-
-    def placed(new: Column) -> Column:  # digits go where digits were
-        def at(i: Column) -> Column:
-            c = F.substr(value, i, F.lit(1))
-            place = F.length(_digits(F.substr(value, F.lit(1), i)))
-            return F.when(c.rlike("[0-9]"), F.substr(new, place, F.lit(1))).otherwise(c)
-
-        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), at), "")
-
-    return _let(_let(payload, lambda x: F.concat(x, ((10 - _luhn_sum(x, True) % 10) % 10).cast("string"))), placed)
+    return _let(_let(payload, lambda x: F.concat(x, ((10 - _luhn_sum(x, True) % 10) % 10).cast("string"))),
+                lambda new: _placed(value, new))
 
 
 def _octet(value: Column, i: int) -> Column:
@@ -184,15 +192,16 @@ def _iban(value: Column, key: str) -> Column:
     land = F.substr(value, F.lit(1), F.lit(2))
 
     def written(rest: Column) -> Column:
-        check = 98 - _mod97(F.concat(F.regexp_replace(rest, " ", ""), land, F.lit("00")))
+        check = 98 - _mod97(F.concat(rest, land, F.lit("00")))
         return F.concat(land, F.lpad(check.cast("string"), 2, "0"), rest)
 
-    return _let(permute_text(F.substr(value, F.lit(5), F.length(value)), "iban", key), written)
+    return _let(_let(permute_text(_iban_rest(value), "iban", key), written), lambda new: _placed(value, new))
 
 
 def _phone(value: Column, key: str) -> Column:
     head = F.regexp_extract(value, r"^(?:\+[0-9]{1,3}[ .-]?)?", 0)
-    return F.concat(head, permute_text(F.substr(value, F.length(head) + 1, F.length(value)), "phone", key))
+    rest = F.substr(value, F.length(head) + 1, F.length(value))
+    return F.concat(head, _let(permute_text(_digits(rest), "phone", key), lambda new: _placed(rest, new)))
 
 
 def _email(value: Column, key: str) -> Column:
@@ -200,21 +209,45 @@ def _email(value: Column, key: str) -> Column:
     return F.concat(permute_text(local, "email", key), F.substr(value, F.length(local) + 1, F.length(value)))
 
 
+def _valid(kind: str, value: Column) -> Column:
+    """The longest valid beginning of a card or an IBAN that ends where a run of letters and digits does, null if none."""
+    ok = {"iban": lambda v: _mod97(F.concat(_iban_rest(v), F.substr(v, F.lit(1), F.lit(4)))) == 1,
+          "card": lambda v: _luhn_sum(_digits(v), False) % 10 == 0}[kind]
+    ends = F.filter(F.sequence(F.length(value), F.lit(1), F.lit(-1)),
+                    lambda i: F.substr(value, i, F.lit(2)).rlike("^[A-Za-z0-9]([^A-Za-z0-9]|$)"))
+    whole = f"^(?:{PATTERNS[kind]})$"
+    return F.get(F.filter(F.transform(ends, lambda i: F.substr(value, F.lit(1), i)), lambda v: v.rlike(whole) & ok(v)), 0)
+
+
 def kind_of(value: Column) -> Column:
-    """Kind of a candidate, null if it is not valid."""
-    whole = {k: value.rlike(f"^(?:{p})$") for k, p in PATTERNS.items() if k != "secret"}
+    """Kind of a plain candidate that is no IBAN, null if it is not valid."""
     valid = {
-        "iban": _mod97(F.concat(_iban_rest(value), F.substr(value, F.lit(1), F.lit(4)))) == 1,
         "date": F.year(_as_date(value)).between(1800, 2199),
         "ssn": ~value.rlike("^(000|666|9)|-00-|-0000$"),
         "ip": (_octet(value, 1) < 256) & (_octet(value, 2) < 256) & (_octet(value, 3) < 256) & (_octet(value, 4) < 256),
-        "card": _luhn_sum(_digits(value), False) % 10 == 0,
     }
     out = F.when(value.contains("@"), F.lit("email"))
-    for kind, hit in list(whole.items())[1:]:
-        ok = F.when(valid[kind], F.lit(kind)) if kind in valid else F.lit(kind)
-        out = out.when(hit, ok)
-    return out.when(value.rlike("^[A-Za-z0-9_+/.-]{8,}$"), F.lit("secret"))
+    for kind in ("access_key", "date", "ssn", "ip", "phone"):
+        out = out.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), F.when(valid[kind], F.lit(kind)) if kind in valid else F.lit(kind))
+    return out
+
+
+def _best(secret: Column, plain: Column, card: Column) -> Column:
+    """Struct of kind and value of what starts at one place (empty: no such candidate), null if nothing is valid."""
+    def of(kind: Column, value: Column) -> Column:
+        return F.when(kind.isNotNull() & value.isNotNull(), F.struct(kind.alias("kind"), value.alias("value")))
+
+    iban = ~plain.contains("@") & plain.rlike("^[A-Z]{2}[0-9]{2}")
+    other = F.coalesce(F.when(iban, _let(_valid("iban", plain), lambda v: of(F.lit("iban"), v)))
+                       .when(plain != "", _let(kind_of(plain), lambda k: of(k, plain))),
+                       F.when(card != "", _let(_valid("card", card), lambda v: of(F.lit("card"), v))))
+    return _let(other, lambda x: F.when((secret != "") & (F.coalesce(F.length(x["value"]), F.lit(0)) < F.length(secret)),
+                                        of(F.lit("secret"), secret)).otherwise(x))
+
+
+def _after(best: Column, skip: Column) -> Column:
+    """Characters from a place on that do not stay: the rest of an earlier value, or the value that starts here."""
+    return F.when(skip > 0, skip).otherwise(F.coalesce(F.length(best["value"]), F.lit(0)))
 
 
 def pseudonym(value: Column, kind: Column, key: str = KEY) -> Column:
@@ -232,18 +265,30 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFr
     hold = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("t"))
     # every candidate holds a digit, an @ or stands behind an assignment
     hold = hold.withColumn("has", F.coalesce(F.col("t").rlike("[0-9@=:]"), F.lit(False)))
-    none = F.array().cast("array<string>")
-    hold = hold.withColumns({
-        "hits": F.when(F.col("has"), F.regexp_extract_all("t", F.lit(CANDIDATE), F.lit(0))).otherwise(none)})
-    hold = hold.withColumn("found", F.transform("hits", lambda v: F.struct(kind_of(v).alias("kind"), v.alias("value"))))
-    hold = hold.withColumn("found", F.transform("found", lambda x: F.struct(
-        x["kind"].alias("kind"), x["value"].alias("value"),
-        F.when(x["kind"].isNull(), x["value"]).otherwise(pseudonym(x["value"], x["kind"], key)).alias("pseudonym"))))
-    between = F.split("t", CANDIDATE, -1)
-    new = F.array_join(F.zip_with(between, F.concat(F.transform("found", lambda x: x["pseudonym"]), F.array(F.lit(""))),
-                                  lambda a, b: F.concat(a, b)), "")
-    return hold.select("row", F.when(F.size("found") > 0, new).otherwise(F.col("t")).alias("new_text"),
-                       F.filter("found", lambda x: x["kind"].isNotNull()).alias("found"))
+    # a line feed first, so that no candidate starts the text: a piece before the first place, then one from each on
+    hold = hold.withColumns({f"c{g}": F.when(F.col("has"), F.regexp_extract_all(F.concat(F.lit("\n"), F.col("t")), F.lit(CANDIDATE), F.lit(g)))
+                             .otherwise(F.array().cast("array<string>")) for g in (1, 2, 3)})
+    hold = hold.withColumn("best", F.transform(F.arrays_zip("c1", "c2", "c3"), lambda x: _best(x["c1"], x["c2"], x["c3"])))
+    hold = hold.withColumn("pieces", F.when(F.size("best") > 0, F.split(F.concat(F.lit("\n"), F.col("t")), CANDIDATE, -1)))
+    hold = hold.select("row", "t", F.col("pieces")[0].alias("head"), F.transform("best", lambda b, i: F.struct(
+        b.alias("best"), F.get("pieces", i + 1).alias("piece"))).alias("places"))
+    # what is left of an earlier value at each place: only a value longer than its piece reaches the next place
+    start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<int>").alias("out"))
+    skips = F.aggregate("places", start, lambda a, x: F.struct(
+        F.greatest(_after(x["best"], a["skip"]) - F.length(x["piece"]), F.lit(0)).alias("skip"),
+        F.concat(a["out"], F.array(a["skip"])).alias("out")))["out"]
+    reaches = F.exists("places", lambda x: F.length(x["best"]["value"]) > F.length(x["piece"]))
+    hold = hold.withColumn("skips", F.when(F.coalesce(reaches, F.lit(False)), skips))
+    hold = hold.withColumn("places", F.transform("places", lambda x, i: _let(F.coalesce(F.get("skips", i), F.lit(0)), lambda k: F.struct(
+        F.when(k == 0, x["best"]).alias("best"), F.substr(x["piece"], _after(x["best"], k) + 1, F.length(x["piece"])).alias("rest")))))
+    hold = hold.withColumn("places", F.transform("places", lambda x: F.struct(
+        x["best"]["kind"].alias("kind"), x["best"]["value"].alias("value"),
+        F.when(x["best"].isNotNull(), pseudonym(x["best"]["value"], x["best"]["kind"], key)).alias("pseudonym"), x["rest"].alias("rest"))))
+    new = F.concat(F.substr("head", F.lit(2), F.length("head")), F.array_join(F.transform(
+        "places", lambda x: F.concat(F.coalesce(x["pseudonym"], F.lit("")), x["rest"])), ""))
+    hold = hold.withColumn("found", F.transform(F.filter("places", lambda x: x["kind"].isNotNull()), lambda x: F.struct(
+        x["kind"].alias("kind"), x["value"].alias("value"), x["pseudonym"].alias("pseudonym"))))
+    return hold.select("row", F.when(F.size("found") > 0, new).otherwise(F.col("t")).alias("new_text"), "found")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,6 +140,33 @@ def test_pseudonyms_keep_formats_and_links(spark, docs, empty):
     assert pii.pseudonymised(empty).count() == 0
 
 
+def test_no_valid_value_stays_in_the_clear(spark):
+    card, iban, iban16 = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00", "BE68 5390 0754 7034"
+    cases = {  # text -> kind and value of what must go
+        'TOKEN = "9233A8ECF7C5B09F"': [("secret", "9233A8ECF7C5B09F")], "Password=hunter22x": [("secret", "hunter22x")],
+        "API_KEY: abcdefgh1": [("secret", "abcdefgh1")], "token=" + "a1" * 400: [("secret", "a1" * 400)],
+        "token=1234567890123": [("secret", "1234567890123")], "secret=AB12CDEF3456GHIJ/tail": [("secret", "AB12CDEF3456GHIJ/tail")],
+        "token=4111111111111111": [("card", "4111111111111111")], "token=DE893704 00440532013000": [("iban", "DE893704 00440532013000")],
+        f"{card} 05/27": [("card", card)], "4111-1111-1111-1111 123": [("card", "4111-1111-1111-1111")],
+        f"05 {card}": [("card", card)], f"no 7 {card} {card} 99": [("card", card), ("card", card)],
+        f"{iban16} EUR": [("iban", iban16)], f"AB12 3456 7890 {card}": [("card", card)],
+        f"AB12 3456 7890 {iban}": [("iban", iban)], f"{iban} a@b.co": [("iban", iban), ("email", "a@b.co")],
+        "a1@b.token=abcdefgh9": [("email", "a1@b.token"), ("secret", "abcdefgh9")],
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for r in pii.pseudonymised(df).collect():
+        text = r["row"]["text"]
+        assert [(x["kind"], x["value"]) for x in r["found"]] == cases[text], text
+        for x in r["found"]:
+            assert x["value"] != x["pseudonym"]
+            text = text.replace(x["value"], x["pseudonym"], 1)
+        assert r["new_text"] == text
+    same = [iban, iban.replace(" ", ""), "+1 (017) 555-7713", "+1 017.555.7713", card, card.replace(" ", "-")]
+    df = spark.createDataFrame([(1, " ; ".join(same))], "doc_id long, text string")
+    new = [re.sub("[^A-Z0-9]", "", x) for x in pii.pseudonymised(df).first()["new_text"].split(" ; ")]
+    assert new[0] == new[1] and new[2] == new[3] and new[4] == new[5]
+
+
 def test_permutations_are_injective(spark):
     df = spark.range(189 * 773).select(pii.permute_pair(F.floor(F.col("id") / 773), F.col("id") % 773, 189, 773, "date", "k").alias("p"))
     assert df.distinct().count() == 189 * 773
