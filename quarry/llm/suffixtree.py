@@ -2,16 +2,17 @@
 
 Tokens: words (everything but ASCII white space, A-Z lower-cased), then one end token a document.  The root is the
 distribution of single tokens, (c + 0.1) / (N + 0.1 (V + 1)), from exact counts of every word of the training rows.
-A node is a context of one or two preceding words.  Its next symbols are those that follow it at least
-``SUPPORT`` of all tokens often (and ``LEAST`` times); their probabilities are discounted counts, and the rest of the mass
-goes to its suffix's distribution.  A context is retained if it diverges from its suffix: if its log-likelihood gain on the
-training rows exceeds a BIC penalty for its symbols.  A token is scored by the longest retained suffix of what precedes it.
-
-Counting.  Pass 1 counts words exactly and, in every part of the table, the word pairs and triples of at least half
-the support there; those whose sum reaches half of the support are the candidates, which all frequent ones are
-among (each part hides less than half of its share).  Pass 2 counts the candidates exactly.  Frequent words, pairs and
-triples are at most 1 / SUPPORT each (candidates 2 / SUPPORT): a bound that holds for every input, so they travel with
-the tasks.  All other words are counted, joined and summed by Spark.
+A node is a context of preceding words.  Its next symbols are those that follow it at least ``LEAST`` times; their
+probabilities are discounted counts, and the rest of the mass goes to its suffix's distribution.  A context is retained if
+it diverges from its suffix: if its log-likelihood gain on the training rows exceeds a BIC penalty for its symbols.  All
+contexts of one and two words are tried, then, length by length, those whose suffix is retained, until none is.  A
+token is scored by the longest retained suffix of what precedes it.
+
+Counting and joining are Spark's: grams, nodes and words are tables by key.  A filter of fixed size only keeps rows that
+cannot matter out of a shuffle; what it lets through wrongly, the joins drop.  A gram's key is also that of the context
+it makes, and scores are sums: a token's is that of the root plus, for every retained context before it, what the context
+changes.  So a document's is the sum of a value for each of its grams.  Keys of at least ``HOT`` of all tokens are looked up
+in the tasks (at most 1 / HOT of each length, whatever the input), all others by a join: this says where, not whether.
 
 Words are known by 64-bit hashes.  Defined cases: null as empty text (one end token); a null id is learnt from and not
 held out; repeated rows count each time; without training rows every token scores log10(0.1 / 0.1) = 0; extra columns are
@@ -20,7 +21,8 @@ ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,11 +32,14 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import Scratch, mix64, remainder, table
 
-SUPPORT, LEAST, DISCOUNT = 1e-6, 4, 0.5
+HOT, LEAST, DISCOUNT = 2e-6, 4, 0.5
+FILTER_BITS = 25  # of a filter, at most; a full one only lets more rows through
+STRIDE = 3  # lengths beyond four counted in one reading
 FLUSH_TOKENS, CHUNK_CHARS = 4_000_000, 2_000_000
 END = np.uint64(xxhash.xxh64_intdigest(b" "))  # no word holds a space
+GRAMS = "length int, key long, context long, suffix long, n long"
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
-SCORES = "struct<n_tokens:bigint,n_known:bigint,base:double,score:double,rare:array<bigint>,rare_n:array<int>>"
+SCORES = "struct<n_tokens:bigint,n_known:bigint,base:double,more:double,rare:array<bigint>,rare_n:array<int>,rare_word:array<boolean>>"
 
 
 class _WordHash(dict):
@@ -58,16 +63,19 @@ def joined(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mix64(context * _PAIR + symbol)
 
 
-def grams(docs: list[np.ndarray]):
-    """Flat tokens of some documents and, for pairs and triples that stay inside one, (key, context, suffix, symbol)."""
-    w = np.concatenate(docs) if docs else np.zeros(0, np.uint64)
-    doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    one = doc[1:] == doc[:-1]
-    pair = joined(w[:-1], w[1:])
-    two = doc[2:] == doc[:-2]
-    triple = joined(pair[:-1], w[2:])
-    return (w, doc, (pair[one], w[:-1][one], np.zeros(one.sum(), np.uint64), w[1:][one]),
-            (triple[two], pair[:-1][two], w[1:-1][two], w[2:][two]))
+def flat(docs: list[np.ndarray]):
+    """Tokens of some documents and the number of the document of each."""
+    return (np.concatenate(docs) if docs else np.zeros(0, np.uint64)), np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+
+
+def longer(keys: np.ndarray, w: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the grams of ``length`` tokens at each place, from those one shorter (whether inside a document or not)."""
+    return joined(keys[:max(len(w) - length + 1, 0)], w[length - 1:])
+
+
+def inside(doc: np.ndarray, length: int) -> np.ndarray:
+    """Places whose gram of that length stays inside its document."""
+    return np.flatnonzero(doc[length - 1:] == doc[:max(len(doc) - length + 1, 0)])
 
 
 def _flushed(batches, use):
@@ -84,39 +92,71 @@ def _flushed(batches, use):
         yield use(docs)
 
 
-def _counts(train: DataFrame) -> DataFrame:
-    """``(kind, key, n)``: words (kind 1), and pairs and triples (2, 3) that are not rare in their part."""
+def _frame(length: int, key: np.ndarray, context: np.ndarray, suffix: np.ndarray) -> pd.DataFrame:
+    key, first, n = np.unique(key, return_index=True, return_counts=True)
+    return pd.DataFrame({"length": np.int32(length), "key": key.view(np.int64), "context": context[first].view(np.int64),
+                         "suffix": suffix[first].view(np.int64), "n": n})
+
+
+def _summed(train: DataFrame, use) -> DataFrame:
+    """Grams with their context (all but the last token), suffix (all but the first) and exact count."""
+    return (train.select("text").mapInPandas(lambda it: _flushed(it, use), GRAMS).groupBy("length", "key")
+            .agg(F.max("context").alias("context"), F.max("suffix").alias("suffix"), F.sum("n").alias("n")))
+
+
+def _words_and_pairs(train: DataFrame) -> DataFrame:
     def use(docs):
-        w, _, two, three = grams(docs)
-        floor = SUPPORT * len(w) / 2
-        out = []
-        for kind, keys in ((1, w), (2, two[0]), (3, three[0])):
-            key, n = np.unique(keys, return_counts=True)
-            keep = n >= floor if kind > 1 else slice(None)
-            out.append(pd.DataFrame({"kind": np.int32(kind), "key": key[keep].view(np.int64), "n": n[keep]}))
-        return pd.concat(out, ignore_index=True)
+        w, doc = flat(docs)
+        i = inside(doc, 2)
+        return pd.concat([_frame(1, w, np.zeros_like(w), np.zeros_like(w)), _frame(2, longer(w, w, 2)[i], w[i], w[i + 1])],
+                         ignore_index=True)
 
-    return (train.select("text").mapInPandas(lambda it: _flushed(it, use), "kind int, key long, n long")
-            .groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    return _summed(train, use)
 
 
-def _exact(train: DataFrame, candidates: dict[int, np.ndarray]) -> DataFrame:
-    """``(kind, key, context, suffix, symbol, n)`` of the candidate pairs and triples (sorted keys by kind)."""
+def _grams(train: DataFrame, length: int, wanted: Filter) -> DataFrame:
+    """Grams of three tokens whose pairs pass ``wanted``; or those of ``length`` tokens whose context's suffix passes it and,
+    beyond four, those up to ``STRIDE`` - 1 tokens longer whose context ends in one that does (by then more than can be retained)."""
     def use(docs):
-        _, _, two, three = grams(docs)
-        out = []
-        for kind, (keys, context, suffix, symbol) in ((2, two), (3, three)):
-            known = candidates[kind]
-            hit = np.flatnonzero(_at(known, keys) >= 0)
-            key, first, n = np.unique(keys[hit], return_index=True, return_counts=True)
-            at = hit[first]
-            out.append(pd.DataFrame({"kind": np.int32(kind), "key": key.view(np.int64), "context": context[at].view(np.int64),
-                                     "suffix": suffix[at].view(np.int64), "symbol": symbol[at].view(np.int64), "n": n}))
+        w, doc = flat(docs)
+        keys, out = {1: w}, []
+        for n in range(2, length + (STRIDE if length > 4 else 1)):
+            keys[n] = longer(keys[n - 1], w, n)
+            if n >= length:
+                i = inside(doc, n)
+                if length == 3:
+                    i = i[wanted.has(keys[2][i]) & wanted.has(keys[2][i + 1])]
+                else:
+                    i = i[ends[i + n - length + 1]]
+                out.append(_frame(n, keys[n][i], keys[n - 1][i], keys[n - 1][i + 1]))
+            elif n == length - 2:
+                ends = wanted.has(keys[n])
         return pd.concat(out, ignore_index=True)
 
-    rows = train.select("text").mapInPandas(lambda it: _flushed(it, use),
-                                            "kind int, key long, context long, suffix long, symbol long, n long")
-    return rows.groupBy("kind", "key").agg(*[F.max(c).alias(c) for c in ("context", "suffix", "symbol")], F.sum("n").alias("n"))
+    return _summed(train, use)
+
+
+@dataclass
+class Filter:
+    """Bits of a set of keys: ``has`` is true for all of them, and for some others."""
+    words: np.ndarray
+    mask: int
+
+    @staticmethod
+    def of(keys: DataFrame) -> Filter:
+        mask = (1 << min(max((8 * keys.count()).bit_length(), 12), FILTER_BITS)) - 1
+        got = (keys.selectExpr(f"explode(array(key & {mask}L, shiftrightunsigned(key, 32) & {mask}L)) AS p")
+               .groupBy(F.expr("shiftright(p, 6)").alias("at"))
+               .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toPandas())
+        words = np.zeros((mask + 1) >> 6, np.uint64)
+        words[got["at"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+        return Filter(words, mask)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        mask, out = np.uint64(self.mask), np.ones(len(keys), bool)
+        for p in (keys & mask, (keys >> np.uint64(32)) & mask):
+            out &= (self.words[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
 
 
 def _at(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -127,135 +167,119 @@ def _at(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(known[at] == keys, at, -1)
 
 
-@dataclass
-class Nodes:
-    """Retained contexts of one length, and their symbols; all arrays sorted by key."""
-    contexts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    rest: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log10 of what the suffix's distribution is scaled by
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    logp: np.ndarray = field(default_factory=lambda: np.zeros(0))
-
-
 @dataclass
 class Tree:
     n: int  # training tokens
     v: int  # distinct ones
+    longest: int  # tokens of the longest gram with a value
+    floor: float  # count from which a key is looked up in the tasks
     words: np.ndarray  # frequent words, sorted
     counts: np.ndarray
-    pairs: Nodes
-    triples: Nodes
+    keys: np.ndarray  # frequent grams with a value, sorted
+    values: np.ndarray
+    rare: Filter  # the other grams with a value
+    nodes: DataFrame  # (key, n, value) of all grams with a value
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.n + 0.1 * (self.v + 1)))
 
-    def given_word(self, context: np.ndarray, symbol: np.ndarray, root: np.ndarray):
-        """log10 probability of symbols after one word, and whether the root's distribution was used."""
-        node = _at(self.pairs.contexts, context)
-        logp, at_root = root.copy(), np.ones(len(root), bool)
-        own = np.flatnonzero(node >= 0)
-        if len(own):
-            e = _at(self.pairs.keys, joined(context[own], symbol[own]))
-            seen = e >= 0
-            logp[own] = np.where(seen, self.pairs.logp[e] if len(self.pairs.logp) else 0.0,
-                                 self.pairs.rest[node[own]] + root[own])
-            at_root[own[seen]] = False
-        return logp, at_root
-
     def scores(self, docs: list[np.ndarray]) -> pd.DataFrame:
-        w = np.concatenate(docs)
-        sizes = np.array([len(d) for d in docs])
-        doc = np.repeat(np.arange(len(docs)), sizes)
-        place = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        w, doc = flat(docs)
+        sizes = np.array([len(d) for d in docs], np.int64)
         at = _at(self.words, w)
         known = at >= 0
-        base = np.zeros(len(w))
+        base = np.zeros(len(w))  # what a rare word or gram adds is joined later: here it counts as 0
         base[known] = self.base(self.counts[at[known]])
-        # what a rare word adds at the root is joined later: here it counts as 0
-        logp = base.copy()
-        has1 = np.flatnonzero(place >= 1)
-        one, _ = self.given_word(w[has1 - 1], w[has1], base[has1])
-        logp[has1] = one
-        has2 = np.flatnonzero(place >= 2)
-        context = joined(w[has2 - 2], w[has2 - 1])
-        node = _at(self.triples.contexts, context)
-        own, node, context = has2[node >= 0], node[node >= 0], context[node >= 0]
-        if len(own):
-            e = _at(self.triples.keys, joined(context, w[own]))
-            logp[own] = np.where(e >= 0, self.triples.logp[e] if len(self.triples.logp) else 0.0,
-                                 self.triples.rest[node] + logp[own])
-        rare = np.flatnonzero(~known)
-        order = rare[np.lexsort((w[rare], doc[rare]))]
-        d, h = doc[order], w[order]
-        first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])[:len(d)])
+        more = np.zeros(len(docs))
+        found, keys = [(doc[~known], w[~known], True)], w
+        for length in range(1, self.longest + 1):
+            keys = longer(keys, w, length) if length > 1 else w
+            i = inside(doc, length)
+            if length > 3:  # the gram's context or, if it is one, its suffix has a value as well
+                i = i[valued[i] | valued[i + 1]]
+            at = _at(self.keys, keys[i])
+            own, at, i = i[at >= 0], at[at >= 0], i[at < 0]
+            more += np.bincount(doc[own], self.values[at], len(docs))
+            i = i[(known[i] if length == 1 else True) & self.rare.has(keys[i])]
+            found.append((doc[i], keys[i], False))
+            valued = np.zeros(len(w) + 1, bool)
+            valued[own] = valued[i] = True
+        d, h = (np.concatenate([x[j] for x in found]) for j in (0, 1))
+        word = np.repeat([x[2] for x in found], [len(x[0]) for x in found])
+        order = np.lexsort((word, h, d))
+        d, h, word = d[order], h[order], word[order]
+        first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (word[1:] != word[:-1])])[:len(d)])
         n = np.diff(np.append(first, len(d))).astype(np.int32)
-        d, h = d[first], h[first].view(np.int64)
+        d, h, word = d[first], h[first].view(np.int64), word[first]
         cut = np.searchsorted(d, np.arange(1, len(docs)))
         return pd.DataFrame({"n_tokens": sizes, "n_known": np.bincount(doc, known, len(docs)).astype(np.int64),
-                             "base": np.bincount(doc, base, len(docs)), "score": np.bincount(doc, logp, len(docs)),
-                             "rare": np.split(h, cut), "rare_n": np.split(n, cut)})
-
-
-def _retained(got: pd.DataFrame, totals: np.ndarray, parent: np.ndarray) -> Nodes:
-    """Nodes of one context length.  ``got``: key, context, n of every symbol, sorted by context; ``totals``: how often
-    the context occurs; ``parent``: the symbol's probability under the context's suffix (both a row each)."""
-    if not len(got):
-        return Nodes()
-    context, n = got["context"].to_numpy().view(np.uint64), got["n"].to_numpy().astype(float)
-    starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-    p = (n - DISCOUNT) / totals
-    k = np.diff(np.append(starts, len(n)))
-    total = totals[starts]
-    rest = np.maximum(1 - np.add.reduceat(p, starts), 1e-12) / np.maximum(1 - np.add.reduceat(parent, starts), 1e-12)
-    gain = np.add.reduceat(n * np.log(p / parent), starts) + (total - np.add.reduceat(n, starts)) * np.log(rest)
-    keep = gain > 0.5 * k * np.log(total) + 2
-    rows = np.repeat(keep, k)
-    keys, logp = got["key"].to_numpy().view(np.uint64)[rows], np.log10(p[rows])
-    order = np.argsort(keys)
-    return Nodes(context[starts][keep], np.log10(rest[keep]), keys[order], logp[order])
-
-
-def grow(n: int, v: int, frequent: pd.DataFrame, exact: pd.DataFrame) -> Tree:
-    """The tree from the frequent words (key, n) and exact pairs and triples; sizes are bounded by the support."""
-    words = frequent["key"].to_numpy().view(np.uint64)
-    order = np.argsort(words)
-    tree = Tree(n, v, words[order], frequent["n"].to_numpy()[order].astype(float), Nodes(), Nodes())
-    floor = max(SUPPORT * n, LEAST)
-    exact = exact[exact["n"] >= floor].assign(order=lambda x: x["context"].to_numpy().view(np.uint64)).sort_values(
-        ["order", "key"], ignore_index=True)
-    two, three = (exact[exact["kind"] == kind].reset_index(drop=True) for kind in (2, 3))
-
-    def count(keys: np.ndarray) -> np.ndarray:
-        return tree.counts[_at(tree.words, keys)]
-
-    def unsigned(frame: pd.DataFrame, name: str) -> np.ndarray:
-        return frame[name].to_numpy().view(np.uint64)
-
-    if len(two):
-        tree.pairs = _retained(two, count(unsigned(two, "context")), 10 ** tree.base(count(unsigned(two, "symbol"))))
-    if len(three):
-        keys = unsigned(two, "key")
-        by_key = np.argsort(keys)
-        totals = two["n"].to_numpy()[by_key][_at(keys[by_key], unsigned(three, "context"))].astype(float)
-        root = tree.base(count(unsigned(three, "symbol")))
-        parent, _ = tree.given_word(unsigned(three, "suffix"), unsigned(three, "symbol"), root)
-        tree.triples = _retained(three, totals, 10 ** parent)
-    return tree
+                             "base": np.bincount(doc, base, len(docs)), "more": more,
+                             "rare": np.split(h, cut), "rare_n": np.split(n, cut), "rare_word": np.split(word, cut)})
+
+
+def _retained(seen: DataFrame) -> DataFrame:
+    """``seen`` (key, context, n, total of the context, parent: log10 probability under the context's suffix) with ``rest``
+    (log10 of what the suffix's distribution is scaled by; null if the context is not retained), ``logp`` and ``value``."""
+    n, parent = F.col("n"), F.col("parent")
+    by = seen.groupBy("context").agg(
+        F.max("total").alias("t"), F.sum("n").alias("s"), F.count("*").alias("k"), F.sum(F.pow(F.lit(10.0), parent)).alias("q"),
+        F.sum(n * (F.log(n - DISCOUNT) - parent * float(np.log(10)))).alias("e"))
+    by = by.withColumn("left", F.greatest(1 - (F.col("s") - DISCOUNT * F.col("k")) / F.col("t"), F.lit(1e-12))
+                       / F.greatest(1 - F.col("q"), F.lit(1e-12)))
+    gain = F.col("e") - F.col("s") * F.log("t") + (F.col("t") - F.col("s")) * F.log("left")
+    by = by.where(gain > 0.5 * F.col("k") * F.log("t") + 2).select("context", F.log10("left").alias("rest"))
+    own = F.log10((n - DISCOUNT) / F.col("total"))
+    return seen.join(by, "context", "left").select(
+        "key", "context", "n", "total", "rest", F.when(F.col("rest").isNull(), parent).otherwise(own).alias("logp"),
+        F.when(F.col("rest").isNotNull(), own - parent - F.col("rest")).alias("value"))
 
 
 def learn(train: DataFrame, scratch: Scratch) -> tuple[Tree, DataFrame]:
     """The tree, and ``(key, n)`` of all words."""
-    counts = scratch.put(_counts(train), "counts")
-    words = counts.where("kind = 1").select("key", "n")
+    counts = scratch.put(_words_and_pairs(train).where((F.col("length") == 1) | (F.col("n") >= LEAST)), "counts")
+    words = counts.where("length = 1").select("key", "n")
     n, v = words.select(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    floor = max(SUPPORT * n, LEAST)
-    frequent = words.where(F.col("n") >= floor).toPandas()  # at most 1 / SUPPORT rows
-    likely = counts.where("kind > 1").where(F.col("n") >= max(SUPPORT * n / 2, 1)).select("kind", "key").toPandas()
-    keys = {k: np.sort(likely.loc[likely["kind"] == k, "key"].to_numpy().view(np.uint64)) for k in (2, 3)}
-    exact = _exact(train, keys).where(F.col("n") >= floor).toPandas()  # at most 1 / SUPPORT rows of each kind
-    return grow(n, v, frequent, exact), words
+    at_root = F.log10((F.col("n") + 0.1) / F.lit(n + 0.1 * (v + 1)))
+    pairs = counts.where("length = 2").drop("length")
+    total = lambda x: x.select(F.col("key").alias("context"), F.col("n").alias("total"))
+    seen = (pairs.join(words.select(F.col("key").alias("suffix"), at_root.alias("parent")), "suffix")
+            .join(total(words), "context"))
+    levels, length = [scratch.put(_retained(seen), "level2")], 2
+    while True:
+        length += 1
+        last = levels[-1]
+        kept = last.where("rest IS NOT NULL")
+        wanted = pairs.select("key") if length == 3 else kept.select(F.col("context").alias("key")).distinct()
+        if wanted.isEmpty():
+            break
+        if length <= 4 or length >= counted:
+            counted, name = length + (STRIDE if length > 4 else 1), f"grams{length}"
+            read = scratch.put(_grams(train, length, Filter.of(wanted)), name)
+        grams = read.where(F.col("length") == length)
+        totals = total(pairs) if length == 3 else grams.groupBy("context").agg(F.sum("n").alias("total"))
+        parents = (last if length == 3 else kept).select(F.col("key").alias("suffix"), F.col("logp").alias("parent"))
+        seen = grams.drop("length").where(F.col("n") >= LEAST).join(parents, "suffix").join(totals, "context")
+        levels.append(scratch.put(_retained(seen), f"level{length}"))
+        del seen, totals, parents, grams
+        train.sparkSession.sparkContext._jvm.System.gc()  # Spark then deletes the shuffle files of tables that are written
+        if length + 1 == counted:
+            scratch.drop(name)
+    parts = []
+    for level in levels:
+        kept = level.where("rest IS NOT NULL")
+        parts += [kept.select("key", "n", "value"), kept.groupBy("context").agg(F.max("total"), F.max("rest"))]
+    nodes = scratch.put(reduce(DataFrame.union, parts).groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value")), "nodes")
+    floor = max(HOT * n, LEAST)
+    frequent = words.where(F.col("n") >= floor).toPandas()  # at most 1 / HOT rows
+    hot = nodes.where(F.col("n") >= floor).toPandas()  # at most 1 / HOT rows of each length
+    frequent, hot = (x.assign(key=x["key"].to_numpy(np.int64).view(np.uint64)).sort_values("key") for x in (frequent, hot))
+    return Tree(n, v, length - 1, floor, frequent["key"].to_numpy(), frequent["n"].to_numpy(float), hot["key"].to_numpy(),
+                hot["value"].to_numpy(float), Filter.of(nodes.where(F.col("n") < floor)), nodes), words
 
 
 def _scored(text: Column, tree: Tree) -> Column:
+    tree = replace(tree, nodes=None)  # a table does not travel
+
     def run(s: pd.Series) -> pd.DataFrame:
         known, parts, now, size = _WordHash(), [], [], 0
         for x in s:
@@ -264,7 +288,7 @@ def _scored(text: Column, tree: Tree) -> Column:
             if size >= CHUNK_CHARS:
                 parts.append(tree.scores(now))
                 now, size = [], 0
-        if now:
+        if now or not parts:
             parts.append(tree.scores(now))
         return pd.concat(parts, ignore_index=True)
 
@@ -275,18 +299,21 @@ def score_documents(docs: DataFrame, tree: Tree, words: DataFrame, scratch: Scra
     """``docs`` (doc_id, text) with n_tokens, n_known, base_score and score."""
     rows = scratch.put(docs.select("doc_id", _scored(docs["text"], tree).alias("s"))
                        .select("doc_id", F.monotonically_increasing_id().alias("rid"), "s.*"), "scored")
-    rare = rows.select("rid", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select(
-        "rid", F.col("x.rare").alias("key"), F.col("x.rare_n").alias("times"))
-    floor = max(SUPPORT * tree.n, LEAST)
+    rare = rows.select("rid", F.explode(F.arrays_zip("rare", "rare_n", "rare_word")).alias("x")).select(
+        "rid", F.col("x.rare").alias("key"), F.col("x.rare_n").alias("times"), F.col("x.rare_word").alias("word"))
+    known = (words.where(F.col("n") < tree.floor).select("key", "n", F.lit(0.0).alias("value"))
+             .union(tree.nodes.where(F.col("n") < tree.floor).select("key", F.lit(0).cast("long"), "value"))
+             .groupBy("key").agg(F.sum("n").alias("n"), F.sum("value").alias("value")))
     c = F.coalesce(F.col("n"), F.lit(0))
-    at_root = F.log10((c + 0.1) / F.lit(tree.n + 0.1 * (tree.v + 1)))
-    sums = (rare.join(words.where(F.col("n") < floor), "key", "left").groupBy("rid").agg(
-        F.sum(F.col("times") * at_root).alias("more"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known")))
-    return rows.drop("rare", "rare_n").join(sums, "rid", "left").select(
+    at_root = F.when(F.col("word"), F.log10((c + 0.1) / F.lit(tree.n + 0.1 * (tree.v + 1)))).otherwise(0.0)
+    sums = (rare.join(known, "key", "left").groupBy("rid").agg(
+        F.sum(F.col("times") * at_root).alias("rare_base"),
+        F.sum(F.col("times") * F.coalesce("value", F.lit(0.0))).alias("rare_more"),
+        F.sum(F.when(F.col("word") & (c > 0), F.col("times")).otherwise(0)).alias("more_known")))
+    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
+    return rows.drop("rare", "rare_n", "rare_word").join(sums, "rid", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
+        base.alias("base_score"), (base + F.col("more") + F.coalesce("rare_more", F.lit(0.0))).alias("score"))
 
 
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,3 +252,60 @@ def test_suffix_tree_base_scores_and_gain(spark, docs, empty):
     with Scratch(spark, "t") as s:
         tree, words = suffixtree.learn(df.where("doc_id = -1"), s)
         assert {r["base_score"] for r in suffixtree.score_documents(df, tree, words, s).collect()} == {0.0}
+
+
+def _suffix_tree_scores(train, texts):
+    """Plain Python: score of each text under the tree learnt from ``train``."""
+    docs = [[*(t or "").lower().split(), "\n"] for t in train]
+    n, v = sum(map(len, docs)), len({w for d in docs for w in d})
+    grams = Counter(tuple(d[i:j]) for d in docs for i in range(len(d)) for j in range(i + 1, len(d) + 1))
+    follows = {}
+    for g, c in grams.items():
+        follows.setdefault(g[:-1], {})[g[-1]] = c
+    kept = {}
+
+    def logp(context, symbol):
+        if not context:
+            return np.log10((grams[(symbol,)] + 0.1) / (n + 0.1 * (v + 1)))
+        if context not in kept:
+            return logp(context[1:], symbol)
+        own, rest = kept[context]
+        return own[symbol] if symbol in own else rest + logp(context[1:], symbol)
+
+    for length in range(1, max(map(len, docs))):
+        new = {}
+        for context in [c for c in follows if len(c) == length and (length < 3 or c[1:] in kept)]:
+            total = sum(follows[context].values())
+            seen = {x: c for x, c in follows[context].items() if c >= 4}
+            if not seen:
+                continue
+            parent = {x: 10 ** logp(context[1:], x) for x in seen}
+            rest = max(1 - sum((c - 0.5) / total for c in seen.values()), 1e-12) / max(1 - sum(parent.values()), 1e-12)
+            gain = sum(c * np.log((c - 0.5) / total / parent[x]) for x, c in seen.items())
+            gain += (total - sum(seen.values())) * np.log(rest)
+            if gain > 0.5 * len(seen) * np.log(total) + 2:
+                new[context] = ({x: np.log10((c - 0.5) / total) for x, c in seen.items()}, np.log10(rest))
+        kept.update(new)
+    words = [[*(t or "").lower().split(), "\n"] for t in texts]
+    return [sum(logp(_longest(kept, w[:i]), w[i]) for i in range(len(w))) for w in words], kept
+
+
+def _longest(kept, context):
+    return next((tuple(context[i:]) for i in range(len(context)) if tuple(context[i:]) in kept), ())
+
+
+@pytest.mark.parametrize("hot", [2e-6, 0.05, 1.0])
+def test_suffix_tree_against_python(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffixtree, "HOT", hot, raising=False)
+    monkeypatch.setattr(suffixtree, "SUPPORT", hot, raising=False)
+    rng = np.random.default_rng(3)
+    texts = ["a b c d", "e b c f", "x c y", "z c y"] * 30 + ["q a b c d g", "r a b c d h"] * 20
+    texts += [" ".join(f"w{x}" for x in rng.zipf(1.3, 12) % 300) for _ in range(80)] + [None, "", "New words only"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want, kept = _suffix_tree_scores(texts[:-1], texts)
+    assert max(map(len, kept)) >= 3
+    with Scratch(spark, "t") as s:
+        tree, words = suffixtree.learn(df.where(F.col("doc_id") < len(texts) - 1), s)
+        got = {r["doc_id"]: r["score"] for r in suffixtree.score_documents(df, tree, words, s).collect()}
+    for i, w in enumerate(want):
+        assert abs(got[i] - w) < 1e-6, (i, texts[i])
