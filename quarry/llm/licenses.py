@@ -20,45 +20,80 @@ from quarry.llm.common import table
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: label, keyword, name, versions; {v} in the name stands for the version's pattern
+#: label, keyword, name, versions; {v} in the name stands for the version's pattern; every match holds the keyword
 FAMILIES = [
     ("apache", "apache", "apache(?: software)?(?: foundation)?(?: license)?{v}", ("1 0", "1 1", "2 0")),
-    ("gpl", "general", "(?:gnu )?general public license{v}", ("1 0", "2 0", "3 0")),
-    ("lgpl", "lesser", "(?:gnu )?lesser general public license{v}", ("2 1", "3 0")),
-    ("agpl", "affero", "(?:gnu )?affero general public license{v}", ("1 0", "3 0")),
-    ("gpl", "gpl", "(?:gnu )?gpl{v}", ("2 0", "3 0")),
-    ("fdl", "documentation", "(?:gnu )?free documentation license{v}", ("1 1", "1 2", "1 3")),
-    ("mpl", "mozilla", "mozilla public license{v}", ("1 0", "1 1", "2 0")),
-    ("epl", "eclipse", "eclipse public license{v}", ("1 0", "2 0")),
-    ("cddl", "development", "common development and distribution license{v}", ("1 0", "1 1")),
-    ("eupl", "european", "european union public licen[cs]e{v}", ("1 1", "1 2")),
-    ("osl", "open", "open software license{v}", ("1 0", "2 0", "3 0")),
-    ("artistic", "artistic", "artistic license{v}", ("1 0", "2 0")),
-    ("cc-by", "cc", "cc by{v}", ("2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-sa", "cc", "cc by sa{v}", ("2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nc", "cc", "cc by nc{v}", ("2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nd", "cc", "cc by nd{v}", ("2 0", "3 0", "4 0")),
-    ("cc-by-nc-sa", "cc", "cc by nc sa{v}", ("2 0", "3 0", "4 0")),
-    ("cc-by-nc-nd", "cc", "cc by nc nd{v}", ("2 0", "3 0", "4 0")),
-    ("cc-by", "attribution", "creative commons attribution(?: license)?{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("gpl", "general public license", "(?:gnu )?general public license{v}", ("1 0", "2 0", "3 0")),
+    ("lgpl", "lesser general public license", "(?:gnu )?lesser general public license{v}", ("2 1", "3 0")),
+    ("agpl", "affero general public license", "(?:gnu )?affero general public license{v}", ("1 0", "3 0")),
+    ("gpl", "gpl", "(?:gnu )?gpl{v}", ("1 0", "2 0", "3 0")),
+    ("lgpl", "lgpl", "(?:gnu )?lgpl{v}", ("2 0", "2 1", "3 0")),
+    ("agpl", "agpl", "(?:gnu )?agpl{v}", ("1 0", "3 0")),
+    ("fdl", "gfdl", "(?:gnu )?gfdl{v}", ("1 1", "1 2", "1 3")),
+    ("cddl", "cddl", "cddl{v}", ("1 0", "1 1")),
+    ("eupl", "eupl", "eupl{v}", ("1 1", "1 2")),
+    ("fdl", "free documentation license", "(?:gnu )?free documentation license{v}", ("1 1", "1 2", "1 3")),
+    ("mpl", "mozilla public license", "mozilla public license{v}", ("1 0", "1 1", "2 0")),
+    ("epl", "eclipse public license", "eclipse public license{v}", ("1 0", "2 0")),
+    ("cddl", "common development and distribution license", "common development and distribution license{v}", ("1 0", "1 1")),
+    ("eupl", "european union public", "european union public licen[cs]e{v}", ("1 1", "1 2")),
+    ("osl", "open software license", "open software license{v}", ("1 0", "2 0", "3 0")),
+    ("artistic", "artistic license", "artistic license{v}", ("1 0", "2 0")),
+    ("cc-by", "cc by", "cc by{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-sa", "cc by", "cc by sa{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc", "cc by", "cc by nc{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nd", "cc by", "cc by nd{v}", ("2 0", "3 0", "4 0")),
+    ("cc-by-nc-sa", "cc by", "cc by nc sa{v}", ("2 0", "3 0", "4 0")),
+    ("cc-by-nc-nd", "cc by", "cc by nc nd{v}", ("2 0", "3 0", "4 0")),
+    ("cc-by", "creative commons attribution", "creative commons attribution(?: license)?{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-sa", "creative commons attribution", "creative commons attribution share ?alike(?: license)?{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc", "creative commons attribution", "creative commons attribution non ?commercial(?: license)?{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nd", "creative commons attribution", "creative commons attribution no ?deriv(?:ative)?s?(?: license)?{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-sa", "creative commons attribution", "creative commons attribution non ?commercial share ?alike(?: license)?{v}", ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-nd", "creative commons attribution", "creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: license)?{v}", ("2 0", "2 5", "3 0", "4 0")),
     ("cc0", "cc0", "cc0{v}", ("1 0",)),
+    ("cc0", "creative commons zero", "creative commons zero{v}", ("1 0",)),
     ("bsd-2-clause", "bsd", "(?:simplified|2 clause) bsd(?: license)?", ()),
     ("bsd-3-clause", "bsd", "(?:new|modified|3 clause) bsd(?: license)?", ()),
+    ("bsd-2-clause", "bsd 2 clause", "bsd 2 clause", ()),
+    ("bsd-3-clause", "bsd 3 clause", "bsd 3 clause", ()),
     ("bsd", "bsd", "bsd(?: style)? license", ()),
     ("mit", "mit", "mit license", ()),
-    ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy", ()),
+    ("mit", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", ()),
     ("isc", "isc", "isc license", ()),
     ("zlib", "zlib", "zlib(?: libpng)? license", ()),
-    ("boost", "boost", "boost software license{v}", ("1 0",)),
+    ("boost", "boost software license", "boost software license{v}", ("1 0",)),
     ("unlicense", "unlicense", "(?:the )?unlicense", ()),
     ("wtfpl", "wtfpl", "wtfpl", ()),
-    ("odbl", "database", "open database license{v}", ("1 0",)),
-    ("ofl", "font", "(?:sil )?open font license{v}", ("1 0", "1 1")),
+    ("odbl", "open database license", "open database license{v}", ("1 0",)),
+    ("odbl", "odbl", "odbl{v}", ("1 0",)),
+    ("ofl", "ofl", "(?:sil )?ofl{v}", ("1 0", "1 1")),
+    ("ofl", "open font license", "(?:sil )?open font license{v}", ("1 0", "1 1")),
     ("postgresql", "postgresql", "postgresql license", ()),
-    ("python", "python", "python software foundation license{v}", ("2 0",)),
-    ("public-domain", "domain", "(?:in|into|to) the public domain", ()),
-    ("reserved", "reserved", "all rights reserved", ()),
-    ("proprietary", "proprietary", "proprietary and confidential", ()),
+    ("python", "python software foundation", "python software foundation license{v}", ("2 0",)),
+    ("public-domain", "the public domain", "(?:in|into|to) the public domain", ()),
+    ("reserved", "all rights reserved", "all rights reserved", ()),
+    ("proprietary", "proprietary and confidential", "proprietary and confidential", ()),
+]
+#: short and SPDX names that also mean something else: they count behind a lead of priority 3 or more, or with a version
+SHORT = [
+    ("mpl", "mpl", "mpl{v}", ("1 0", "1 1", "2 0")),
+    ("epl", "epl", "epl{v}", ("1 0", "2 0")),
+    ("osl", "osl", "osl{v}", ("1 0", "2 0", "3 0")),
+    ("artistic", "artistic", "artistic{v}", ("1 0", "2 0")),
+    ("boost", "bsl", "bsl{v}", ("1 0",)),
+    ("boost", "boost", "boost{v}", ("1 0",)),
+    ("python", "psf", "psf{v}", ("2 0",)),
+]
+#: those that count behind such a lead only
+LED = [
+    ("bsd", "bsd", "bsd", ()),
+    ("mit", "mit", "mit", ()),
+    ("mit", "expat", "expat", ()),
+    ("isc", "isc", "isc", ()),
+    ("zlib", "zlib", "zlib", ()),
+    ("postgresql", "postgresql", "postgresql", ()),
+    ("python", "python", "python{v}", ("2 0",)),
 ]
 #: lead, priority; a name alone comes last
 LEADS = [
@@ -72,25 +107,32 @@ LEADS = [
     ("", 1),
 ]
 CONFIDENCE = {4: 1.0, 3: 0.9, 2: 0.75, 1: 0.5}
-#: every rule needs one of these
-GATES = (" licen", " cc", " reserved ", " spdx ", " unlicense ", " public domain ", " bsd ", " gpl ", " apache ", " wtfpl ",
-         " permission is ", " confidential ")
 
 
 def rules() -> list[tuple[str, str, str, int]]:
     """(label, keyword, pattern, priority); patterns take the space before their first word, not the one after."""
     out = []
-    for label, keyword, name, versions in FAMILIES:
+    for label, keyword, name, versions in [*FAMILIES, *SHORT, *LED]:
+        family = (label, keyword, name, versions)
+        # a version may stand at the keyword without a space: gplv3
+        key = f" {keyword}" if versions else f" {keyword} "
         for lead, priority in LEADS:
+            if family in LED and priority < 3:
+                continue
             for v in versions:
                 major, minor = v.split(" ")
                 number = f"{major}(?: {minor})?" if minor == "0" else f"{major} {minor}"
-                out.append((f"{label}-{major}.{minor}", f" {keyword} ",
-                            f" {lead}{name.replace('{v}', f'(?: license)?(?: version| v)? ?{number}')}(?= )", priority))
-            out.append((label, f" {keyword} ", f" {lead}{name.replace('{v}', '')}(?= )", priority))
+                out.append((f"{label}-{major}.{minor}", key,
+                            f" {lead}{name.replace('{v}', f'(?: license)?(?: version| ?v)? ?{number}')}(?= )", priority))
+            if family not in SHORT or priority >= 3:
+                out.append((label, key, f" {lead}{name.replace('{v}', '')}(?= )", priority))
     return out
 
 
+#: the keywords of all rules: a text without any of them matches none
+GATES = tuple(sorted({keyword for _, keyword, _, _ in rules()}))
+
+
 def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
@@ -151,11 +193,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.col("n_words") - (_spaces(F.element_at(x, -1)) - 1) - len(p.split(" "))).alias("last")).alias(f"b{i}")
         for i, (p, x) in enumerate(pieces.items())])
     b = [F.when(F.col("w").isNotNull() & (F.col(f"b{i}.n") > 0), F.col(f"b{i}")) for i in range(len(BASE))]
-    # one literal instead of some thousand: the plan stays small
-    known = F.from_json(F.lit(json.dumps([dict(zip(("label", "keyword", "pattern", "priority"), r, strict=True)) for r in rules()])),
-                        "array<struct<keyword:string,pattern:string,priority:int,label:string>>")
-    found = F.flatten(F.transform(F.filter(known, lambda r: F.contains(F.col("w"), r["keyword"])),
-                                  lambda r: _detections(F.col("w"), r)))
+    # one literal instead of some thousand: the plan stays small; rules by keyword, which is looked for once
+    groups = [{"keyword": k, "rules": [dict(zip(("label", "pattern", "priority"), (r[0], r[2], r[3]), strict=True))
+                                       for r in rules() if r[1] == k]} for k in GATES]
+    known = F.from_json(F.lit(json.dumps(groups)), "array<struct<keyword:string,rules:array<struct<pattern:string,priority:int,label:string>>>>")
+    near = F.flatten(F.transform(F.filter(known, lambda g: F.contains(F.col("w"), g["keyword"])), lambda g: g["rules"]))
+    found = F.flatten(F.transform(near, lambda r: _detections(F.col("w"), r)))
     hold = hold.select(
         "row", "n_words", sum((F.coalesce(x["n"], F.lit(0)) for x in b), F.lit(0)).cast("long").alias("n_base"),
         F.least(*[x["first"] for x in b]).cast("long").alias("first_word"),

@@ -113,6 +113,48 @@ def test_license_scan(spark, docs, empty):
     assert len(licenses.rules()) > 300
 
 
+def _example(parsed, longest):
+    """A text that a parsed pattern matches."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            out += chr(arg[-1][1])
+        elif op == "BRANCH":
+            out += _example(arg[1][-1 if longest else 0], longest)
+        elif op == "MAX_REPEAT":
+            out += _example(arg[2], longest) * arg[1 if longest else 0]
+        elif op == "SUBPATTERN":
+            out += _example(arg[3], longest)
+        else:
+            assert op == "ASSERT", op
+    return out
+
+
+def test_every_license_rule_passes_the_gate():
+    for label, keyword, pattern, _ in licenses.rules():
+        for longest in (False, True):
+            text = _example(re._parser.parse(pattern), longest) + " "
+            assert re.match(pattern, text) and keyword in text and any(g in text for g in licenses.GATES), (label, text)
+
+
+def test_license_short_and_spdx_names(spark):
+    cases = {
+        "Creative Commons Attribution 4.0 International": "cc-by-4.0", "SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause", "SPDX-License-Identifier: ISC": "isc",
+        "SPDX-License-Identifier: MPL-2.0": "mpl-2.0", "SPDX-License-Identifier: EPL-2.0": "epl-2.0",
+        "SPDX-License-Identifier: LGPL-2.1": "lgpl-2.1", "SPDX-License-Identifier: AGPL-3.0-only": "agpl-3.0",
+        "This is licensed under MIT.": "mit", "it is GPLv3 code": "gpl-3.0", "an LGPL library": "lgpl", "MPL 2.0": "mpl-2.0",
+        "Creative Commons Attribution-ShareAlike 4.0": "cc-by-sa-4.0", "he went to MIT to mitigate the EPL": "",
+        "a general open development of the python domain": "",
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r["row"]["text"]: r["labels"] for r in licenses.scan(df).collect()}
+    assert got == cases
+
+
 def _luhn(s):
     return sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(map(int, reversed(s)))) % 10 == 0
 
