@@ -220,18 +220,18 @@ def pack(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY, partitio
 
 
 def packed_documents(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFrame:
-    """Pieces of all documents with their sequence and place."""
-    pieces = scratch.put(pieces_of(docs, path).withColumn("pid", F.monotonically_increasing_id()), "pieces", keep=True)
+    """Pieces of all documents with their token ids, sequence and place."""
+    pieces = scratch.put(pieces_of(docs, path, with_ids=True).withColumn("pid", F.monotonically_increasing_id()), "pieces", keep=True)
     return pieces.join(pack(pieces.select("pid", "length"), scratch), "pid").drop("pid")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Every piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset."""
     with Scratch(spark, "packing") as scratch:
         return packed_documents(table(spark, sf_dir, "documents"), scratch)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline (last stage): the packed pieces of all documents."""
+    """Pipeline (last stage): the packed pieces of all documents, token ids included."""
     with Scratch(spark, "packing") as scratch:
         return packed_documents(docs, scratch)

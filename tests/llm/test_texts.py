@@ -247,6 +247,19 @@ def test_packing_is_gapless_and_certified(spark, docs, empty):
         assert got["sequence_id"].nunique() <= packing.lower_bound(v, c) * 1.02 + 1
 
 
+def test_packed_sequences_can_be_read(spark, docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    with Scratch(spark, "t") as s:
+        out = packing.packed_documents(docs, s).toPandas()
+    want = Counter(tuple([*t.encode(row[1] or "", add_special_tokens=False).ids, 1][i:i + 4096]) for row in ROWS
+                   for i in range(0, len(t.encode(row[1] or "", add_special_tokens=False).ids) + 1, 4096))
+    assert Counter(tuple(x) for x in out["ids"]) == want
+    for _, one in out.sort_values("offset").groupby("sequence_id"):
+        assert [len(x) for x in one["ids"]] == list(one["length"]) and len(np.concatenate(list(one["ids"]))) <= 4096
+
+
 def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 
