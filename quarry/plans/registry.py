@@ -420,6 +420,16 @@ def _register_streams():
 _register_streams()
 
 
+def _register_ordered():
+    from quarry.plans.ordered import ORDERED_ORACLE_SQL, ORDERED_QUERIES
+
+    QUERIES.update(ORDERED_QUERIES)
+    ORACLE_SQL.update(ORDERED_ORACLE_SQL)
+
+
+_register_ordered()
+
+
 def _register_loads():
     from quarry.plans.loads import LOAD_ORACLE_SQL, LOAD_QUERIES
 

@@ -5,9 +5,14 @@ partition boundaries (and several partitions hold only the hot key)."""
 
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from quarry.plans.scan import OrderedScan, RowIndex, Rolling, ValueChange, rolling_mean, row_index
+from quarry.plans.scan import (OrderedScan, RowIndex, Rolling, ValueChange, rolling_mean, row_index, running_sums,
+                               value_changes)
 from tests.conftest import executed_plan
 
 
@@ -149,3 +154,75 @@ def test_rolling_mean_mixed_magnitudes_and_nulls(spark, width):
         df.select("k", "t", F.avg("v").over(w).alias("want")), ["k", "t"])
     wrong = both.where("not (moving_avg <=> want) and not coalesce(abs(moving_avg - want) <= 1e-9 * abs(want), false)")
     assert both.count() == 4000 and wrong.count() == 0
+
+
+def _fold(values, eps, last=0.0):
+    out = []
+    for i, v in enumerate(values):
+        if v is not None and v == v and abs(v - last) > eps:
+            out.append((i, v - last))
+            last = v
+    return out, last
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([0.0, 0.3, 0.6, 1.0, 1.1, 1.4, 1.9, 2.0, 2.5, 3.1, 7.0]), min_size=1, max_size=40),
+       st.lists(st.integers(0, 40), max_size=4), st.sampled_from([-5.0, 0.0, 0.3, 0.9, 1.5, 2.2, 3.0, 9.0]),
+       st.sampled_from([0.5, 1.0]))
+def test_transfer_function_equals_the_fold(values, cuts, last, eps):
+    import json
+
+    fold = ValueChange("v", eps)
+    summary, at = fold.blank(), sorted({0, len(values), *(c for c in cuts if c < len(values))})
+    for a, b in zip(at, at[1:], strict=False):
+        summary = json.loads(json.dumps(fold.extend(summary, {"v": np.array(values[a:b])}, b - a)))
+    assert fold.close(summary, {"last": last, "prev": 0.0})["last"] == _fold(values, eps, last)[1]
+
+
+def test_constant_hot_key_has_summaries_of_constant_size(spark):
+    df = spark.range(80_000, numPartitions=4).select(F.lit("hot").alias("k"), F.col("id").alias("t"), F.lit(3.5).alias("v"))
+    scan = OrderedScan(["k"], ["t"], ValueChange("v"), 8, ["k", "t", "v"])
+    rows = scan.summaries(scan._sorted(df).checkpoint()).collect()
+    assert len(rows) == 8 and all(r["single"] and len(r["known"]) < 150 for r in rows)
+    assert [(r["t"], r["change"]) for r in scan.apply(df).collect()] == [(0, 3.5)]
+
+
+@pytest.mark.parametrize("max_pieces", [0, 1, 512])
+def test_value_change_of_drifts_and_nulls_over_slices(spark, max_pieces):
+    rnd = random.Random(max_pieces)
+    series = {"drift": [1 + i * 4e-7 for i in range(400)], "saw": [1 + (i % 9) * 4e-7 for i in range(400)],
+              "nulls": [1.0, None, 2.0, 2.0, float("nan"), 5.0], None: [None, 0.0, 4.0, None, 4.0],
+              "noise": [rnd.choice([1.0, 1.0000004, 1.0000009, None, 1.0000015, 2.0]) for _ in range(300)]}
+    rows = [(k, i, v) for k, vs in series.items() for i, v in enumerate(vs)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    got = value_changes(df, ["k"], ["t"], "v", num_partitions=13, max_pieces=max_pieces).collect()
+    want = [(k, i, c) for k, vs in series.items() for i, c in _fold(vs, 1e-6)[0]]
+    assert sorted(((r["k"], r["t"], r["change"]) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_long_keys_beside_a_null_key(spark):
+    big = [9007199254740992, 9007199254740993, None, 9007199254740995]
+    df = spark.createDataFrame([(k, t, float(t)) for k in big for t in range(6)], "k long, t long, v double").repartition(3)
+    for parts in (1, 4):
+        got = {(r["k"], r["t"]): r["rn"] for r in row_index(df, ["k"], ["t"], num_partitions=parts).collect()}
+        assert got == {(k, t): t + 1 for k in big for t in range(6)}
+    nan = spark.createDataFrame([(float("nan"), 1), (float("nan"), 2), (1.0, 1)], "k double, t long")
+    assert sorted(r["rn"] for r in row_index(nan, ["k"], ["t"], num_partitions=1).collect()) == [1, 1, 2]
+
+
+def test_running_sums_wrap_around(spark):
+    top = (1 << 63) - 1
+    rows = [("a", i, top if i % 3 else -i, i) for i in range(50)] + [("b", i, i, 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, t long, x long, y long").repartition(3)
+    got = {(r["k"], r["t"]): (r["sx"], r["sy"]) for r in running_sums(df, ["k"], ["t"], {"x": "sx", "y": "sy"}, 7).collect()}
+    for k in "ab":
+        sx = sy = 0
+        for _, t, x, y in [r for r in rows if r[0] == k]:
+            sx, sy = (sx + x + (1 << 63)) % (1 << 64) - (1 << 63), sy + y
+            assert got[(k, t)] == (sx, sy)
+
+
+def test_scan_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "k string, t long, v double")
+    assert value_changes(df, ["k"], ["t"], "v").count() == row_index(df, ["k"], ["t"]).count() == 0
