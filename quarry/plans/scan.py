@@ -117,11 +117,11 @@ class RowIndex(Recipe):
 class RunningSums(Recipe):
     """Running totals of long columns within the key (64-bit, wrapping around)."""
 
-    def __init__(self, totals: dict[str, str]):
-        """``totals``: output column by summed column."""
-        self.totals = totals
+    def __init__(self, totals: dict[str, str], before: dict[str, str] | None = None):
+        """``totals``: output column by summed column; ``before``: the same for the total of the rows before."""
+        self.totals, self.before = totals, before or {}
         self.needs = list(totals)
-        self.out_fields = [T.StructField(c, T.LongType(), False) for c in totals.values()]
+        self.out_fields = [T.StructField(c, T.LongType(), False) for c in [*totals.values(), *self.before.values()]]
 
     def start(self):
         return [0] * len(self.needs)
@@ -141,6 +141,8 @@ class RunningSums(Recipe):
             total -= (total - v)[run_start]
             total[run_id == 0] += np.int64(before)
             out[self.totals[c]] = total
+            if c in self.before:
+                out[self.before[c]] = total - v
             after.append(int(total[-1]))
         return out, None, after
 
@@ -583,9 +585,10 @@ def row_index(df: DataFrame, keys: list[str], order: list[str], out_col: str = "
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list[str], totals: dict[str, str],
-                 num_partitions: int | None = None) -> DataFrame:
-    """Running totals within ``keys`` in ``order``: ``totals`` names the output column of each long column."""
-    return OrderedScan(keys, order, RunningSums(totals), num_partitions, pass_cols=list(df.columns)).apply(df)
+                 num_partitions: int | None = None, before: dict[str, str] | None = None) -> DataFrame:
+    """Running totals within ``keys`` in ``order``: ``totals`` names the output column of each long column, ``before``
+    that of the total without the row itself."""
+    return OrderedScan(keys, order, RunningSums(totals, before), num_partitions, pass_cols=list(df.columns)).apply(df)
 
 
 def rolling_mean(df: DataFrame, keys: list[str], order: list[str], value: str, width: int,

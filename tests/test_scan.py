@@ -216,11 +216,12 @@ def test_running_sums_wrap_around(spark):
     rows = [("a", i, top if i % 3 else -i, i) for i in range(50)] + [("b", i, i, 1) for i in range(5)]
     df = spark.createDataFrame(rows, "k string, t long, x long, y long").repartition(3)
     got = {(r["k"], r["t"]): (r["sx"], r["sy"]) for r in running_sums(df, ["k"], ["t"], {"x": "sx", "y": "sy"}, 7).collect()}
+    was = {(r["k"], r["t"]): r["by"] for r in running_sums(df, ["k"], ["t"], {"y": "sy"}, 7, {"y": "by"}).collect()}
     for k in "ab":
         sx = sy = 0
         for _, t, x, y in [r for r in rows if r[0] == k]:
             sx, sy = (sx + x + (1 << 63)) % (1 << 64) - (1 << 63), sy + y
-            assert got[(k, t)] == (sx, sy)
+            assert got[(k, t)] == (sx, sy) and was[(k, t)] == sy - y
 
 
 def test_scan_of_an_empty_table(spark):
