@@ -19,6 +19,7 @@ from quarry.llm.quality import OP11_SQL, op11_quality_rules
 from quarry.llm.rpforest import op1_embedding_dedup
 from quarry.llm.suffixtree import op9_suffix_tree
 from quarry.llm.toxicity import op2_toxicity
+from quarry.llm.trie import OP13_SQL, op13_prefix_trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
@@ -33,10 +34,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
     "op11_quality_rules": op11_quality_rules,
     "op12_fim": op12_fim,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL, "op7_mixing": OP7_SQL, "op11_quality_rules": OP11_SQL,
-                              "op12_fim": OP12_SQL}
+                              "op12_fim": OP12_SQL, "op13_prefix_trie": OP13_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
