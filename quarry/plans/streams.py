@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import lookup_sum
 from quarry.plans.tables import table
 from quarry.session import scratch_path
 from quarry.streaming import wordcount as wc
@@ -18,7 +19,6 @@ from quarry.streaming import wordcount as wc
 STREAM_FILES = 8          # staged files at least (more with more shuffle partitions)
 MICRO_BATCHES = 4         # the replay is cut into this many micro-batches
 STREAM_TOKENIZER = "whitespace"
-REQUEST_ROLE = "user"
 
 
 def _staged_conversations(spark: SparkSession, sf: str) -> tuple[str, object, int]:
@@ -36,25 +36,21 @@ def _words_stream(spark, sf):
     return wc.split_sentences(stream, "text", STREAM_TOKENIZER)
 
 
-def _running_counts(spark, sf) -> tuple[DataFrame, str]:
+def _running_counts(spark, sf) -> wc.CountsView:
     words = _words_stream(spark, sf)
     ckpt = scratch_path(spark, "wordcount-ckpt")
-    log = scratch_path(spark, "wordcount-log")
-    q = wc.start_running_counts(words, ckpt, log, available_now=True)
-    q.awaitTermination()
-    return wc.current_counts(spark, log), ckpt
+    wc.start_running_counts(words, ckpt).awaitTermination()
+    return wc.CountsView(spark, ckpt, scratch_path(spark, "wordcount-view")).refresh()
 
 
 def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    """T1 + T3: running word counts after the whole stream, from the change log."""
-    counts, _ = _running_counts(spark, sf)
-    return counts
+    """T1 + T3: running word counts after the whole stream, from the published view."""
+    return _running_counts(spark, sf).counts()
 
 
 def stream_state_counts(spark: SparkSession, sf: str) -> DataFrame:
     """T3 read back from the streaming query's own state store."""
-    _, ckpt = _running_counts(spark, sf)
-    return wc.state_store_counts(spark, ckpt)
+    return wc.state_store_counts(spark, _running_counts(spark, sf).checkpoint)
 
 
 def stream_running_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,11 +64,26 @@ def stream_running_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def state_query(spark: SparkSession, sf: str) -> DataFrame:
-    """T4 (J6 + P11 + A12): every user turn is a request; its answer is the
-    sum of the running counts of its words."""
-    counts, _ = _running_counts(spark, sf)
-    requests = table(spark, sf, "conversations").where(F.col("role") == F.lit(REQUEST_ROLE))
-    return wc.query_counts(requests, counts, ["conv_id", "turn"], "text", STREAM_TOKENIZER)
+    """T4 (J6 + P11 + A12): a stream of requests, one for every turn; the answer is the sum of the running counts of the
+    turn's words."""
+    view = _running_counts(spark, sf)
+    path, schema, per_trigger = _staged_conversations(spark, sf)
+    out = scratch_path(spark, "answers")
+    q = wc.start_state_queries(wc.file_stream(spark, path, schema, "parquet", per_trigger), view, ["conv_id", "turn"],
+                               out, scratch_path(spark, "answers-ckpt"), "text", STREAM_TOKENIZER)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("conv_id", "turn", "total")
+
+
+def state_total(spark: SparkSession, sf: str) -> DataFrame:
+    """The sum over the running counts of all words of all turns as one request, and of as many words that
+    the state does not know (0)."""
+    view = _running_counts(spark, sf)
+    words = table(spark, sf, "conversations").select(
+        F.explode(wc.token_array("text", STREAM_TOKENIZER, per_line=True)).alias("word"))
+    unknown = words.select(F.concat("word", F.lit(" ?")).alias("word"))
+    one = lambda name, asked: lookup_sum(asked, view.counts(), out="total").select(F.lit(name).alias("request"), "total")
+    return one("every turn", words).union(one("unknown words", unknown))
 
 
 def stream_archive(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,6 +102,7 @@ STREAM_QUERIES = {
     "stream_state_counts": stream_state_counts,
     "stream_running_count": stream_running_count,
     "state_query": state_query,
+    "state_total": state_total,
     "stream_archive": stream_archive,
 }
 
@@ -105,11 +117,15 @@ STREAM_ORACLE_SQL = {
                              f"FROM ({_WORDS}) WHERE word <> ''"),
     "state_query": f"""
       WITH c AS ({_COUNTS}),
-           r AS (SELECT conv_id, turn, text FROM conversations WHERE role = '{REQUEST_ROLE}'),
+           r AS (SELECT conv_id, turn, text FROM conversations),
            w AS (SELECT conv_id, turn, unnest(regexp_split_to_array(line, '\\s+')) AS word
                  FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM r))
       SELECT r.conv_id, r.turn, CAST(coalesce(s.total, 0) AS BIGINT) AS total
       FROM r LEFT JOIN (SELECT conv_id, turn, sum(c.count) AS total FROM w JOIN c USING (word)
                         GROUP BY conv_id, turn) s USING (conv_id, turn)""",
+    "state_total": f"""
+      SELECT 'every turn' AS request, CAST(sum(c.count) AS BIGINT) AS total
+      FROM ({_WORDS}) w JOIN ({_COUNTS}) c USING (word)
+      UNION ALL SELECT 'unknown words', 0""",
     "stream_archive": "SELECT conv_id, turn, role, text FROM conversations",
 }

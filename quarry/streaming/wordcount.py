@@ -1,17 +1,15 @@
 """Structured Streaming word counts and queries over their running state.
 
 * T1 ``split_sentences``: stateless split of each sentence into words.
-* T3 ``start_running_counts``: ``groupBy(word).count()`` kept in the state
-  store across micro-batches (checkpointed, so a restart resumes); every
-  batch's updated counts are also appended to a change log table.
+* T3 ``start_running_counts``: ``groupBy(word).count()`` kept in a RocksDB state
+  store across micro-batches (checkpointed, so a restart resumes).
 * T2 ``start_count_ranges``: ``(word, running count)`` for *every* input
-  word: per micro-batch, each word's new range of counts from the streaming
-  aggregation and the previous totals in its state store, expanded in
-  bounded chunks spread over tasks; ``start_count_increments`` is the
-  per-word ``applyInPandasWithState`` form (one task per word and batch).
-* T4 ``query_counts``: split request texts, look each word up in the
-  running counts, drop misses, sum per request (J6 + P11 + A12), as a batch
-  query over the published state.
+  word: occurrences are combined in each task, ``transformWithState`` keeps one
+  counter a word and gives each its new range of numbers, and ranges
+  are expanded in bounded chunks spread over tasks.
+* T4 ``CountsView``, ``start_state_queries``: the running counts published as a
+  compacted snapshot and the state store's change feed since, and a stream
+  of requests answered from it (J6 + P11 + A12).
 * T5 / S19 ``start_archive``: append the stream to rolling files.
 
 Sources are file streams here (``file_stream``); the message-log source is
@@ -20,17 +18,46 @@ Sources are file streams here (``file_stream``); the message-log source is
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quarry.operators.text import token_array
 from quarry.session import core_count
 
+# State on disk with incremental checkpoints: executors hold a cache of it, not the whole vocabulary, and a batch
+# writes (and the change feed gives) only what it changed.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB; the session's own setting is put back."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def _triggered(writer, available_now: bool):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")
+
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 files_per_trigger: int = 1) -> DataFrame:
@@ -50,119 +77,172 @@ def running_counts(words: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-def start_running_counts(words: DataFrame, checkpoint: str, changelog: str, available_now: bool = True,
-                         query_name: str | None = None):
-    """Run T3; each micro-batch appends its updated ``(word, count, batch_id)``
-    rows to ``changelog`` (Parquet).  Returns the ``StreamingQuery``."""
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        # a retried batch may append its rows again; readers take the largest
-        # count per word, so a repeat changes nothing
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(changelog)
-
-    w = (running_counts(words).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint).foreachBatch(publish))
+def start_running_counts(words: DataFrame, checkpoint: str, available_now: bool = True, query_name: str | None = None):
+    """Run T3: the counts live in the query's state store (see ``state_store_counts`` and ``CountsView``).
+    Returns the ``StreamingQuery``."""
+    w = running_counts(words).writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
-    return w.start()
-
+    with rocksdb_state(words.sparkSession):
+        return _triggered(w, available_now).start()
 
-def current_counts(spark: SparkSession, changelog: str) -> DataFrame:
-    """The latest count of every word from the change log (counts only
-    grow, so the latest is the largest; a partial aggregate)."""
-    return spark.read.parquet(changelog).groupBy("word").agg(F.max("count").alias("count"))
 
-
-def state_store_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """The running counts read straight from the query's state store."""
-    st = spark.read.format("statestore").load(checkpoint)
+def state_store_counts(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The running counts read straight from the query's state store, as of a batch (the latest)."""
+    reader = spark.read.format("statestore")
+    st = (reader if batch_id is None else reader.option("batchId", batch_id)).load(checkpoint)
     return st.select(F.col("key.word").alias("word"), F.col("value.count").alias("count"))
 
 
-_INC_SCHEMA = T.StructType([T.StructField("word", T.StringType()), T.StructField("count", T.LongType())])
-_INC_STATE = T.StructType([T.StructField("seen", T.LongType())])
+RANGE_CHUNK = 100_000
 
 
-def _increments(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    seen = state.get[0] if state.exists else 0
-    word = key[0]
-    for pdf in pdfs:  # chunks of one word's rows in this batch
-        n = len(pdf)
-        if n:
-            yield pd.DataFrame({"word": [word] * n, "count": range(seen + 1, seen + n + 1)})
-            seen += n
-    state.update((seen,))
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) of every Arrow batch: a word holding a third of the rows leaves a task as a few rows."""
+    for batch in batches:
+        counts = pc.value_counts(batch.column(0))
+        yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], ["word", "n"])
 
 
-def count_increments(words: DataFrame) -> DataFrame:
-    """``(word, new count)`` for every input word, in arrival order
-    within a batch.  Rows of one word in a batch are streamed in chunks; the
-    state is one counter per word."""
-    return words.groupBy("word").applyInPandasWithState(
-        _increments, _INC_SCHEMA, _INC_STATE, "append", GroupStateTimeout.NoTimeout)
+class _Ranges(StatefulProcessor):
+    """One counter a word; each batch that holds the word moves it by what the batch holds."""
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "n long")
 
-def start_count_increments(words: DataFrame, checkpoint: str, out_path: str, available_now: bool = True):
-    """Run T2 into an append-only Parquet sink."""
-    w = (count_increments(words).writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", checkpoint).option("path", out_path))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
-    return w.start()
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        old = self.seen.get()
+        lo = old[0] if old else 0
+        hi = lo + sum(int(pdf["n"].sum()) for pdf in rows)
+        self.seen.update((hi,))
+        yield pd.DataFrame({"word": [key[0]], "lo": [lo], "hi": [hi]})
 
+    def close(self) -> None:
+        pass
 
-RANGE_CHUNK = 100_000
+
+def count_ranges(words: DataFrame) -> DataFrame:
+    """T2 as ranges: for every word of a micro-batch the counts ``lo + 1 .. hi`` of its new occurrences.  A batch reads and
+    writes the state of the words that it holds, whatever the vocabulary."""
+    return (words.select("word").mapInArrow(_combined, "word string, n long").groupBy("word")
+            .transformWithStateInPandas(_Ranges(), "word string, lo long, hi long", "append", "none"))
 
 
 def start_count_ranges(words: DataFrame, checkpoint: str, out_path: str, chunk: int = RANGE_CHUNK,
                        available_now: bool = True):
-    """T2 without one task per word: ``(word, n)`` for the n-th occurrence of
-    every word, as ranges.
-
-    The running count is an ordinary streaming aggregation (partial
-    aggregates, so a word holding a third of a batch is reduced map-side).
-    Each micro-batch's updated totals are joined with the totals after the
-    previous batch, read from the query's own state store, and every word's
-    new range ``prev+1 .. total`` is cut into chunks of at most ``chunk``
-    numbers that are spread over tasks before they are expanded.  Batches
-    are written to ``out_path/batch_id=N`` with overwrite, so a retried
-    batch replaces its own output.  Row order inside a batch is not kept
-    (the multiset of ``(word, n)`` is)."""
-    spark = words.sparkSession
-
-    def emit(updated: DataFrame, batch_id: int) -> None:
-        totals = updated.select("word", F.col("count").alias("hi")).persist()
+    """``(word, n)`` for the n-th occurrence of every word, appended to
+    ``out_path`` (Parquet, exactly once).
+
+    Every range is cut into chunks of at most ``chunk`` numbers that are
+    spread over tasks before they are expanded.  Row order inside a batch is
+    not kept (the multiset of ``(word, n)`` is)."""
+    last = F.floor((F.col("hi") - F.col("lo") - 1) / F.lit(chunk)).cast("long")
+    pieces = count_ranges(words).select("word", "lo", "hi", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("c"))
+    start = F.col("lo") + F.col("c") * F.lit(chunk) + F.lit(1)
+    end = F.least(F.col("hi"), F.col("lo") + (F.col("c") + F.lit(1)) * F.lit(chunk))
+    out = (pieces.repartition(max(1, core_count(words.sparkSession)))
+           .select("word", F.explode(F.sequence(start, end)).alias("count")))
+    w = out.writeStream.outputMode("append").format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+    with rocksdb_state(words.sparkSession):
+        return _triggered(w, available_now).start()
+
+
+class CountsView:
+    """The running counts of a T3 query as a table that requests read: a compacted snapshot in buckets by word, and the
+    changes since.
+
+    ``refresh`` asks the state store for the changes of the batches committed since the last time (its change feed) and
+    writes those alone; after ``compact_after`` such pieces they are folded into a new snapshot.  The first refresh, and one
+    that comes after the store has dropped the feed of a batch it needs, takes the state as a whole.  ``root`` has a manifest of one row a
+    refresh, so a restarted driver goes on where it was.  Files of the last snapshot but one are left for running readers and deleted
+    by whoever owns ``root``."""
+
+    _MANIFEST = "seq long, upto long, snapshot string, changes array<string>"
+
+    def __init__(self, spark: SparkSession, checkpoint: str, root: str, buckets: int = 64, compact_after: int = 8):
+        self.spark, self.checkpoint, self.root = spark, checkpoint, root.rstrip("/")
+        self.buckets, self.compact_after = buckets, compact_after
+        self.seq, self.upto, self.snapshot, self.changes = 0, -1, None, []
         try:
-            if batch_id > 0:
-                prev = (spark.read.format("statestore").option("batchId", batch_id - 1).load(checkpoint)
-                        .select(F.col("key.word").alias("word"), F.col("value.count").alias("lo")))
-                ranges = totals.join(prev, "word", "left").select(
-                    "word", F.coalesce("lo", F.lit(0)).cast("long").alias("lo"), "hi")
-            else:
-                ranges = totals.select("word", F.lit(0).cast("long").alias("lo"), "hi")
-            n_chunks = F.floor((F.col("hi") - F.col("lo") - 1) / F.lit(chunk)).cast("long")
-            pieces = ranges.select("word", "lo", "hi",
-                                   F.explode(F.sequence(F.lit(0).cast("long"), n_chunks)).alias("c"))
-            start = F.col("lo") + F.col("c") * F.lit(chunk) + F.lit(1)
-            end = F.least(F.col("hi"), F.col("lo") + (F.col("c") + F.lit(1)) * F.lit(chunk))
-            out = (pieces.repartition(max(1, core_count(spark)))
-                   .select("word", F.explode(F.sequence(start, end)).alias("count")))
-            out.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
-        finally:
-            totals.unpersist()
-
-    w = (running_counts(words).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint).foreachBatch(emit))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
-    return w.start()
+            rows = spark.read.schema(self._MANIFEST).parquet(f"{self.root}/manifest")
+        except Exception as error:  # no manifest yet
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+        else:
+            last = rows.orderBy(F.col("seq").desc()).first()
+            if last:
+                self.seq, self.upto, self.snapshot, self.changes = last.seq, last.upto, last.snapshot, list(last.changes)
+
+    def bucket(self, word: Column | str) -> Column:
+        return F.pmod(F.xxhash64(word), F.lit(self.buckets)).cast("int")
+
+    def _write(self, counts: DataFrame, kind: str) -> str:
+        path = f"{self.root}/{kind}-{uuid.uuid4().hex}"
+        (counts.withColumn("bucket", self.bucket("word")).repartition("bucket").write.partitionBy("bucket").parquet(path))
+        return path
+
+    def _feed(self, start: int, end: int) -> DataFrame:
+        feed = (self.spark.read.format("statestore").option("readChangeFeed", True).option("changeStartBatchId", start)
+                .option("changeEndBatchId", end).load(self.checkpoint))
+        return feed.groupBy(F.col("key.word").alias("word")).agg(F.max("value.count").alias("count"))  # counts only grow
+
+    def refresh(self) -> CountsView:
+        """Take in what the counting query has committed since the last refresh."""
+        known = self.spark.read.format("state-metadata").load(self.checkpoint).agg(F.min("minBatchId"), F.max("maxBatchId")).first()
+        first, latest = known
+        if latest is None or latest <= self.upto:
+            return self
+        if self.snapshot is None or first > self.upto + 1:
+            self.snapshot, self.changes = self._write(state_store_counts(self.spark, self.checkpoint, latest), "snapshot"), []
+        else:
+            self.changes.append(self._write(self._feed(self.upto + 1, latest), "changes"))
+            if len(self.changes) >= self.compact_after:
+                self.snapshot, self.changes = self._write(self.counts(), "snapshot"), []
+        self.upto, self.seq = latest, self.seq + 1
+        row = [(self.seq, self.upto, self.snapshot, self.changes)]
+        self.spark.createDataFrame(row, self._MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+        return self
+
+    def counts(self, buckets: list[int] | None = None) -> DataFrame:
+        """(word, count), of these buckets only if given (other files are not read)."""
+        if self.snapshot is None:
+            return self.spark.createDataFrame([], "word string, count long")
+        out = None
+        for path in [self.snapshot, *self.changes]:
+            part = self.spark.read.schema("word string, count long, bucket int").parquet(path)
+            part = part if buckets is None else part.where(F.col("bucket").isin(buckets))
+            out = part if out is None else out.union(part)
+        out = out.select("word", "count")
+        return out.groupBy("word").agg(F.max("count").alias("count")) if self.changes else out
+
+
+def start_state_queries(requests: DataFrame, view: CountsView, id_cols: list[str], out_path: str, checkpoint: str,
+                        text_col: str = "args", tokenizer="java", available_now: bool = True):
+    """T4: answer a *stream* of requests from the running counts as of the latest batch that the counting query has
+    committed when a micro-batch of requests comes in.  Answers (``id_cols``, ``total``) go to
+    ``out_path/batch_id=N``, overwritten if the batch is tried again.  Only the buckets that hold a requested word
+    are read (at most ``view.buckets`` numbers come to the driver)."""
+
+    def answer(batch: DataFrame, batch_id: int) -> None:
+        view.refresh()
+        words = batch.select(F.explode(token_array(text_col, tokenizer)).alias("word"))
+        needed = [r[0] for r in words.select(view.bucket("word").alias("b")).distinct().collect()]
+        found = query_counts(batch, view.counts(needed), id_cols, text_col, tokenizer)
+        found.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+
+    w = requests.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
+    return _triggered(w, available_now).start()
 
 
 def query_counts(requests: DataFrame, counts: DataFrame, id_cols: list[str], text_col: str = "args",
                  tokenizer="java") -> DataFrame:
     """Per request, the sum of the running counts of its
-    words; words not counted are dropped; 0 when none is found."""
-    words = requests.select(*id_cols, F.explode(token_array(text_col, tokenizer)).alias("word"))
+    words; words not counted are dropped; 0 when none is found.  A word that a
+    request repeats is looked up once and counted as often as it stands there."""
+    words = (requests.select(*id_cols, F.explode(token_array(text_col, tokenizer)).alias("word"))
+             .groupBy(*id_cols, "word").agg(F.count(F.lit(1)).alias("times")))
     found = words.join(counts.select("word", "count"), "word", "inner").dropna(subset=["count"])
-    sums = found.groupBy(*id_cols).agg(F.sum("count").alias("total"))
+    sums = found.groupBy(*id_cols).agg(F.sum(F.col("times") * F.col("count")).alias("total"))
     return (requests.select(*id_cols).join(sums, id_cols, "left")
             .select(*id_cols, F.coalesce("total", F.lit(0)).cast("long").alias("total")))
 

@@ -1,7 +1,6 @@
 """Streaming word counts on FIXTURES A11 (one file per batch)."""
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.streaming import wordcount as wc
@@ -21,26 +20,69 @@ def source(spark, tmp_path):
 
 def test_running_counts_and_query(spark, source, tmp_path):
     words = wc.split_sentences(wc.file_stream(spark, source, SCHEMA), "sentence", "java")
-    q = wc.start_running_counts(words, str(tmp_path / "ck"), str(tmp_path / "log"))
-    q.awaitTermination()
-    counts = {r["word"]: r["count"] for r in wc.current_counts(spark, str(tmp_path / "log")).collect()}
+    wc.start_running_counts(words, str(tmp_path / "ck")).awaitTermination()
+    view = wc.CountsView(spark, str(tmp_path / "ck"), str(tmp_path / "view"), buckets=4).refresh()
+    counts = {r["word"]: r["count"] for r in view.counts().collect()}
     assert counts["the"] == 4 and counts["and"] == 2 and counts["cow"] == 1
     state = {r["word"]: r["count"] for r in wc.state_store_counts(spark, str(tmp_path / "ck")).collect()}
     assert state == counts
-    reqs = spark.createDataFrame([(1, "cat the dog jumped"), (2, "zzz yyy")], "id int, args string")
-    out = {r["id"]: r["total"] for r in wc.query_counts(reqs, wc.current_counts(spark, str(tmp_path / "log")),
-                                                           ["id"], "args").collect()}
-    assert out == {1: 5, 2: 0}
+    reqs = spark.createDataFrame([(1, "cat the dog jumped"), (2, "zzz yyy"), (3, "the the"), (4, None)], "id int, args string")
+    out = {r["id"]: r["total"] for r in wc.query_counts(reqs, view.counts(), ["id"], "args").collect()}
+    assert out == {1: 5, 2: 0, 3: 8, 4: 0}
+
+
+def _add(spark, path, sentences):
+    spark.createDataFrame([(s,) for s in sentences], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_view_follows_the_change_feed(spark, tmp_path):
+    src, ck, root = (str(tmp_path / x) for x in ("src", "ck", "view"))
+    want, view = {}, None
+    for i in range(5):
+        said = [f"the word{i} again", "the"]
+        _add(spark, src, said)
+        for w in " ".join(said).split():
+            want[w] = want.get(w, 0) + 1
+        words = wc.split_sentences(wc.file_stream(spark, src, SCHEMA), "sentence", "java")
+        wc.start_running_counts(words, ck).awaitTermination()
+        view = wc.CountsView(spark, ck, root, buckets=3, compact_after=3)  # as after a restart of the driver
+        assert view.upto == i - 1
+        view.refresh()
+        assert {r["word"]: r["count"] for r in view.counts().collect()} == want
+        if view.changes:  # only the words of the batches since, not the vocabulary
+            assert {r["word"] for r in spark.read.parquet(view.changes[-1]).collect()} == {"the", "again", f"word{i}"}
+        assert len(view.changes) == (i if i < 3 else i - 3)  # folded into a new snapshot after three
+        assert view.refresh().upto == i
+    some = view.counts([1])
+    assert {r["word"] for r in some.collect()} == {r["word"] for r in view.counts().where(view.bucket("word") == 1).collect()}
 
 
-def test_count_increments(spark, source, tmp_path):
+def test_a_stream_of_requests(spark, source, tmp_path):
+    ck, asked, out = (str(tmp_path / x) for x in ("ck", "asked", "out"))
     words = wc.split_sentences(wc.file_stream(spark, source, SCHEMA), "sentence", "java")
-    q = wc.start_count_increments(words, str(tmp_path / "ck2"), str(tmp_path / "out"))
-    q.awaitTermination()
-    got = sorted((r["word"], r["count"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert [c for w, c in got if w == "the"] == [1, 2, 3, 4]
-    assert [c for w, c in got if w == "and"] == [1, 2]
-    assert len(got) == 6 + 10 + 6
+    wc.start_running_counts(words, ck).awaitTermination()
+    view = wc.CountsView(spark, ck, str(tmp_path / "view"))
+    for i, args in enumerate(["cat the dog jumped", "zzz yyy", "the the and"]):
+        spark.createDataFrame([(i, args)], "id int, args string").coalesce(1).write.mode("append").parquet(asked)
+    requests = wc.file_stream(spark, asked, spark.read.parquet(asked).schema)
+    wc.start_state_queries(requests, view, ["id"], out, str(tmp_path / "ck2")).awaitTermination()
+    assert {r["id"]: r["total"] for r in spark.read.parquet(out).collect()} == {0: 5, 1: 0, 2: 10}
+
+
+def test_a_batch_of_one_word_reads_one_state_entry(spark, tmp_path):
+    src, ck, out = (str(tmp_path / x) for x in ("src", "ck", "out"))
+    _add(spark, src, [" ".join(f"w{i}" for i in range(300))])
+    for batch in range(2):
+        if batch:
+            _add(spark, src, ["w7 w7"])
+        words = wc.split_sentences(wc.file_stream(spark, src, SCHEMA), "sentence", "java")
+        q = wc.start_count_ranges(words, ck, out)
+        q.awaitTermination()
+        state = [p["stateOperators"][0] for p in q.recentProgress if p["numInputRows"]][-1]
+        read = state["customMetrics"]["rocksdbGetCount"]
+        assert (state["numRowsTotal"], state["numRowsUpdated"]) == (300, 1 if batch else 300)
+        assert read >= 300 if not batch else read <= 4
+    assert sorted(r["count"] for r in spark.read.parquet(out).where("word = 'w7'").collect()) == [1, 2, 3]
 
 
 def test_archive(spark, source, tmp_path):
@@ -54,15 +96,12 @@ def test_archive(spark, source, tmp_path):
 
 def test_stream_equals_batch(spark, source, tmp_path):
     words = wc.split_sentences(wc.file_stream(spark, source, SCHEMA), "sentence", "java")
-    q = wc.start_running_counts(words, str(tmp_path / "ck4"), str(tmp_path / "log4"))
-    q.awaitTermination()
+    wc.start_running_counts(words, str(tmp_path / "ck4")).awaitTermination()
     batch = wc.running_counts(wc.split_sentences(spark.read.schema(SCHEMA).parquet(source), "sentence", "java"))
-    assert sorted(map(tuple, batch.collect())) == sorted(
-        map(tuple, wc.current_counts(spark, str(tmp_path / "log4")).select("word", "count").collect()))
-    assert F is not None
+    assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, wc.state_store_counts(spark, str(tmp_path / "ck4")).collect()))
 
 
-def test_count_ranges_match_increments(spark, source, tmp_path):
+def test_count_ranges_over_chunks_and_batches(spark, source, tmp_path):
     words = wc.split_sentences(wc.file_stream(spark, source, SCHEMA), "sentence", "java")
     q = wc.start_count_ranges(words, str(tmp_path / "ck5"), str(tmp_path / "ranges"), chunk=2)
     q.awaitTermination()
