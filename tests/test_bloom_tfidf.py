@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import bloom, joins, tfidf
@@ -23,9 +24,41 @@ def test_bloom_superset_then_exact(spark):
 
 
 def test_bloom_shape():
-    m, k = bloom.optimal_shape(1000, 0.01)
-    assert 9000 < m < 10000 and k == 7
-    assert bloom.optimal_shape(10**12)[0] == bloom.MAX_BITS
+    one = bloom.optimal_shape(1000, 0.01)
+    assert 9000 < one.bits < 10000 and one.hashes == 7 and one.shards == 1
+    for n in (10**6, 10**9, 10**12):  # no cap: bits a key stay the same, a shard never grows
+        many = bloom.optimal_shape(n, 0.01)
+        assert many.bits == bloom.SHARD_BITS and 9.58 < many.shards * many.bits / n < 9.8
+
+
+@pytest.mark.parametrize("max_broadcast", [1 << 26, 0])
+def test_rate_at_twenty_million_keys(spark, max_broadcast):
+    n = 20_000_000 if max_broadcast else 200_000
+    shape = bloom.optimal_shape(n, 0.01)
+    args = shape.bits, shape.hashes, shape.shards
+    filt = bloom.build_filter(spark.range(n), "id", *args).checkpoint()
+    assert filt.count() == shape.shards
+    probe = lambda df: bloom.bloom_prefilter(df, "id", filt, *args, max_broadcast=max_broadcast).count()
+    assert probe(spark.range(0, n, 20)) == n // 20                      # no false negative
+    strangers = spark.range(n, n + 1_000_000)
+    assert probe(strangers) / 1_000_000 < 0.012
+
+
+def test_shards_hot_nulls_and_merge(spark):
+    shape = bloom.Shape(512, 3, 5)
+    args = shape.bits, shape.hashes, shape.shards
+    small = spark.createDataFrame([("hot",)] * 2000 + [(None,)] + [(f"k{i}",) for i in range(40)], "k string")
+    big = spark.createDataFrame([("hot",)] * 1000 + [(None,), ("no",)] + [(f"k{i}",) for i in range(0, 80, 2)], "k string")
+    exact = sorted(r[0] for r in joins.semi_join(big, small, "k").collect())
+    for limit in (0, 1 << 20):
+        got = bloom.bloom_semi_join(big, small, "k", "k", expected_keys="auto", max_broadcast=limit)
+        assert sorted(r[0] for r in got.collect()) == exact
+    halves = [small.where(f"xxhash64(k) % 2 {c} 0") for c in ("=", "<>")]
+    merged = bloom.merge_filters(*[bloom.build_filter(h, "k", *args) for h in halves])
+    whole = bloom.build_filter(small, "k", *args)
+    assert sorted(map(repr, merged.collect())) == sorted(map(repr, whole.collect()))
+    none = small.limit(0)
+    assert bloom.bloom_semi_join(big, none, "k", "k", expected_keys="auto").count() == 0
 
 
 def test_tfidf_fixture(spark):
