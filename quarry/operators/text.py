@@ -128,6 +128,41 @@ def lines_ordered_by_key(matched: DataFrame, key: str = "sort_key", value: str =
     return ordered.select(value)
 
 
+def posting_blocks(docs: DataFrame, rank_col: str, terms_col: str, block_size: int = 1024) -> DataFrame:
+    """A7 as it is stored: ``(term, block, first, last, n, offsets)``, one row
+    for a term and ``block_size`` consecutive ranks.
+
+    ``rank_col`` is a unique, non-negative integer for each row, ``terms_col`` its ``ARRAY<STRING>`` of distinct terms.  A block is
+    ``rank div block_size``; its header tells which ranks it spans, and the
+    postings are offsets from the first of them.  Whole rows are
+    shuffled by block, once; terms are exploded and collected where the block
+    lies, so no posting is shuffled on its own and a term found in every row
+    has at most ``block_size`` postings in a block."""
+    rank = F.col(rank_col).cast("long")
+    rows = docs.select(F.floor(rank / F.lit(block_size)).cast("long").alias("block"), rank.alias("rank"),
+                       F.col(terms_col).alias("terms")).repartition("block")
+    lists = (rows.select("block", "rank", F.explode("terms").alias("term")).groupBy("block", "term")
+             .agg(F.array_sort(F.collect_list("rank")).alias("r")))
+    first = F.element_at("r", 1)
+    return lists.select("term", "block", first.alias("first"), F.element_at("r", -1).alias("last"), F.size("r").cast("long").alias("n"),
+                        F.transform("r", lambda x: (x - F.element_at("r", 1)).cast("int")).alias("offsets"))
+
+
+def decode_postings(index: DataFrame) -> DataFrame:
+    """``(term, block, n, ranks)`` of posting blocks, ranks ascending."""
+    return index.select("term", "block", "n", F.transform("offsets", lambda x: x + F.col("first")).alias("ranks"))
+
+
+def rank_urls(docs: DataFrame, url_col: str, unique: bool = True) -> DataFrame:
+    """``(url, rank)``: place of every url in their order, from 0, by the
+    skew-safe ordered scan over the urls alone."""
+    from quarry.plans.scan import row_index
+
+    urls = docs.select(F.col(url_col).alias("url"))
+    ranked = row_index(urls if unique else urls.distinct(), [], ["url"], "rank")
+    return ranked.select("url", (F.col("rank") - 1).alias("rank"))
+
+
 def inverted_index(df: DataFrame, url_col: str, terms_col: str, distinct: bool = False,
                    block_col: str | None = None, block_size: int = 1000) -> DataFrame:
     """Term -> comma-joined, sorted urls.
@@ -138,30 +173,54 @@ def inverted_index(df: DataFrame, url_col: str, terms_col: str, distinct: bool =
     over many bounded rows ``(term, block, urls)`` instead of one unbounded
     string in one task.  Blocks are ``block_col div block_size`` when the url
     has a unique integer id (``block_col``), else consecutive runs of
-    ``block_size`` urls in url order (computed by the skew-safe ordered scan).
-    Concatenating the blocks of a term in block order gives the full list.
-    """
-    from quarry.plans.scan import row_index
+    ``block_size`` urls in url order.  Concatenating the blocks of a term in
+    block order gives the full list.
 
-    postings = df.select(F.explode(terms_col).alias("term"), F.col(url_col).alias("url"))
+    ``distinct`` allows a url in several rows and a term twice in a row.
+    Both forms decode ``posting_blocks``.  For text urls the documents are
+    ranked once and the runs follow from running sums over the headers (term,
+    block, n); only those headers pass the ordered scan.
+    """
+    rows = df.select(F.col(url_col).alias("url"), F.col(terms_col).alias("terms"))
+    if distinct:
+        rows = (rows.select("url", F.explode("terms").alias("term")).distinct()
+                .groupBy("url").agg(F.collect_list("term").alias("terms")))
     if block_col is not None:
         if block_col != url_col:
             raise ValueError("block_col must be the url column itself (a unique integer id)")
-        # one shuffle: duplicates fall out inside the (partial) set aggregate
-        blocked = postings.withColumn("block", F.floor(F.col("url") / F.lit(block_size)).cast("long"))
-        urls = F.array_sort(F.collect_set("url") if distinct else F.collect_list("url"))
-    else:
-        if distinct:
-            postings = postings.distinct()
-        blocked = (row_index(postings, ["term"], ["url"], out_col="_rn", materialize=True)
-                   .withColumn("block", F.floor((F.col("_rn") - 1) / F.lit(block_size)).cast("long"))
-                   .drop("_rn"))
-        urls = F.array_sort(F.collect_list("url"))
-    # blocks are bounded, so no partial aggregate is needed: partition on the
-    # group key first and let one (final) aggregate build each list
-    return (blocked.repartition("term", "block").groupBy("term", "block").agg(urls.alias("_u"))
-            .select("term", "block", F.concat_ws(",", F.transform("_u", lambda u: u.cast("string"))).alias("urls"),
-                    F.size("_u").cast("long").alias("n_urls")))
+        found = decode_postings(posting_blocks(rows, "url", "terms", block_size))
+        return found.select("term", "block", F.array_join(F.transform("ranks", lambda u: u.cast("string")), ",").alias("urls"),
+                            F.col("n").alias("n_urls"))
+    from quarry.sources.sinks import stage
+
+    rows = stage(rows, "index-rows", reliable=False)  # read by the ranking and twice by the index: text is parsed once
+    return _pages(rows, rank_urls(rows, "url"), block_size)
+
+
+def _pages(rows: DataFrame, ranks: DataFrame, page: int) -> DataFrame:
+    """Postings of text urls in runs of ``page`` urls of a term."""
+    from quarry.plans.scan import running_sums
+    from quarry.sources.sinks import stage
+
+    block = 1024
+    # the index as it is stored: the headers are read alone, the postings once
+    index = stage(posting_blocks(rows.join(ranks, "url"), "rank", "terms", block), "index", reliable=False)
+    # the urls of a block, in rank order: the same partitioning as the postings, so they meet without a shuffle
+    names = (ranks.select(F.floor(F.col("rank") / block).cast("long").alias("block"), "rank", "url").repartition("block")
+             .groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "url"))), lambda x: x["url"]).alias("names")))
+    named = decode_postings(index).join(names, "block").select(
+        "term", "block", "n", F.transform("ranks", lambda r: F.element_at(F.col("names"), (r % block + 1).cast("int"))).alias("list"))
+    placed = running_sums(index.select("term", "block", "n"), ["term"], ["block"], {"n": "upto"}, before={"n": "before"})
+    parts = named.drop("n").join(placed, ["term", "block"])
+    cut = parts.select("term", "before", "upto", "list", F.explode(F.sequence(
+        F.floor(F.col("before") / page).cast("long"), F.floor((F.col("upto") - 1) / page).cast("long"))).alias("page"))
+    begin = F.greatest(F.col("page") * page, F.col("before"))
+    end = F.least((F.col("page") + 1) * page, F.col("upto"))
+    cut = cut.select("term", F.col("page").alias("block"), begin.alias("at"),
+                     F.slice("list", (begin - F.col("before") + 1).cast("int"), (end - begin).cast("int")).alias("part"))
+    whole = cut.repartition("term", "block").groupBy("term", "block").agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("p"))
+    urls = F.flatten(F.transform("p", lambda x: x["part"]))
+    return whole.select("term", "block", F.array_join(urls, ",").alias("urls"), F.size(urls).cast("long").alias("n_urls"))
 
 
 def name_count(df: DataFrame, name: Column | str, count_col: str = "count") -> DataFrame:

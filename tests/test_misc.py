@@ -22,12 +22,10 @@ def test_partitioning_helpers(spark):
     placed = ordering.partition_by_first_letter(df, "k", 3, base="A")
     assert placed.rdd.getNumPartitions() == 3
     by_part = placed.select("k", F.spark_partition_id().alias("p")).collect()
-    # rows with the same first-letter index share one partition (placement
-    # by the index; the index itself is hashed onto the partitions)
-    where = {}
-    for r in by_part:
-        where.setdefault((ord(r["k"][0]) - ord("A")) % 3, set()).add(r["p"])
-    assert all(len(ps) == 1 for ps in where.values())
+    # partition i holds exactly the rows of index i
+    assert all(r["p"] == (ord(r["k"][0]) - ord("A")) % 3 for r in by_part) and len(by_part) == 7
+    odd = spark.createDataFrame([(None,), ("",), ("zz",)], "k string")
+    assert sorted(r[0] for r in ordering.partition_by_first_letter(odd, "k", 3).select(F.spark_partition_id()).collect()) == [0, 0, ord("z") % 3]
     assert ordering.spread(df, 5).rdd.getNumPartitions() == 5
     assert ordering.fixed_outputs(ordering.spread(df, 5), 2).rdd.getNumPartitions() == 2
 
@@ -41,6 +39,28 @@ def test_total_order_and_secondary_sort(spark):
     assert [tuple(r) for p in sec for r in p] == sorted(flat)
 
 
+def test_places_of_a_sorted_table(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x")).repartition(5)
+    got = ordering.placed(ordering.total_order(df, ["x"], 7)).collect()
+    assert sorted((r["position"], r["x"]) for r in got) == [(i + 1, i) for i in range(1000)]
+    unsorted = ordering.placed(df).collect()
+    assert sorted(r["position"] for r in unsorted) == list(range(1, 1001))
+    assert any(r["position"] != r["x"] + 1 for r in unsorted)  # the places are those of the rows as they lie
+    assert ordering.placed(ordering.total_order(df.limit(0), ["x"])).count() == 0
+
+
+def test_one_repeated_line_is_cut(spark):
+    lines = [("hot", "x")] * 3000 + [(f"k{i:03d}", str(i)) for i in range(200)] * 5 + [(None, "n")] * 3
+    df = spark.createDataFrame(lines, "k string, line string").repartition(4)
+    out = ordering.ordered_copies(df, ["k", "line"], num_partitions=8, piece=10)
+    parts = out.rdd.glom().collect()
+    flat = [tuple(r) for p in parts for r in p]
+    assert flat == sorted(lines, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert sum(any(r["k"] == "hot" for r in p) for p in parts) > 2 and max(map(len, parts)) < 2500
+    hits = spark.createDataFrame([("a", 2), ("b", 0), ("a", 1)], "line string, hits int")
+    assert [r[0] for r in ordering.ordered_copies(hits, ["line"], "hits").collect()] == ["a"] * 3
+
+
 def test_parse_helpers(spark):
     df = spark.createDataFrame([(" 42 ", "2009-01-02", "x")], "n string, d string, bad string")
     r = df.select(C.parse_number("n", "long"), C.parse_date("d"), C.parse_number("bad", permissive=True)).first()
