@@ -40,15 +40,69 @@ def extremes(df: DataFrame, keys: list, high: str, low: str, extra_max: str,
                                  F.max(extra_max).alias(out[2]))
 
 
+_LOW_BITS = 59            # of a packed key: dates, times of the years 1 to 9999, row numbers
+_YEAR_ONE = -62_135_596_800_000_000  # microseconds
+
+
+def _half(n: int) -> Column:
+    return F.lit(float(2.0 ** n))
+
+
+def with_double_order(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``df`` with a long that orders as the double ``value`` does (the bits of
+    its absolute value as an integer, with its sign; NaN above infinity, both
+    zeros equal), from exact arithmetic by powers of two.  The steps are
+    columns of their own so that none is computed twice."""
+    names = [f"_{out}_{x}" for x in ("size", "guess", "power", "scale", "step")]
+    size, guess, power, scale, step = map(F.col, names)
+    below, above = power > size, size >= power * 2
+    steps = [F.abs(F.col(value).cast("double")), F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(size)).cast("double"))), F.pow(F.lit(2.0), guess),
+             F.when(below, power / 2).when(above, power * 2).otherwise(power),
+             F.when(below, -1).when(above, 1).otherwise(0)]
+    for name, column in zip(names, steps, strict=True):
+        df = df.withColumn(name, column)
+    normal = (guess.cast("long") + step + 1022) * F.lit(1 << 52) + (size / scale * _half(52)).cast("long")
+    bits = (F.when(F.isnan(size), F.lit((2047 << 52) + 1)).when(size == F.lit(float("inf")), F.lit(2047 << 52))
+            .when(size < _half(-1022), (size * _half(537) * _half(537)).cast("long")).otherwise(normal))
+    return df.withColumn(out, bits * F.when(F.col(value) < 0, -1).otherwise(1)).drop(*names)
+
+
+def _wall_micros(f: Column) -> Column:
+    """Microseconds of a timestamp without zone, whatever the session's zone."""
+    return (F.unix_date(f.cast("date")).cast("long") * 86_400_000_000 + F.hour(f) * F.lit(3_600_000_000) + F.minute(f) * F.lit(60_000_000)
+            + (F.extract(F.lit("SECOND"), f) * 1_000_000).cast("long"))
+
+
+def with_packed_key(df: DataFrame, value: str, first: str, out: str) -> DataFrame | None:
+    """``df`` with one decimal that orders rows by ``value``, then by the
+    *smallest* ``first`` (null last), so the row of the largest value is a
+    hash aggregate's maximum.  None where a type does not fit (text, decimals)."""
+    kinds = dict(df.dtypes)
+    v, f = F.col(value), F.col(first)
+    place = {"date": lambda: F.unix_date(f).cast("long") + F.lit(1 << 33), "int": lambda: f.cast("long") + F.lit(1 << 33),
+             "bigint": lambda: f, "timestamp": lambda: F.unix_micros(f) - F.lit(_YEAR_ONE),
+             "timestamp_ntz": lambda: _wall_micros(f) - F.lit(_YEAR_ONE)}.get(kinds[first])
+    if place is None or kinds[value] not in ("double", "float", "tinyint", "smallint", "int", "bigint"):
+        return None
+    high = f"_{out}_high"
+    df = with_double_order(df, value, high) if kinds[value] in ("double", "float") else df.withColumn(high, v.cast("long"))
+    low = F.coalesce(F.lit((1 << _LOW_BITS) - 1) - place(), F.lit(0))
+    key = F.col(high).cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(18,0)") + low.cast("decimal(18,0)")
+    return df.withColumn(out, F.when(v.isNotNull(), key)).drop(high)
+
+
 def max_with_date(df: DataFrame, key: str, value: str, date: str,
                   out=("max_value", "max_date")) -> DataFrame:
     """Per key, the maximum ``value`` and the (earliest) ``date`` it
     occurred on.
 
-    Two hash aggregates, both partial: the earliest date per (key, value),
-    then ``max_by`` over values that are now unique per key, so the pick is
-    deterministic.  A hot key is spread over its distinct values in the first
-    step and reduced map-side in both."""
+    One hash aggregate with a partial step: every task sends at most one row
+    a key.  (value, date) are one packed decimal whose maximum is the row
+    looked for.  Types that do not fit it (text dates) take two
+    aggregates: the earliest date per (key, value), then ``max_by`` over values that are now unique per key."""
+    rows = with_packed_key(df.select(key, value, date), value, date, "_k")
+    if rows is not None:
+        return rows.groupBy(key).agg(F.max(value).alias(out[0]), F.max_by(date, "_k").alias(out[1]))
     per_value = df.groupBy(key, value).agg(F.min(date).alias("_d"))
     return per_value.groupBy(key).agg(F.max(value).alias(out[0]), F.max_by("_d", value).alias(out[1]))
 

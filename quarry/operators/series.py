@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.aggregate import with_packed_key
 from quarry.plans.scan import rolling_mean, value_changes
 
 
@@ -44,15 +45,13 @@ def best_window(df: DataFrame, key: str, order: list[str], value: str, width: in
     ties).  Returns the key, the order columns of the window's last row and
     the mean.  Keys with fewer than ``width`` rows have no full window.
 
-    The per-key arg-max is a partial aggregate (``max`` of a struct), so a
-    hot key is reduced map-side."""
+    The per-key arg-max is one hash aggregate with a partial step (mean and
+    row number packed into one ordered key), so a hot key is reduced map-side."""
     rolled = rolling_mean(df, [key], order, value, width, "_avg", num_partitions,
                           pass_cols=[key, *order, value])
     full = rolled.where(F.col("n_in_window") == F.lit(width)).withColumn("_a", F.round("_avg", places))
-    # two hash aggregates: the first window per (key, mean), then the
-    # largest mean per key, which is unique after the first step
-    first = full.groupBy(key, "_a").agg(*[F.min_by(c, "rn").alias(c) for c in order])
-    best = first.groupBy(key).agg(F.max("_a").alias(out), *[F.max_by(c, "_a").alias(c) for c in order])
+    rows = with_packed_key(full.select(key, "_a", "rn", *order), "_a", "rn", "_k")
+    best = rows.groupBy(key).agg(F.max("_a").alias(out), *[F.max_by(c, "_k").alias(c) for c in order])
     return best.select(key, *order, out)
 
 

@@ -99,3 +99,42 @@ def test_mean_uses_wide_sums(spark):
 def test_reformat_typed_dates(spark):
     df = spark.createDataFrame([("2009-01-02 10:00:00",)], "s string").select(F.to_timestamp("s").alias("ts"))
     assert df.select(C.reformat_date("ts", None)).first()[0] == "2009"
+
+
+def test_double_order_is_the_order_of_doubles(spark):
+    import random
+    import struct
+
+    rnd = random.Random(4)
+    values = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308,
+              float("inf"), float("-inf"), 0.1, 0.30000000000000004, 0.3, 2.0 ** 52, 2.0 ** 53 - 1, 1024.0, 1023.9999999999999]
+    values += [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(64)))[0] for _ in range(3000)]
+    values += [2.0 ** rnd.randint(-1074, 1023) * s for s in (1, -1) for _ in range(300)]
+    values = [v for v in values if v == v]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for v, got in aggregate.with_double_order(df, "v", "o").collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert got == (-bits if v < 0 else bits)
+    nan = aggregate.with_double_order(spark.createDataFrame([(float("nan"),)], "v double"), "v", "o").first()["o"]
+    assert nan > struct.unpack("<q", struct.pack("<d", float("inf")))[0]
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "string", "int"])
+def test_max_with_first_date(spark, kind):
+    import datetime as dt
+
+    rows_ = [("a", 2.5, 5), ("a", 2.5, 3), ("a", 1.0, 1), ("a", None, 0), ("b", -1.0, 2), ("b", -3.0, 1), ("c", None, 4),
+             ("d", 7.0, None), ("d", 7.0, 9), ("e", 7.0, None), (None, 1.5, 8), (None, 1.5, 7)]
+    day = lambda i: None if i is None else dt.date(1969, 12, 28) + dt.timedelta(days=i)
+    df = spark.createDataFrame([(k, v, day(i), i) for k, v, i in rows_], "k string, v double, d date, i int")
+    df = df.select("k", "v", (F.col("i") if kind == "int" else F.col("d").cast(kind)).alias("d")).repartition(3)
+    out = aggregate.max_with_date(df, "k", "v", "d")
+    back = (lambda i: i) if kind == "int" else day
+    got = {r["k"]: (r["max_value"], r["max_date"] if kind == "int" or r["max_date"] is None else dt.date.fromisoformat(str(r["max_date"])[:10]))
+           for r in out.collect()}
+    assert got == {"a": (2.5, back(3)), "b": (-1.0, back(2)), "c": (None, None if kind != "string" else got["c"][1]), "d": (7.0, back(9)),
+                   "e": (7.0, None), None: (1.5, back(7))}
+    plan = executed_plan(out)
+    final = plan.split("Initial Plan")[0]
+    assert "SortAggregate" not in final or kind == "string"
+    assert final.count("HashAggregate") == 2 or kind == "string"
