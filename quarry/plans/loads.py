@@ -8,6 +8,8 @@ table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from quarry.operators.tfidf import tfidf
 from quarry.plans.tables import table
 from quarry.session import scratch_path
 from quarry.sources import readers, sinks
+from quarry.sources.keyed import KeyedTable
 
 LINEITEM_CSV_SCHEMA = T.StructType([
     T.StructField("l_orderkey", T.LongType()),
@@ -83,6 +86,37 @@ def wide_import(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("o_orderkey", "info.date", "p.close", "p.vol")
 
 
+def _keyed(spark: SparkSession, rows: DataFrame, key: str) -> KeyedTable:
+    return KeyedTable(spark, f"quarry_{uuid.uuid4().hex}", [key]).replace(rows)
+
+
+def _result(df: DataFrame, *tables: KeyedTable) -> DataFrame:
+    """The rows as a staged result, so that the tables can go."""
+    out = sinks.stage(df, "keyed", reliable=False)
+    for t in tables:
+        t.drop()
+    return out
+
+
+def aggregate_table_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """S17 + A11: the highest price and its first ship date per part as a keyed table, replaced by that of all lines, then
+    upserted with that of the returned lines."""
+    lines = table(spark, sf, "lineitem")
+    best = lambda rows, run: aggregate.max_with_date(rows, "l_partkey", "l_extendedprice", "l_shipdate", ("max_price", "max_date")).withColumn(
+        "run", F.lit(run))
+    t = _keyed(spark, best(lines, 1), "l_partkey").upsert(best(lines.where("l_returnflag = 'R'"), 2))
+    return _result(t.rows(), t)
+
+
+def keyed_table_join(spark: SparkSession, sf: str) -> DataFrame:
+    """S16 + S17: line totals per part and the parts themselves as two keyed tables, joined as they lie."""
+    totals = (table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("partkey")).agg(F.count(F.lit(1)).alias("lines"))
+              .select("partkey", "lines"))
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("partkey"), "p_name", "p_retailprice")
+    a, b = _keyed(spark, totals, "partkey"), _keyed(spark, readers.wide_rows(parts, ["partkey"], {"info": ["p_name"], "p": ["p_retailprice"]}), "partkey")
+    return _result(a.join(b).select("partkey", "lines", "info.p_name", "p.p_retailprice"), a, b)
+
+
 DOCS_PER_FILE = 100
 
 
@@ -110,6 +144,8 @@ LOAD_QUERIES = {
     "key_value_total": key_value_total,
     "table_load": table_load,
     "wide_import": wide_import,
+    "aggregate_table_upsert": aggregate_table_upsert,
+    "keyed_table_join": keyed_table_join,
     "packed_tfidf": packed_tfidf,
 }
 
@@ -122,4 +158,14 @@ LOAD_ORACLE_SQL = {
     "table_load": "SELECT c_custkey, c_name, c_nationkey FROM customer",
     "wide_import": ("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, o_totalprice AS close, "
                     "CAST(o_custkey AS DOUBLE) AS vol FROM orders"),
+    "aggregate_table_upsert": """
+      WITH b AS (
+        SELECT l_partkey, l_returnflag = 'R' AS returned, l_extendedprice, l_shipdate FROM lineitem),
+      a AS (
+        SELECT l_partkey, max(l_extendedprice) AS p, max(l_extendedprice) FILTER (WHERE returned) AS r FROM b GROUP BY l_partkey)
+      SELECT a.l_partkey, any_value(coalesce(r, p)) AS max_price, min(l_shipdate) AS max_date, CAST(any_value(CASE WHEN r IS NULL THEN 1 ELSE 2 END) AS INTEGER) AS run
+      FROM a JOIN b ON a.l_partkey = b.l_partkey AND l_extendedprice = coalesce(r, p) AND (r IS NULL OR returned) GROUP BY a.l_partkey""",
+    "keyed_table_join": """
+      SELECT p_partkey AS partkey, count(*) AS lines, p_name, p_retailprice FROM part JOIN lineitem ON l_partkey = p_partkey
+      GROUP BY p_partkey, p_name, p_retailprice""",
 }
