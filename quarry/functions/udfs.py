@@ -4,48 +4,45 @@
 * U2 group -> value with a constructor argument: a Python function of the
   argument returning a DataFrame op (``quarry.operators.series.highest_window_by_group``).
 * U3 algebraic aggregates: Spark's own partial aggregation (every ``groupBy`` here).
-* U4 external-process function: the reference piped sentences to a Python
-  script that split on ``" "``; here the same Python runs inside Arrow
-  batches (``mapInPandas``), no process protocol.  ``split_keep_all`` is the
-  built-in equivalent and is preferred.
-* U5 named user functions: ``register_functions`` makes quarry's helpers
-  callable from SQL.
+* U4 external-process function: ``pipe_lines`` runs a command beside every task
+  (``SELECT TRANSFORM``), rows in and out as lines.  Where a built-in does the
+  same (``split_keep_all``) it is preferred.
+* U5 named user functions: ``register_functions`` declares quarry's helpers as
+  SQL functions, so they are expressions and need no Python worker.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quarry.functions.stemmer import stem
+from quarry.functions.stemmer import function_sql
 
+#: A command that puts every word of a line on a line of its own, empty ones included.
+SPLIT_COMMAND = 'tr " " "\\n"'
 
-def python_split(df: DataFrame, col: str = "sentence", sep: str = " ") -> DataFrame:
-    """U4: ``word`` rows from Python's ``str.split(sep)`` run on Arrow batches."""
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            words = pdf[col].fillna("").str.split(sep, regex=False).explode()
-            yield pd.DataFrame({"word": words.astype(str).to_numpy()})
 
-    return df.select(col).mapInPandas(split, T.StructType([T.StructField("word", T.StringType())]))
+def pipe_lines(df: DataFrame, col: str, command: str = SPLIT_COMMAND, out: str = "word") -> DataFrame:
+    """U4: what ``command`` (run by a shell on the executors, once a task)
+    writes for the lines of ``col``, one row a line.  Null counts as an empty
+    line; values must not hold line breaks."""
+    spark, view = df.sparkSession, f"quarry_pipe_{uuid.uuid4().hex}"
+    df.select(F.coalesce(F.col(col), F.lit("")).alias("line")).createOrReplaceTempView(view)
+    quoted = command.replace("\\", "\\\\").replace("'", "\\'")
+    row = "ROW FORMAT DELIMITED FIELDS TERMINATED BY '\\u0001' LINES TERMINATED BY '\\n' NULL DEFINED AS '\\u0002'"
+    try:
+        return spark.sql(f"SELECT TRANSFORM(line) {row} USING '{quoted}' AS (`{out}` STRING) {row} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
-@F.pandas_udf(T.StringType())
-def _stem_udf(words: pd.Series) -> pd.Series:
-    return words.map(stem)
-
-
-@F.pandas_udf(T.StringType())
-def _java_trim_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else x.strip("".join(chr(c) for c in range(33))))
+_TRIMMED = "".join(f"{c:02x}" for c in range(33))
 
 
 def register_functions(spark: SparkSession) -> list[str]:
-    """Register SQL-callable functions; returns their names."""
-    spark.udf.register("quarry_stem", _stem_udf)
-    spark.udf.register("quarry_java_trim", _java_trim_udf)
+    """Declare SQL-callable functions; returns their names."""
+    spark.sql(function_sql("quarry_stem"))
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION quarry_java_trim(s STRING) RETURNS STRING RETURN btrim(s, decode(X'{_TRIMMED}', 'UTF-8'))")
     return ["quarry_stem", "quarry_java_trim"]

@@ -2,21 +2,19 @@
 Porter stem), re-aimed as one Spark job.
 
 Tokenising, possessive removal, lower-casing and the stop filter are
-built-in expressions.  Words are counted first (partial aggregation), so the
-Python stemmer runs once per distinct word through a ``pandas_udf``, and the
-counts are summed again per stem.  Parity with the analysis library the
+built-in expressions, and so is the stemmer (``quarry.functions.stemmer``).
+Words are counted first (partial aggregation), so each is stemmed once, and
+the counts are summed again per stem.  Parity with the analysis library the
 reference calls is not promised (its tokenizer follows full Unicode word
 break rules; this one uses letter/digit runs joined by apostrophes).
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quarry.functions.stemmer import stem
+from quarry.functions.stemmer import stemmed
 
 # The English stop set of the analysis library.
 ENGLISH_STOPWORDS = [
@@ -28,11 +26,6 @@ ENGLISH_STOPWORDS = [
 WORD = "[\\p{L}\\p{M}\\p{N}_]+(?:['’][\\p{L}\\p{M}\\p{N}_]+)*"
 
 
-@F.pandas_udf(T.StringType())
-def porter_stem(words: pd.Series) -> pd.Series:
-    return words.map(stem)
-
-
 def english_terms(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Analysed terms before stemming, one row per token."""
     # a word never holds a line break, so the whole text is matched at once
@@ -46,5 +39,4 @@ def english_terms(df: DataFrame, text_col: str = "text") -> DataFrame:
 def english_word_count(df: DataFrame, text_col: str = "text") -> DataFrame:
     """(stem, count) over every line of ``text_col``."""
     counts = english_terms(df, text_col).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    stemmed = counts.select(porter_stem("word").alias("word"), "n")
-    return stemmed.groupBy("word").agg(F.sum("n").alias("count"))
+    return stemmed(counts, "word", "word").groupBy("word").agg(F.sum("n").alias("count"))

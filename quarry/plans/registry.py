@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.columns import composite_key, contains, format_decimals, reformat_date
 from quarry.functions.tokenize import head_and_rest
-from quarry.functions.udfs import python_split
+from quarry.functions.udfs import pipe_lines, register_functions
 from quarry.operators import aggregate, bloom, joins, ordering, series, text
 from quarry.operators.tfidf import STOPWORDS, tfidf
 from quarry.plans.tables import table
@@ -175,10 +175,10 @@ def inverted_index(spark, sf):
 
 
 def english_word_count(spark, sf):
-    """F8: analysed (stemmed) word counts of the English documents."""
+    """F8: analysed (stemmed) word counts of all documents."""
     from quarry.operators.english import english_word_count as ewc
 
-    return ewc(table(spark, sf, "documents").where(F.col("lang") == F.lit("en")), "text")
+    return ewc(table(spark, sf, "documents"), "text")
 
 
 def english_terms_count(spark, sf):
@@ -186,8 +186,7 @@ def english_terms_count(spark, sf):
     words, count (the analysed terms that the stemmer then folds)."""
     from quarry.operators.english import english_terms
 
-    docs = table(spark, sf, "documents").where(F.col("lang") == F.lit("en"))
-    return english_terms(docs, "text").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return english_terms(table(spark, sf, "documents"), "text").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def tfidf_scores(spark, sf):
@@ -209,10 +208,21 @@ def tfidf_text(spark, sf):
 
 
 def python_split_count(spark, sf):
-    """U4 + F6: words from Python's ``str.split(' ')`` on Arrow batches of
-    lines (every empty piece kept), counted."""
+    """U4: words that an external process splits at single spaces (every empty piece kept), counted."""
     lines = text.explode_lines(table(spark, sf, "documents"), "text", line_col="sentence")
-    return python_split(lines, "sentence").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return pipe_lines(lines, "sentence").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+
+def keep_all_split_count(spark, sf):
+    """the same split as a built-in."""
+    return text.word_count(table(spark, sf, "documents"), "text", "keep_all")
+
+
+def stem_function_count(spark, sf):
+    """The registered stemmer called from SQL on the words of all documents, counted by stem."""
+    register_functions(spark)
+    english_terms_count(spark, sf).createOrReplaceTempView("quarry_english_terms")
+    return spark.sql("SELECT quarry_stem(word) AS word, sum(count) AS count FROM quarry_english_terms GROUP BY 1")
 
 
 def mean_by_segment(spark, sf):
@@ -278,6 +288,8 @@ QUERIES = {
     "report_lines": report_lines,
     "tfidf_text": tfidf_text,
     "python_split_count": python_split_count,
+    "keep_all_split_count": keep_all_split_count,
+    "stem_function_count": stem_function_count,
     "mean_by_segment": mean_by_segment,
     "semi_join_unmatched": semi_join_unmatched,
     "inverted_index_lines": inverted_index_lines,
@@ -384,6 +396,7 @@ ORACLE_SQL = {
     "tfidf": _TFIDF_SQL.format(score="round(_raw, 8) AS tfidf", cols="n, total_terms, doc_freq, "),
     "tfidf_text": _TFIDF_SQL.format(score="rtrim(rtrim(printf('%.8f', _raw), '0'), '.') AS tfidf_text", cols=""),
     "python_split_count": (f"SELECT word, count(*) AS count FROM ({_WORDS_SPACE}) GROUP BY word"),
+    "keep_all_split_count": (f"SELECT word, count(*) AS count FROM ({_WORDS_SPACE}) GROUP BY word"),
     "mean_by_segment": ("SELECT trim(c_mktsegment) AS c_mktsegment, round(avg(c_acctbal), 6) AS avg_acctbal "
                         "FROM customer GROUP BY 1"),
     "semi_join_unmatched": (f"SELECT count(*) AS unmatched FROM orders WHERE o_orderpriority = '{SEMI_PRIORITY}' "
@@ -403,7 +416,7 @@ ORACLE_SQL["series_secondary_sort"] = ORACLE_SQL["series_sorted"]
 ORACLE_SQL["english_terms_count"] = f"""
   SELECT word, count(*) AS count FROM (
     SELECT lower(regexp_replace(raw, '[''’][sS]$', '')) AS word
-    FROM (SELECT unnest(regexp_extract_all(text, '{_EN_WORD}')) AS raw FROM documents WHERE lang = 'en'))
+    FROM (SELECT unnest(regexp_extract_all(text, '{_EN_WORD}')) AS raw FROM documents))
   WHERE word <> '' AND word NOT IN ({_EN_STOP})
   GROUP BY word"""
 ORACLE_SQL["report_lines"] = (f"SELECT printf('%-35s%d', name, count) AS line "

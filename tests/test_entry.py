@@ -4,9 +4,12 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
-from quarry.functions.stemmer import stem
+from quarry.functions.stemmer import stemmed
 from quarry.operators.english import english_word_count
+from tests.porter import stem
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -58,25 +61,45 @@ def test_english_word_count(spark):
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables absent")
 def test_english_word_count_against_python(spark):
     """The query without a SQL oracle, against a plain-Python run of the same
-    rules on the whole sf0.001 English documents."""
+    rules on the whole sf0.001 documents."""
     import collections
 
     import pyarrow.parquet as pq
     regex = pytest.importorskip("regex")
     from quarry.operators.english import ENGLISH_STOPWORDS, WORD
 
-    docs = pq.read_table(f"{SMOKE}/documents.parquet", columns=["text", "lang"]).to_pylist()
+    docs = pq.read_table(f"{SMOKE}/documents.parquet", columns=["text"]).to_pylist()
     word_re = regex.compile(WORD)
     expected = collections.Counter()
     for d in docs:
-        if d["lang"] != "en":
-            continue
         for raw in word_re.findall(d["text"] or ""):
             w = regex.sub("['’][sS]$", "", raw).lower()
             if w and w not in ENGLISH_STOPWORDS:
                 expected[stem(w)] += 1
     got = {r["word"]: r["count"] for r in E.queries()["english_word_count"](spark, SMOKE).collect()}
     assert got == dict(expected)
+    by_function = {r["word"]: r["count"] for r in E.queries()["stem_function_count"](spark, SMOKE).collect()}
+    assert by_function == dict(expected)
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables absent")
+def test_stemmer_expressions_against_python(spark):
+    """Every distinct word of the largest table here, and made-up words of many y and suffixes."""
+    import random
+
+    from quarry.operators.english import english_terms
+
+    sf = "/root/testdata/sf0.1" if os.path.isdir("/root/testdata/sf0.1") else SMOKE
+    words = english_terms(spark.read.parquet(f"{sf}/documents.parquet")).distinct()
+    rnd = random.Random(1)
+    ends = ["", "s", "ed", "ing", "ational", "ness", "ion", "e", "ll", "y", "eed", "ful", "iviti", "sses", "ement", "logi"]
+    made = {"".join(rnd.choice("aeiouybcdlstzx") for _ in range(rnd.randint(0, 9))) + rnd.choice(ends) for _ in range(5000)}
+    made |= {"y" * k for k in range(1, 15)} | {"c" + "y" * k for k in range(1, 15)} | {"naïveness", "東京", "🙂ing"}
+    df = words.union(spark.createDataFrame([(w,) for w in made], "word string")).withColumn("s", F.lit("kept"))
+    got = stemmed(df, "word", "stem").collect()
+    assert len(got) > 50_000 or sf == SMOKE
+    assert [(r["word"], r["stem"]) for r in got if r["stem"] != stem(r["word"])] == [] and all(r["s"] == "kept" for r in got)
+    assert stemmed(spark.createDataFrame([(None,)], "word string"), "word", "word").first()[0] is None
 
 
 @pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables absent")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from quarry.functions import udfs
 from quarry.plans import jobs
 from quarry.sources import readers
-from tests.conftest import rows
+from tests.conftest import executed_plan, rows
 from tests.test_stocks import DIVIDENDS, STOCKS
 
 
@@ -43,11 +43,14 @@ def test_tfidf_job(spark):
     assert got == {("cat", "d1"), ("dog", "d1"), ("dog", "d2")}
 
 
-def test_python_split_and_registered(spark):
-    df = spark.createDataFrame([(" a  b ",)], "sentence string")
-    assert sorted(r[0] for r in udfs.python_split(df).collect()) == ["", "", "", "a", "b"]
+def test_external_process_and_registered(spark):
+    df = spark.createDataFrame([(" a  b ",), (None,), ("x\ty\\N",)], "sentence string")
+    assert sorted(r[0] for r in udfs.pipe_lines(df, "sentence").collect()) == ["", "", "", "", "a", "b", "x\ty\\N"]
+    assert "Python" not in executed_plan(udfs.pipe_lines(df, "sentence"))
     names = udfs.register_functions(spark)
-    assert spark.sql("SELECT quarry_stem('running') AS s, quarry_java_trim('\\t x ') AS t").first()[:] == (
+    assert spark.sql("SELECT quarry_stem('running') AS s, quarry_java_trim('\t x ') AS t").first()[:] == (
         "run", "x")
     assert set(names) == {"quarry_stem", "quarry_java_trim"}
+    words = spark.createDataFrame([("ponies",)], "w string").selectExpr("quarry_stem(w)")
+    assert words.first()[0] == "poni" and "Python" not in executed_plan(words)
     assert F is not None
