@@ -27,6 +27,8 @@ from quarry.llm.common import Scratch, table
 CAPACITY = 4096
 END = 1
 PARTITION_PIECES = 10_000
+REMEMBERED = 100_000      # words whose ids a worker keeps
+ROWS_TOKENS = 1_000_000   # tokens of the rows that a worker hands over at once
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -36,7 +38,7 @@ class TextEncoder:
     The tokenizer drops white space and splits at it before anything else, so a text's ids are its words' ids one
     after another.  Plain words go to the tokenizer's model directly; all others through the tokenizer itself."""
 
-    def __init__(self, path: str, remember: int = 1_000_000):
+    def __init__(self, path: str, remember: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -104,17 +106,26 @@ def pieces_of(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
         from quarry.llm.packing import encoder_of  # the worker's own module: what it remembers outlives the task
 
         encoder = encoder_of(path or tokenizer_path())
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
+
+        def frame(rows):
+            out = pd.DataFrame(rows, columns=names)
+            return out.assign(doc_id=pd.array(out["doc_id"], dtype="Int64"))
+
         for pdf in batches:
-            out = []
+            out, held = [], 0
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 ids = encoder.encode(text or "") + END.to_bytes(4, "little")
                 for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     row = (doc_id, i, at // 4, len(part) // 4, zlib.crc32(part))
                     out.append((*row, np.frombuffer(part, "<u4").astype(np.int32)) if with_ids else row)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-            frame = pd.DataFrame(out, columns=names)
-            yield frame.assign(doc_id=pd.array(frame["doc_id"], dtype="Int64"))
+                held += len(ids) // 4
+                if held >= ROWS_TOKENS:
+                    yield frame(out)
+                    out, held = [], 0
+            if out:
+                yield frame(out)
 
     return (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
             .mapInPandas(run, PIECES + (", ids array<int>" if with_ids else "")))
