@@ -230,16 +230,17 @@ def pack(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY, partitio
     return out
 
 
-def packed_documents(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFrame:
-    """Pieces of all documents with their token ids, sequence and place."""
-    pieces = scratch.put(pieces_of(docs, path, with_ids=True).withColumn("pid", F.monotonically_increasing_id()), "pieces", keep=True)
+def packed_documents(docs: DataFrame, scratch: Scratch, path: str | None = None, with_ids: bool = True) -> DataFrame:
+    """Pieces of all documents with their token ids (if wanted, else their CRC alone), sequence and place."""
+    pieces = scratch.put(pieces_of(docs, path, with_ids=with_ids).withColumn("pid", F.monotonically_increasing_id()), "pieces", keep=True)
     return pieces.join(pack(pieces.select("pid", "length"), scratch), "pid").drop("pid")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset."""
+    """Every piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.  The ids themselves are in what
+    ``packed_documents`` and the pipeline's stage return."""
     with Scratch(spark, "packing") as scratch:
-        return packed_documents(table(spark, sf_dir, "documents"), scratch)
+        return packed_documents(table(spark, sf_dir, "documents"), scratch, with_ids=False)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
