@@ -27,7 +27,7 @@ from quarry.llm.common import Scratch, table
 CAPACITY = 4096
 END = 1
 PARTITION_PIECES = 10_000
-REMEMBERED = 100_000      # words whose ids a worker keeps
+REMEMBERED = 400_000      # words whose ids a worker keeps
 ROWS_TOKENS = 1_000_000   # tokens of the rows that a worker hands over at once
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
