@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 from quarry.llm import annsearch, rpforest
 from quarry.llm.common import Scratch
@@ -62,3 +63,57 @@ def test_prefix_forest_recall_and_ties(spark, vectors):
     assert hit / all_ >= 0.9
     with Scratch(spark, "t") as s:
         assert annsearch.search(usable.where("vec_id = -1"), usable.where("vec_id = -1"), s, trees=4).count() == 0
+
+
+def exact(ids: np.ndarray, v: np.ndarray, query: int, k: int = 5) -> list[int]:
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    at = int(np.flatnonzero(ids == query)[0])
+    near = u @ u[at]
+    near[at] = -2
+    return list(ids[np.lexsort((ids, -np.round(near, 12)))[:k]])
+
+
+def recall(got, ids: np.ndarray, v: np.ndarray, queries: np.ndarray) -> float:
+    assert set(got["query_id"]) == set(queries) and (got.groupby("query_id").size() == 5).all()
+    own = got.groupby("query_id")["vec_id"].agg(set)
+    return sum(len(own[q] & set(exact(ids, v, q))) for q in queries) / (5 * len(queries))
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_query_recall_on_whole_tables(spark, sf):
+    path = f"/root/testdata/{sf}"
+    rows = spark.read.parquet(f"{path}/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    ids, v = rows["vec_id"].to_numpy(), np.stack(rows["embedding"]).astype(float)
+    got = annsearch.op4_ann_search(spark, path).toPandas()
+    assert recall(got, ids, v, ids[ids % 50 == 0]) >= 0.9
+
+
+def test_clustered_vectors_stop_early_with_recall(spark):
+    """Clusters of 40 vectors far apart: found at long prefixes, far from all of the table."""
+    rng = np.random.default_rng(5)
+    v = (np.repeat(rng.standard_normal((100, 32)), 40, axis=0) + rng.standard_normal((4000, 32)) * 0.1).astype(np.float32)
+    ids = np.arange(4000)
+    df = annsearch.usable(spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<float>"))
+    with Scratch(spark, "t") as s:
+        got = annsearch.search(df, df.where("vec_id % 50 = 0"), s, first=256).toPandas()
+        last = [n for n in s.names if n.startswith("after-")][-1]
+        stopped = spark.read.parquet(f"{s.root}/{last}").agg({"level": "min"}).first()[0]
+    assert stopped >= 4
+    assert recall(got, ids, v.astype(float), ids[ids % 50 == 0]) >= 0.9
+
+
+def test_ties_of_the_fifth_place_go_to_the_smaller_id(spark):
+    """300 equal vectors over many blocks: each query gets the five smallest other ids."""
+    rows = [Row(vec_id=i, embedding=[1.0, 2.0, -1.0]) for i in range(300)] + [Row(vec_id=900, embedding=[-1.0, 0.5, 3.0])]
+    df = annsearch.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    with Scratch(spark, "t") as s:
+        got = annsearch.search(df, df.where("vec_id in (0, 3, 250)"), s, trees=8, block=32).toPandas()
+    found = got.sort_values("rank").groupby("query_id")["vec_id"].agg(list)
+    assert found[0] == [1, 2, 3, 4, 5] and found[3] == [0, 1, 2, 4, 5] and found[250] == [0, 1, 2, 3, 4]
+
+
+def test_level_needed_falls_with_the_angle(spark):
+    row = spark.range(1).select(*[annsearch.level_needed(x, 20, 40, 0.92).alias(n) for n, x in {
+        "same": annsearch.F.lit(1.0), "near": annsearch.F.lit(0.9), "far": annsearch.F.lit(0.35), "away": annsearch.F.lit(-1.0),
+        "none": annsearch.F.lit(None).cast("double")}.items()]).first()
+    assert row["same"] == 20 and 20 >= row["near"] > row["far"] == 5 and row["away"] == 0 and row["none"] == 0
