@@ -226,6 +226,29 @@ def test_mixing_reaches_targets(spark, docs, empty):
     assert len(rows[0]) == len(docs.columns) and mixing.replicate(empty).count() == 0
 
 
+def test_mixing_at_any_rate(spark):
+    """A one-character document beside a million characters: half a million copies, numbered without a gap."""
+    df = spark.createDataFrame([(1, "a" * 1_000_000, "big"), (2, "b", "rare")], "doc_id long, text string, source string")
+    tables = mixing.poisson_tables(mixing.source_rates(df, targets={"big": 1.0, "rare": 1.0})).collect()
+    assert all(len(r["cdf"]) < 900 and abs(r["cdf"][-1] - 1) < 1e-9 for r in tables)
+    out = mixing.replicate(df, targets={"big": 1.0, "rare": 1.0}).where("row.doc_id = 2").agg(
+        F.count("*"), F.max("copies"), F.count_distinct("copy"), F.min("copy"), F.max("copy")).first()
+    assert abs(out[0] - 500_000) < 5 * 708 and out[0] == out[1] == out[2] and out[3] == 0 and out[4] == out[0] - 1
+
+
+def test_mixing_query_equals_sql_with_a_rare_source(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, "a" * 10_000_000, "big"), (2, "b", "rare"), (None, "c", "rare"), (2, "b", "rare"), (3, None, None), (4, "", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = mixing.op7_mixing(spark, str(tmp_path))
+    assert got.agg(F.max("rate")).first()[0] > 2 * mixing.PART_RATE
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = db.execute(f"SELECT doc_id, source, copy, copies, rate, place FROM ({mixing.OP7_SQL})").fetchall()
+    assert Counter(map(tuple, got.select("doc_id", "source", "copy", "copies", "rate", "place").collect())) == Counter(want)
+
+
 def test_packing_is_gapless_and_certified(spark, docs, empty):
     with Scratch(spark, "t") as s:
         out = packing.packed_documents(docs, s).toPandas()
