@@ -29,6 +29,7 @@ from quarry.llm.graph import components
 
 COSINE = 0.9
 TREES, SPILL, LEAF, SAMPLE, TILE = 12, 0.05, 512, 16_384, 1024
+CHUNK = 16_384  # vectors of a node led down its cuts by one task
 SEED = 11
 
 
@@ -74,8 +75,6 @@ def _unit(values) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1))[:, None]
 
 
-
-
 def links_in(v1, v2, same: bool):
     """Index pairs of links between two tiles (each pair once if they are the same)."""
     s = v1 @ v2.T
@@ -106,8 +105,8 @@ def spanning(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int,
     return [(int(n), int(ids[r])) for n, r in zip(ids, root, strict=True) if n != ids[r]]
 
 
-def _fits(nodes: DataFrame, sizes: DataFrame, sample: int, leaf: int, spill: float) -> DataFrame:
-    """``(tree, node, cuts)`` for oversize nodes, each fitted on about ``sample`` of its vectors."""
+def _fits(nodes: DataFrame, vectors: DataFrame, sizes: DataFrame, sample: int, leaf: int, spill: float) -> DataFrame:
+    """``(tree, node, n, at, low, high)``: the cuts of oversize nodes, each fitted on about ``sample`` of its vectors."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         tree, node, n = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0]), int(pdf["n"].iloc[0])
         v = _unit(pdf.sort_values("rid")["v"])
@@ -118,60 +117,73 @@ def _fits(nodes: DataFrame, sizes: DataFrame, sample: int, leaf: int, spill: flo
             depth = max(1, int(np.ceil(np.log(n / leaf) / -np.log(0.5 + spill))))
             cuts = fit_tree(v, tree, node, min(depth, 12), spill)
         keys = sorted(cuts)
-        return pd.DataFrame({"tree": [tree], "node": [node], "at": [keys], "low": [[cuts[k][0] for k in keys]],
+        return pd.DataFrame({"tree": [tree], "node": [node], "n": [n], "at": [keys], "low": [[cuts[k][0] for k in keys]],
                              "high": [[cuts[k][1] for k in keys]]})
 
     few = (nodes.join(sizes, ["tree", "node"])
-           .where(F.pmod(F.xxhash64("rid", "node"), F.lit(1 << 30)) < F.lit(sample) / F.col("n") * (1 << 30)))
+           .where(F.pmod(F.xxhash64("rid", "node"), F.lit(1 << 30)) < F.lit(sample) / F.col("n") * (1 << 30))
+           .join(vectors, "rid"))
     return few.groupBy("tree", "node").applyInPandas(
-        run, "tree int, node long, at array<long>, low array<double>, high array<double>")
-
-
-def _led(nodes: DataFrame, fits: DataFrame) -> DataFrame:
-    """Every (rid, tree, node) with a fit moved on to the leaves below it."""
-    def run(batches):
-        for pdf in batches:
-            for (tree, node), own in pdf.groupby(["tree", "node"], sort=False):
-                first = own.iloc[0]
-                cuts = {int(k): (a, b) for k, a, b in zip(first["at"], first["low"], first["high"], strict=True)}
-                rid, v = own["rid"].to_numpy(), _unit(own["v"])
-                for rows, leaf in lead_down(v, int(tree), int(node), cuts):
-                    yield pd.DataFrame({"rid": rid[rows], "tree": int(tree), "node": leaf})
-
-    return nodes.join(fits, ["tree", "node"]).select("rid", "v", "tree", "node", "at", "low", "high").mapInPandas(
-        run, "rid long, tree int, node long")
+        run, "tree int, node long, n long, at array<long>, low array<double>, high array<double>")
+
+
+def _led(nodes: DataFrame, vectors: DataFrame, fits: DataFrame) -> DataFrame:
+    """Every (rid, tree, node) with a fit moved on to the leaves below it.  A node's vectors go in chunks of about
+    ``CHUNK``, and its cuts go once to each chunk."""
+    def run(own: pd.DataFrame, fit: pd.DataFrame) -> pd.DataFrame:
+        if not len(own):
+            return pd.DataFrame({"rid": [], "tree": [], "node": []}, dtype="int64")
+        first = fit.iloc[0]
+        cuts = {int(k): (a, b) for k, a, b in zip(first["at"], first["low"], first["high"], strict=True)}
+        rid, v = own["rid"].to_numpy(), _unit(own["v"])
+        found = [(rid[rows], np.full(len(rows), leaf, np.int64))
+                 for rows, leaf in lead_down(v, int(first["tree"]), int(first["node"]), cuts)]
+        rids = np.concatenate([r for r, _ in found])
+        return pd.DataFrame({"rid": rids, "tree": np.full(len(rids), int(first["tree"])),
+                             "node": np.concatenate([n for _, n in found])})
+
+    chunks = F.ceil(F.col("n") / CHUNK)
+    ways = fits.select("tree", "node", chunks.alias("chunks"))
+    key = ["tree", "node", "chunk"]
+    rows = (nodes.join(ways, ["tree", "node"]).withColumn("chunk", F.pmod(F.xxhash64("rid", "tree"), F.col("chunks")))
+            .select("rid", *key).join(vectors, "rid"))
+    cuts = fits.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    return rows.groupBy(*key).cogroup(cuts.groupBy(*key)).applyInPandas(run, "rid long, tree int, node long")
 
 
 def leaves(vectors: DataFrame, scratch: Scratch, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE,
            spill: float = SPILL, rounds: int = 12) -> DataFrame:
     """``(rid, tree, node)``: the leaves of every vector.  A tree number holds the dimension as well."""
-    keyed = vectors.select("rid", "v", F.size("v").alias("dim"))
-    now = keyed.select("rid", F.explode(F.sequence(F.col("dim") * trees, F.col("dim") * trees + trees - 1)).alias("tree"),
+    vectors = vectors.select("rid", "v")
+    now = vectors.withColumn("dim", F.size("v")).select("rid", F.explode(F.sequence(F.col("dim") * trees, F.col("dim") * trees + trees - 1)).alias("tree"),
                        F.lit(1).cast("long").alias("node"))
     done: list[DataFrame] = []
     for i in range(rounds):
         sizes = scratch.put(now.groupBy("tree", "node").agg(F.count("*").alias("n")).where(F.col("n") > leaf), f"sizes-{i}")
         if not sizes.head(1):
             break
-        fits = scratch.put(_fits(now.join(vectors.select("rid", "v"), "rid"), sizes, sample if i == 0 else 2048, leaf, spill),
-                           f"fits-{i}")
+        fits = scratch.put(_fits(now, vectors, sizes, sample if i == 0 else 2048, leaf, spill), f"fits-{i}")
         split = fits.where(F.size("at") > 0)
         # a node without cuts is a leaf for good
         done.append(now.join(split.select("tree", "node"), ["tree", "node"], "left_anti"))
         if not split.head(1):
             now = None
             break
-        now = scratch.put(_led(now.join(vectors.select("rid", "v"), "rid"), split), f"nodes-{i}")
+        now = scratch.put(_led(now, vectors, split), f"nodes-{i}")
     out = now
     for x in done:
         out = x if out is None else out.union(x)
-    return scratch.put(out, "leaves")
+    out = scratch.put(out, "leaves")
+    for name in [n for n in scratch.names if n.startswith(("sizes-", "fits-", "nodes-"))]:
+        scratch.drop(name)
+    return out
 
 
 def links(vectors: DataFrame, scratch: Scratch, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """From (rid, v, copies): ``(rid, n)``, the linked rows of other classes, and ``(a, b)``, spanning links."""
     where = leaves(vectors, scratch)
-    lists = where.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("tree", "node"))).alias("all"))  # few a vector
+    # a leaf's number is a hash: any order of the leaves tells which of them counts a pair
+    lists = where.groupBy("rid").agg(F.collect_list(F.xxhash64("tree", "node")).alias("all"))  # few a vector
     rows = scratch.put(vectors.join(lists, "rid"), "listed")
     sizes = where.groupBy("tree", "node").agg(F.count("*").alias("n")).where("n > 1")
     # a leaf of more than a tile is cut into tiles, and every pair of them is a group of its own
@@ -179,12 +191,12 @@ def links(vectors: DataFrame, scratch: Scratch, tile: int = TILE) -> tuple[DataF
     placed = (where.join(sizes, ["tree", "node"]).withColumn("tiles", tiles)
               .withColumn("mine", F.pmod(F.xxhash64("rid"), F.col("tiles"))))
     spread = placed.select("rid", "tree", "node", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other"))
-    spread = spread.select("rid", "tree", "node", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"))
+    spread = spread.select("rid", F.xxhash64("tree", "node").alias("here"), "mine", F.least("mine", "other").alias("x"),
+                           F.greatest("mine", "other").alias("y"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rid", ignore_index=True)
-        here = (int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0]))
-        x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
+        here, x, y = (pdf[c].iloc[0] for c in ("here", "x", "y"))
         one, two = np.flatnonzero(pdf["mine"] == x), np.flatnonzero(pdf["mine"] == y)
         counts, edges = np.zeros(len(pdf), np.int64), []
         if len(one) and len(two):
@@ -193,10 +205,8 @@ def links(vectors: DataFrame, scratch: Scratch, tile: int = TILE) -> tuple[DataF
             i, j = one[i], two[j]
             if len(i):
                 edges = spanning(rid, i, j)
-                at = [[(int(t["tree"]), int(t["node"])) for t in all_] for all_ in pdf["all"]]
-                before = [[k for k in keys if k < here] for keys in at]
-                sets = [frozenset(k) for k in before]
-                new = np.fromiter((not sets[p] or sets[p].isdisjoint(before[q]) for p, q in zip(i, j, strict=True)), bool, len(i))
+                before = {int(p): frozenset(k[k < here].tolist()) for p in np.unique([i, j]) for k in [pdf["all"].iloc[p]]}
+                new = np.fromiter((before[p].isdisjoint(before[q]) for p, q in zip(i.tolist(), j.tolist(), strict=True)), bool, len(i))
                 np.add.at(counts, i[new], copies[j[new]])
                 np.add.at(counts, j[new], copies[i[new]])
         own = np.flatnonzero(counts)
@@ -204,8 +214,10 @@ def links(vectors: DataFrame, scratch: Scratch, tile: int = TILE) -> tuple[DataF
                              "b": [*[-1] * len(own), *(e[1] for e in edges)],
                              "n": [*counts[own], *[0] * len(edges)]}, dtype="int64")
 
-    found = spread.join(rows, "rid").groupBy("tree", "node", "x", "y").applyInPandas(run, "a long, b long, n long")
+    found = spread.join(rows, "rid").groupBy("here", "x", "y").applyInPandas(run, "a long, b long, n long")
     found = scratch.put(found, "found")
+    scratch.drop("listed")
+    scratch.drop("leaves")
     return (found.where("b = -1").groupBy(F.col("a").alias("rid")).agg(F.sum("n").alias("n")),
             found.where("b >= 0").select("a", "b").distinct())
 

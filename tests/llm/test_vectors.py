@@ -40,6 +40,26 @@ def test_forest_links_and_components(spark, vectors):
         assert rpforest.near_duplicates(df.where("vec_id = -1"), s).count() == 0
 
 
+def test_forest_splits_chunks_and_dense_tiles(spark, monkeypatch):
+    """3,300 vectors: split leaves led down in several chunks, and a dense group of more than a tile."""
+    monkeypatch.setattr(rpforest, "CHUNK", 1000)
+    rng = np.random.default_rng(4)
+    pairs = np.repeat(rng.standard_normal((1000, 24)), 2, axis=0) + rng.standard_normal((2000, 24)) * 0.15
+    dense = rng.standard_normal(24) + rng.standard_normal((1300, 24)) * 0.1
+    v = np.concatenate([pairs, dense]).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+    with Scratch(spark, "t") as s:
+        got = rpforest.near_duplicates(df, s).toPandas().sort_values("vec_id", ignore_index=True)
+        assert not {n.split("-")[0] for n in s.names} & {"nodes", "fits", "sizes", "leaves", "listed"}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    want = link.sum(axis=1)
+    assert (got["n_links"] <= want).all() and got["n_links"].sum() >= 0.95 * want.sum()  # 0.962: a cut through a dense group loses some
+    assert (got["component_id"][2000:] == 2000).all() and (got["n_links"][:2000] == want[:2000]).mean() > 0.99
+    assert (got["kept"] == (got["vec_id"] == got["component_id"])).all()
+
+
 def test_prefix_forest_recall_and_ties(spark, vectors):
     rows, df = vectors
     usable = annsearch.usable(df)
