@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.common import Scratch, table
 from quarry.llm.graph import components
@@ -196,7 +197,7 @@ def links(vectors: DataFrame, scratch: Scratch, tile: int = TILE) -> tuple[DataF
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rid", ignore_index=True)
-        here, x, y = (pdf[c].iloc[0] for c in ("here", "x", "y"))
+        x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
         one, two = np.flatnonzero(pdf["mine"] == x), np.flatnonzero(pdf["mine"] == y)
         counts, edges = np.zeros(len(pdf), np.int64), []
         if len(one) and len(two):
@@ -205,7 +206,7 @@ def links(vectors: DataFrame, scratch: Scratch, tile: int = TILE) -> tuple[DataF
             i, j = one[i], two[j]
             if len(i):
                 edges = spanning(rid, i, j)
-                before = {int(p): frozenset(k[k < here].tolist()) for p in np.unique([i, j]) for k in [pdf["all"].iloc[p]]}
+                before = {int(p): frozenset(pdf["before"].iloc[p].tolist()) for p in np.unique([i, j])}
                 new = np.fromiter((before[p].isdisjoint(before[q]) for p, q in zip(i.tolist(), j.tolist(), strict=True)), bool, len(i))
                 np.add.at(counts, i[new], copies[j[new]])
                 np.add.at(counts, j[new], copies[i[new]])
@@ -214,7 +215,9 @@ def links(vectors: DataFrame, scratch: Scratch, tile: int = TILE) -> tuple[DataF
                              "b": [*[-1] * len(own), *(e[1] for e in edges)],
                              "n": [*counts[own], *[0] * len(edges)]}, dtype="int64")
 
-    found = spread.join(rows, "rid").groupBy("here", "x", "y").applyInPandas(run, "a long, b long, n long")
+    # only the leaves that come before this one can have counted a pair
+    sent = spread.join(rows, "rid").withColumn("before", F.filter("all", lambda k: k < F.col("here"))).drop("all")
+    found = sent.groupBy("here", "x", "y").applyInPandas(run, "a long, b long, n long")
     found = scratch.put(found, "found")
     scratch.drop("listed")
     scratch.drop("leaves")
@@ -224,7 +227,9 @@ def links(vectors: DataFrame, scratch: Scratch, tile: int = TILE) -> tuple[DataF
 
 def near_duplicates(vectors: DataFrame, scratch: Scratch, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row."""
-    v = F.transform(vectors[embedding], lambda x: x.cast("double"))
+    v = vectors[embedding]
+    if not isinstance(vectors.schema[embedding].dataType.elementType, T.FloatType):  # floats travel as they are, half as wide
+        v = F.transform(v, lambda x: x.cast("double"))
     rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), v.alias("v"))
     odd = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = F.coalesce((F.size("v") > 0) & ~odd & F.exists("v", lambda x: x != 0), F.lit(False))
