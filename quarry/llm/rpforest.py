@@ -173,7 +173,7 @@ def leaves(vectors: DataFrame, scratch: Scratch, trees: int = TREES, leaf: int =
         now = scratch.put(_led(now, vectors, split), f"nodes-{i}")
     out = now
     for x in done:
-        out = x if out is None else out.union(x)
+        out = x if out is None else out.unionByName(x)
     out = scratch.put(out, "leaves")
     for name in [n for n in scratch.names if n.startswith(("sizes-", "fits-", "nodes-"))]:
         scratch.drop(name)

@@ -60,6 +60,17 @@ def test_forest_splits_chunks_and_dense_tiles(spark, monkeypatch):
     assert (got["kept"] == (got["vec_id"] == got["component_id"])).all()
 
 
+def test_leaves_of_several_rounds_are_whole(spark):
+    """A sample too small for even cuts: some leaves are split on while others are done."""
+    v = np.random.default_rng(6).standard_normal((1500, 12))
+    df = spark.createDataFrame([(i + 100_000, [float(x) for x in r]) for i, r in enumerate(v)], "rid long, v array<double>")
+    with Scratch(spark, "t") as s:
+        got = rpforest.leaves(df, s, trees=3, leaf=100, sample=60).toPandas()
+    assert set(got["rid"]) == set(range(100_000, 101_500)) and set(got["tree"]) == {36, 37, 38}
+    assert not got.duplicated().any() and (got.groupby("rid")["tree"].nunique() == 3).all()
+    assert got.groupby(["tree", "node"]).size().max() <= 100
+
+
 def test_prefix_forest_recall_and_ties(spark, vectors):
     rows, df = vectors
     usable = annsearch.usable(df)
