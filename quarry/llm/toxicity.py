@@ -41,6 +41,7 @@ IDENTITY_TERMS = (
     ("old", "young"),
 )
 PREFIXES = (4, 5, 6)
+HELD_FEATURES = 200_000  # counts a task holds before it hands them on
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -126,13 +127,21 @@ def fit(train: DataFrame, scratch: Scratch, text: str = "text", label: str = "to
 
     def count(batches):
         clean, toxic = Counter(), Counter()
+
+        def emitted():
+            names = sorted(clean.keys() | toxic.keys())
+            for i in range(0, len(names), 50_000):
+                part = names[i:i + 50_000]
+                yield pd.DataFrame({"feature": part, "a": [toxic[f] for f in part], "b": [clean[f] for f in part]})
+            clean.clear()
+            toxic.clear()
+
         for pdf in batches:
             for x, y in zip(pdf["text"], pdf["y"], strict=True):
                 (toxic if y else clean).update(features(x))
-        names = sorted(clean.keys() | toxic.keys())
-        for i in range(0, len(names), 50_000):
-            part = names[i:i + 50_000]
-            yield pd.DataFrame({"feature": part, "a": [toxic[f] for f in part], "b": [clean[f] for f in part]})
+                if len(clean) + len(toxic) >= HELD_FEATURES:
+                    yield from emitted()
+        yield from emitted()
 
     counts = (train.mapInPandas(count, "feature string, a long, b long")
               .groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
