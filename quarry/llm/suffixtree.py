@@ -35,7 +35,7 @@ from quarry.llm.common import Scratch, mix64, remainder, table
 HOT, LEAST, DISCOUNT = 2e-6, 4, 0.5
 FILTER_BITS = 25  # of a filter, at most; a full one only lets more rows through
 STRIDE = 3  # lengths beyond four counted in one reading
-FLUSH_TOKENS, CHUNK_CHARS = 4_000_000, 2_000_000
+FLUSH_TOKENS, CHUNK_CHARS = 300_000, 2_000_000
 END = np.uint64(xxhash.xxh64_intdigest(b" "))  # no word holds a space
 GRAMS = "length int, key long, context long, suffix long, n long"
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -44,7 +44,7 @@ SCORES = "struct<n_tokens:bigint,n_known:bigint,base:double,more:double,rare:arr
 
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
