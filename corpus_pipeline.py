@@ -18,7 +18,7 @@ STAGES = [
     ("packing", packing.stage),
 ]
 
-#: A fitted classifier and a tokenizer are no SQL; tests hold each stage against a brute-force version.
+#: A fitted classifier and a tokenizer are no SQL.
 ORACLE_SQL = None
 
 
