@@ -44,6 +44,11 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         self.names.remove(name)
 
+    def drop_all(self, *starts: str) -> None:
+        """Delete the tables whose names start like one of these."""
+        for name in [n for n in self.names if n.startswith(starts)]:
+            self.drop(name)
+
     def __enter__(self) -> Scratch:
         return self
 

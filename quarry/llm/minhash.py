@@ -40,7 +40,8 @@ BANDS, ROWS = 24, 5
 M = BANDS * ROWS
 HUB_ROUNDS = 1
 SKETCH = ("k0", "k1", "k2", "k3")
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 2_000_000
+REMEMBERED = 100_000  # words whose hashes a worker keeps
 #: Shingles of the texts that a block of the verification holds, about.
 CELL_SHINGLES = 300_000
 _WORD = re.compile(r"\w+")
@@ -49,10 +50,10 @@ SIGNATURE = "struct<h1:bigint,h2:bigint,n:int,bands:array<bigint>,k0:bigint,k1:b
 
 
 class _WordHash(dict):
-    """64-bit hash of a word, remembered; emptied when it has grown to a million words."""
+    """64-bit hash of a word, remembered; emptied when it has grown to ``REMEMBERED`` words."""
 
     def __missing__(self, word):
-        if len(self) >= 1_000_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -321,28 +322,39 @@ def groups(docs: DataFrame, scratch: Scratch, text: str = "text", doc_id: str =
     stars = entries.groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a")).where("a < b").select("a", "b")
     links = _verified(scratch.put(stars, "stars"), entries, near, scratch, "star-links")
     roots = scratch.put(components(links, scratch, "star-components"), "star-roots")
-    entries = entries.drop("hub")
+    scratch.drop_all("stars", "star-links", "star-components")  # every table goes once nothing reads it any more
+    entries, held, held_roots = entries.drop("hub"), "shared", "star-roots"
     for i in range(HUB_ROUNDS):  # another hub each time; only classes of another component than the hub's are compared
         entries = scratch.put(_still_open(entries, roots, near), f"open-{i}")
+        scratch.drop(held)
+        held = f"open-{i}"
         hubs = entries.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.lit(i))).alias("node"))
         stars = scratch.put(_candidates(entries.join(hubs, ["bucket", "node"], "left_semi"), entries), f"stars-{i}")
         links = _verified(stars, entries, near, scratch, f"links-{i}")
         old = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
         roots = scratch.put(components(old.union(links), scratch, f"components-{i}"), f"roots-{i}")
+        scratch.drop_all(f"stars-{i}", f"links-{i}", f"components-{i}", held_roots)
+        held_roots = f"roots-{i}"
         entries = entries.select("node", "bucket")
     entries = scratch.put(_still_open(entries, roots, near), "open")
+    scratch.drop(held)
     crossing = _candidates(entries, entries)
-    more = _verified(scratch.put(crossing, "crossing"), entries, near, scratch, "crossing-links")
+    more = _verified(scratch.put(crossing, "crossing-pairs"), entries, near, scratch, "crossing-links")
+    scratch.drop_all("crossing-pairs", "open", "near")
     stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     roots = components(stars.union(more), scratch, "all-components")
+    scratch.drop_all("crossing-links", held_roots)
 
     nodes = (classes.join(roots, "node", "left").select("h1", "h2", "n", F.coalesce("root", "node").alias("root")))
     placed = scratch.put(rows.select("rid", "id", "h1", "h2", "n").join(nodes, ["h1", "h2", "n"])
-                         .select("rid", "id", "root"), "placed", keep=True)
+                         .select("rid", "id", "root"), "placed")
+    scratch.drop_all("all-components")
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("first"))
     placed = (placed.join(first, "root")
               .select("rid", F.col("first.id").alias("class_id"), (F.col("rid") == F.col("first.rid")).alias("kept")))
-    return rows.select("row", "rid").join(scratch.put(placed, "result", keep=True), "rid").select("row", "class_id", "kept")
+    result = scratch.put(placed, "result", keep=True)
+    scratch.drop("placed")
+    return rows.select("row", "rid").join(result, "rid").select("row", "class_id", "kept")
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,4 +367,6 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline: one document of each near-duplicate group stays."""
     with Scratch(spark, "minhash") as scratch:
-        return groups(docs, scratch).where("kept").select("row.*")
+        kept = scratch.put(groups(docs, scratch).where("kept").select("row.*"), "kept", keep=True)
+        scratch.drop_all("rows", "result")
+        return kept
