@@ -25,6 +25,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     with Scratch(spark, "pipeline") as scratch:
-        for name, stage in STAGES[:-1]:
-            docs = scratch.put(stage(spark, docs, sf_dir), name)
-        return scratch.put(STAGES[-1][1](spark, docs, sf_dir), STAGES[-1][0], keep=True)
+        for i, (name, stage) in enumerate(STAGES):
+            docs = scratch.put(stage(spark, docs, sf_dir), name, keep=stage is STAGES[-1][1])
+            if i:  # a stage's input goes once its output is written
+                scratch.drop(STAGES[i - 1][0])
+        return docs
