@@ -15,8 +15,9 @@ classes into buckets; 24 x 5 miss a pair of similarity 0.8 with a chance of 7e-5
 the smallest class that shares a bucket with it; links give components.  (4) In buckets that
 still hold several components, another round compares each class with another hub of its bucket.  (5) Buckets that hold
 several components even then give all pairs across them (those whose sizes and 240-bit sketches allow 0.8), which are
-verified as well.  Pairs inside one component are never made, so groups of thousands of copies stay cheap, and no
-link between components is lost.
+verified as well.  Pairs inside one component are never made, so groups of thousands of copies stay cheap.  A link
+between components can be lost where its pair shares no bucket or, one in 200,000 at a similarity of exactly 0.8, where its
+sketches differ in more than 36 of 120 fields.
 
 Defined cases: null and empty texts, and texts without a word, are classes of their own; repeated rows and repeated ids
 are documents of their own (equal texts form a class); a null id sorts last.
