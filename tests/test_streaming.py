@@ -109,3 +109,28 @@ def test_count_ranges_over_chunks_and_batches(spark, source, tmp_path):
     assert [c for w, c in got if w == "the"] == [1, 2, 3, 4]   # split over chunks of 2
     assert [c for w, c in got if w == "and"] == [1, 2]         # continues across batches
     assert len(got) == 6 + 10 + 6
+
+
+def test_count_ranges_run_no_python_call_per_word(spark, tmp_path):
+    src, ck, out = (str(tmp_path / x) for x in ("src", "ck", "out"))
+    expected = {}
+    for batch in range(3):
+        sentences = [" ".join(f"w{(i * j) % (40 + batch)}" for i in range(60)) for j in range(1, 9)]
+        for w in " ".join(sentences).split(" "):
+            expected[w] = expected.get(w, 0) + 1
+        spark.createDataFrame([(s,) for s in sentences], SCHEMA).repartition(4).write.mode("append").parquet(src)
+    q = wc.start_count_ranges(wc.split_sentences(wc.file_stream(spark, src, SCHEMA, "parquet", 4), "sentence", "java"), ck, out)
+    q.awaitTermination()
+    assert {o["operatorName"] for p in q.recentProgress for o in p["stateOperators"]} == {"stateStoreSave"}
+    got = sorted((r["word"], r["count"]) for r in spark.read.parquet(out).collect())
+    assert got == sorted((w, i + 1) for w, n in expected.items() for i in range(n))
+
+
+def test_partition_counts_are_added_to_one_row_a_word(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(wc, "COMBINE_ROWS", 3)
+    batches = [pa.RecordBatch.from_pydict({"word": [f"w{i % 7}", "hot"], "n": [1, 2]}) for i in range(20)]
+    got = [r for b in wc._one_row_a_word(iter(batches)) for r in b.to_pylist()]
+    assert len(got) == 8 and {r["word"]: r["n"] for r in got}["hot"] == 40 and sum(r["n"] for r in got) == 60
+    assert list(wc._one_row_a_word(iter([]))) == []
