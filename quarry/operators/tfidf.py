@@ -4,7 +4,8 @@ frequency, score ``(n / N) * log10(D / df)``.
 Totals and document frequencies are aggregates joined back (not windows
 partitioned by document or word), so a word present in a third of all
 documents is counted with partial aggregation and its join is split by
-AQE's skew handling instead of landing in one task.
+AQE's skew handling instead of landing in one task.  Both joins hash the
+side of one row a document or a word, so no postings are sorted.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ def term_counts(terms: DataFrame) -> DataFrame:
 def with_doc_totals(counts: DataFrame) -> DataFrame:
     """Attach N = kept terms of the document to each (word, doc)."""
     totals = counts.groupBy("doc").agg(F.sum("n").alias("total_terms"))
-    return counts.join(totals, "doc")
+    return counts.join(totals.hint("shuffle_hash"), "doc")
 
 
 def tfidf(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
@@ -61,7 +62,7 @@ def tfidf(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
     # plan as the others below the shuffle, so it is computed once
     dfreq = counts.groupBy("word").agg(F.count_if(F.col("n") > 0).cast("long").alias("doc_freq"))
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
-    scored = (with_doc_totals(counts).join(dfreq, "word")
+    scored = (with_doc_totals(counts).join(dfreq.hint("shuffle_hash"), "word")
               .withColumn("tfidf", (F.col("n").cast("double") / F.col("total_terms").cast("double"))
                           * F.log10(n_docs / F.col("doc_freq").cast("double"))))
     if places is not None:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import bloom, joins, tfidf
-from tests.conftest import rows
+from tests.conftest import executed_plan, rows
 
 
 def test_bloom_superset_then_exact(spark):
@@ -94,3 +94,12 @@ def test_bloom_false_positive_counter(spark):
     out.write.format("noop").mode("overwrite").save()
     assert out.observation.get["verified"] == 1000
     assert out.false_positives() >= 0
+
+
+def test_tfidf_joins_sort_no_postings(spark):
+    docs = spark.createDataFrame([(1, "dog cat dog"), (2, "dog"), (1, "cat owl"), (None, "dog"), (3, None)], "doc_id long, text string")
+    scored = tfidf.tfidf(docs)
+    plan = executed_plan(scored)
+    assert plan.count("ShuffledHashJoin") >= 2 and "SortMergeJoin" not in plan
+    assert rows(scored, "word", "doc_id", "n", "total_terms", "doc_freq") == [
+        ("cat", 1, 2, 5, 1), ("dog", 1, 2, 5, 2), ("dog", 2, 1, 1, 2), ("owl", 1, 1, 5, 1)]
