@@ -9,6 +9,11 @@ task, not one row per occurrence.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,6 +133,34 @@ def lines_ordered_by_key(matched: DataFrame, key: str = "sort_key", value: str =
     return ordered.select(value)
 
 
+def _term_lists(parts: list[pa.RecordBatch], block: int | None) -> pa.RecordBatch:
+    """``(block, term, r)`` of the rows (rank, terms) of one block: each term with its ranks, ascending."""
+    held = pa.concat_batches(parts)
+    terms, rank = held.column("terms"), held.column("rank")
+    coded = pc.list_flatten(terms).dictionary_encode(null_encoding="encode")
+    code, at = coded.indices.to_numpy(zero_copy_only=False), pc.list_parent_indices(terms)
+    has = rank.is_valid().take(at).to_numpy(zero_copy_only=False)
+    code, r = code[has], rank.fill_null(0).take(at).to_numpy(zero_copy_only=False)[has]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(coded.dictionary)))]).astype(np.int32)
+    found = pa.ListArray.from_arrays(pa.array(ends), pa.array(r[np.lexsort((r, code))], pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int64()), coded.dictionary, found], ["block", "term", "r"])
+
+
+def _block_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The term lists of rows sorted by block; one block is held at a time."""
+    held, now = [], None
+    for batch in batches:
+        runs, start = pc.run_end_encode(batch.column("block")), 0
+        for end, block in zip(runs.run_ends.to_pylist(), runs.values.to_pylist(), strict=True):
+            if held and block != now:
+                yield _term_lists(held, now)
+                held = []
+            held.append(batch.slice(start, end - start))
+            now, start = block, end
+    if held:
+        yield _term_lists(held, now)
+
+
 def posting_blocks(docs: DataFrame, rank_col: str, terms_col: str, block_size: int = 1024) -> DataFrame:
     """A7 as it is stored: ``(term, block, first, last, n, offsets)``, one row
     for a term and ``block_size`` consecutive ranks.
@@ -135,14 +168,13 @@ def posting_blocks(docs: DataFrame, rank_col: str, terms_col: str, block_size: i
     ``rank_col`` is a unique, non-negative integer for each row, ``terms_col`` its ``ARRAY<STRING>`` of distinct terms.  A block is
     ``rank div block_size``; its header tells which ranks it spans, and the
     postings are offsets from the first of them.  Whole rows are
-    shuffled by block, once; terms are exploded and collected where the block
-    lies, so no posting is shuffled on its own and a term found in every row
+    shuffled by block, once; terms are collected where the block
+    lies, a block at a time in Arrow, so no posting is shuffled on its own and a term found in every row
     has at most ``block_size`` postings in a block."""
     rank = F.col(rank_col).cast("long")
     rows = docs.select(F.floor(rank / F.lit(block_size)).cast("long").alias("block"), rank.alias("rank"),
-                       F.col(terms_col).alias("terms")).repartition("block")
-    lists = (rows.select("block", "rank", F.explode("terms").alias("term")).groupBy("block", "term")
-             .agg(F.array_sort(F.collect_list("rank")).alias("r")))
+                       F.col(terms_col).alias("terms")).repartition("block").sortWithinPartitions("block")
+    lists = rows.mapInArrow(_block_lists, "block long, term string, r array<long>")
     first = F.element_at("r", 1)
     return lists.select("term", "block", first.alias("first"), F.element_at("r", -1).alias("last"), F.size("r").cast("long").alias("n"),
                         F.transform("r", lambda x: (x - F.element_at("r", 1)).cast("int")).alias("offsets"))
@@ -204,14 +236,14 @@ def _pages(rows: DataFrame, ranks: DataFrame, page: int) -> DataFrame:
 
     block = 1024
     # the index as it is stored: the headers are read alone, the postings once
-    index = stage(posting_blocks(rows.join(ranks, "url"), "rank", "terms", block), "index", reliable=False)
+    index = stage(posting_blocks(rows.join(ranks.hint("shuffle_hash"), "url"), "rank", "terms", block), "index", reliable=False)
     # the urls of a block, in rank order: the same partitioning as the postings, so they meet without a shuffle
     names = (ranks.select(F.floor(F.col("rank") / block).cast("long").alias("block"), "rank", "url").repartition("block")
              .groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "url"))), lambda x: x["url"]).alias("names")))
-    named = decode_postings(index).join(names, "block").select(
+    named = decode_postings(index).join(names.hint("shuffle_hash"), "block").select(
         "term", "block", "n", F.transform("ranks", lambda r: F.element_at(F.col("names"), (r % block + 1).cast("int"))).alias("list"))
     placed = running_sums(index.select("term", "block", "n"), ["term"], ["block"], {"n": "upto"}, before={"n": "before"})
-    parts = named.drop("n").join(placed, ["term", "block"])
+    parts = named.drop("n").join(placed.hint("shuffle_hash"), ["term", "block"])
     cut = parts.select("term", "before", "upto", "list", F.explode(F.sequence(
         F.floor(F.col("before") / page).cast("long"), F.floor((F.col("upto") - 1) / page).cast("long"))).alias("page"))
     begin = F.greatest(F.col("page") * page, F.col("before"))

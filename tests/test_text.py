@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.operators import ordering, text
-from tests.conftest import rows
+from tests.conftest import executed_plan, rows
 
 
 def _docs(spark, lines):
@@ -80,3 +80,21 @@ def test_visitor_width_filter_and_top(spark):
     assert strict.count() == 1
     top = ordering.top_k(names, 1, "count", "name").collect()
     assert [tuple(r) for r in top] == [("Doe, Jo", 2)]
+
+
+def test_posting_blocks_are_built_a_block_at_a_time_in_arrow(spark):
+    data = [(i, None if i == 7 else [f"t{i % 3}", "all"] + ([None] if i == 4 else [])) for i in range(25)] + [(3, ["again", "all"])]
+    blocks = text.posting_blocks(spark.createDataFrame(data, "rank long, terms array<string>"), "rank", "terms", 10)
+    assert "MapInArrow" in executed_plan(blocks) and "collect_list" not in executed_plan(blocks)
+    expected = {}
+    for rank, terms in sorted(data, key=lambda r: r[0]):
+        for term in terms or []:
+            expected.setdefault((term, rank // 10), []).append(rank)
+    got = {(r["term"], r["block"]): (r["ranks"], r["n"]) for r in text.decode_postings(blocks).collect()}
+    assert got == {k: (v, len(v)) for k, v in expected.items()}
+
+
+def test_index_joins_sort_no_postings(spark):
+    docs = spark.createDataFrame([(f"u{i}", ["all", f"t{i % 3}"]) for i in range(30)], "url string, terms array<string>")
+    plan = executed_plan(text.inverted_index(docs, "url", "terms", block_size=4))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
