@@ -284,11 +284,12 @@ class ValueChange(Recipe):
         if s["high"] is None:
             return i
         states = [x for _, x in s["pieces"]]
-        floor, ceil = max(states) - self.eps, min(states) + self.eps
+        top, bottom = max(states), min(states)
         width = 64
         while i < len(v):
             x = v[i:i + width]
-            hit = (x < floor) | (x > ceil) | (x > s["high"]) | (x < s["low"])
+            # differences as in ``_add``: a bound ``bottom + eps`` may round onto ``x`` itself
+            hit = (top - x > self.eps) | (x - bottom > self.eps) | (x > s["high"]) | (x < s["low"])
             if hit.any():
                 return i + int(hit.argmax())
             i, width = i + width, width * 4

@@ -227,3 +227,9 @@ def test_running_sums_wrap_around(spark):
 def test_scan_of_an_empty_table(spark):
     df = spark.createDataFrame([], "k string, t long, v double")
     assert value_changes(df, ["k"], ["t"], "v").count() == row_index(df, ["k"], ["t"]).count() == 0
+
+
+def test_a_step_that_rounds_just_above_eps_is_an_event():
+    fold, values = ValueChange("v", 0.5), [1.1, 0.6, 1.1]  # 1.1 - 0.6 > 0.5, though 0.6 + 0.5 rounds to 1.1
+    summary = fold.extend(fold.blank(), {"v": np.array(values)}, 3)
+    assert fold.close(summary, {"last": -5.0, "prev": 0.0})["last"] == _fold(values, 0.5, -5.0)[1] == 1.1
