@@ -13,9 +13,12 @@ hit are made; documents with a component left are made again up to a later time,
 Groups.  (1) Documents with equal words form a class (hash of 128 bits).  (2) ``bands`` of ``rows`` components each put
 classes into buckets; 24 x 5 miss a pair of similarity 0.8 with a chance of 7e-5.  (3) Every class is verified against
 the smallest class that shares a bucket with it; links give components.  (4) In buckets that
-still hold several components, another round compares each class with another hub of its bucket.  (5) Buckets that hold
-several components even then give all pairs across them (those whose sizes and 240-bit sketches allow 0.8), which are
-verified as well.  Pairs inside one component are never made, so groups of thousands of copies stay cheap.  A link
+still hold several components, another round compares each class with another hub of its bucket.  (5) In buckets that hold
+several components even then, all pairs across them (those whose sizes and 240-bit sketches allow 0.8) are verified as well.
+Buckets of at most ``LARGE_BUCKET`` classes give these pairs as rows, so a class has a bounded number of them.  The classes of
+a larger bucket are dealt to blocks, a cell is two blocks of a bucket, and a cell's task compares its texts in memory and
+gives only the links that join two components: no row is made for a pair, a class is sent once to each block of its bucket.
+Pairs inside one component are never made, so groups of thousands of copies stay cheap.  A link
 between components can be lost where its pair shares no bucket or, one in 200,000 at a similarity of exactly 0.8, where its
 sketches differ in more than 36 of 120 fields.
 
@@ -45,6 +48,9 @@ CHUNK_CHARS = 2_000_000
 REMEMBERED = 100_000  # words whose hashes a worker keeps
 #: Shingles of the texts that a block of the verification holds, about.
 CELL_SHINGLES = 300_000
+#: Classes of a bucket that still give their pairs as rows; texts of a block of a larger bucket, about.
+LARGE_BUCKET, CELL_TEXTS = 32, 2048
+MOST_DIFFERING = 36  # fields of two sketches
 _WORD = re.compile(r"\w+")
 _FACTORS = mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 SIGNATURE = "struct<h1:bigint,h2:bigint,n:int,bands:array<bigint>,k0:bigint,k1:bigint,k2:bigint,k3:bigint>"
@@ -270,6 +276,71 @@ def _verified(pairs: DataFrame, entries: DataFrame, rows: DataFrame, scratch: Sc
     return found
 
 
+def _joining(two: bool, rids: list[int], sets: list, roots: list[int], sides: list[int], ns: list[int],
+             sketches: list) -> pd.DataFrame:
+    """Links between texts of one cell, those that join two of its components.  In a cell of two blocks, texts of one are not
+    compared; sizes, sketches and the similarity decide as everywhere."""
+    order = np.argsort(rids)
+    cell = _Cell(rids, sets)
+    _, group = np.unique(np.array(roots, np.int64)[order], return_inverse=True)
+    side, n, k = np.array(sides)[order], np.array(ns, np.int64)[order], np.array(sketches, np.int64).view(np.uint64)[order]
+    found = []
+    for i in range(len(order) - 1):
+        at = np.flatnonzero((group[i + 1:] != group[i]) & (np.minimum(n[i], n[i + 1:]) >= SIMILARITY * np.maximum(n[i], n[i + 1:]))
+                            & ((side[i + 1:] != side[i]) | (not two))) + i + 1
+        x = k[at] ^ k[i]
+        fields = (x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)
+        at = at[np.bitwise_count(fields).sum(axis=1, dtype=np.int64) <= MOST_DIFFERING]
+        if not len(at):
+            continue
+        for j in at[cell.linked(np.full(len(at), cell.rids[i]), cell.rids[at])]:
+            if group[j] != group[i]:
+                found.append((cell.rids[i], cell.rids[j]))
+                group[group == group[j]] = group[i]
+    return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+
+def _cell_links(batches):
+    """Rows sorted by cell; the links of each that join components."""
+    known, now, held = _WordHash(), None, None
+    for pdf in batches:
+        cells = pdf[["bucket", "x", "y"]].to_numpy()
+        new = np.concatenate([[True], (cells[1:] != cells[:-1]).any(axis=1)])[:len(pdf)]
+        for u, v in zip(first := np.flatnonzero(new), np.append(first[1:], len(pdf)), strict=True):
+            if (cell := tuple(cells[u])) != now:
+                if now is not None:
+                    yield _joining(now[1] != now[2], *held)
+                now, held = cell, ([], [], [], [], [], [])
+            own = pdf.iloc[u:v]
+            for kept, more in zip(held, (own["node"], (multiset(t, known) for t in own["text"]), own["root"], own["part"], own["n"],
+                                         own[[*SKETCH]].to_numpy()), strict=True):
+                kept.extend(more)
+    if now is not None:
+        yield _joining(now[1] != now[2], *held)
+
+
+def _crossing(entries: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) across the components of buckets: those of small buckets from pairs as rows, those of larger ones from
+    cells.  ``entries`` has them with component, size and sketch."""
+    size = entries.groupBy("bucket").agg(F.count("*").alias("c"), F.sum("n").alias("shingles")).where(F.col("c") > LARGE_BUCKET)
+    size = scratch.put(size.select("bucket", F.greatest(F.ceil(F.col("shingles") / CELL_SHINGLES), F.ceil(F.col("c") / CELL_TEXTS))
+                                   .cast("int").alias("parts")), "crossing-large")
+    small = scratch.put(entries.join(size, "bucket", "left_anti"), "crossing-small")
+    pairs = scratch.put(_candidates(small, small), "crossing-pairs")
+    links = _verified(pairs, entries, rows, scratch, "crossing-links")
+    scratch.drop_all("crossing-pairs", "crossing-small")
+    part = F.pmod(F.xxhash64("node", "bucket"), "parts").cast("int")
+    sent = (entries.join(size, "bucket").withColumn("part", part)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("bucket", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "node", "root", "n",
+                    *SKETCH)
+            .join(rows.select(F.col("rid").alias("node"), "text"), "node"))
+    joining = scratch.put(sent.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+                          .mapInPandas(_cell_links, "a long, b long"), "crossing-cells")
+    scratch.drop("crossing-large")
+    return links.union(joining)
+
+
 def _still_open(entries: DataFrame, roots: DataFrame, rows: DataFrame) -> DataFrame:
     """Entries of the buckets that hold several components, with component, size and sketch."""
     entries = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -295,7 +366,7 @@ def _candidates(some: DataFrame, entries: DataFrame) -> DataFrame:
     # at similarity 0.8 sketches differ in 18 fields on average, with a deviation of 3.9: one pair in 200,000 exactly there
     # differs in more than 36
     return (one.join(two, "bucket").where(order).where(F.least("a_n", "b_n") >= SIMILARITY * F.greatest("a_n", "b_n"))
-            .where(_differing() <= 36)
+            .where(_differing() <= MOST_DIFFERING)
             .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct())
 
 
@@ -339,12 +410,11 @@ def groups(docs: DataFrame, scratch: Scratch, text: str = "text", doc_id: str =
         entries = entries.select("node", "bucket")
     entries = scratch.put(_still_open(entries, roots, near), "open")
     scratch.drop(held)
-    crossing = _candidates(entries, entries)
-    more = _verified(scratch.put(crossing, "crossing-pairs"), entries, near, scratch, "crossing-links")
-    scratch.drop_all("crossing-pairs", "open", "near")
+    more = _crossing(entries, near, scratch)
+    scratch.drop_all("open", "near")
     stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     roots = components(stars.union(more), scratch, "all-components")
-    scratch.drop_all("crossing-links", held_roots)
+    scratch.drop_all("crossing-links", "crossing-cells", held_roots)
 
     nodes = (classes.join(roots, "node", "left").select("h1", "h2", "n", F.coalesce("root", "node").alias("root")))
     placed = scratch.put(rows.select("rid", "id", "h1", "h2", "n").join(nodes, ["h1", "h2", "n"])
@@ -355,7 +425,8 @@ def groups(docs: DataFrame, scratch: Scratch, text: str = "text", doc_id: str =
               .select("rid", F.col("first.id").alias("class_id"), (F.col("rid") == F.col("first.rid")).alias("kept")))
     result = scratch.put(placed, "result", keep=True)
     scratch.drop("placed")
-    return rows.select("row", "rid").join(result, "rid").select("row", "class_id", "kept")
+    # both sides grow with the input, so neither is broadcast while it happens to be small
+    return rows.select("row", "rid").hint("merge").join(result, "rid").select("row", "class_id", "kept")
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,6 +66,40 @@ def test_minhash_against_all_pairs(spark):
     assert got == dict(enumerate(root))
 
 
+@pytest.mark.parametrize("large, block", [(32, 2048), (3, 8)])
+def test_minhash_makes_no_pair_rows_in_a_dense_group(spark, monkeypatch, large, block):
+    rng = np.random.default_rng(6)
+    base, texts = [f"w{x}" for x in range(150)], []
+    for i in range(220):  # most pairs are a little below the similarity, some above
+        words = list(base)
+        for at in rng.choice(150, 2 + 2 * (i % 4), replace=False):
+            words[at] = f"n{i}x{at}"
+        texts.append(" ".join(words))
+    known, root = minhash._WordHash(), list(range(len(texts)))
+    sets = [minhash.multiset(t, known) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i + 1, len(texts)):
+            if root[i] != root[j] and minhash.overlap(sets[i], sets[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    assert 1 < len(set(root)) < len(texts) - 20
+    monkeypatch.setattr(minhash, "LARGE_BUCKET", large, raising=False)
+    monkeypatch.setattr(minhash, "CELL_TEXTS", block, raising=False)
+    made, put = {}, Scratch.put
+
+    def counting(self, df, name, keep=False):
+        out = put(self, df, name, keep)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "put", counting)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with Scratch(spark, "t") as s:
+        got = {r[0]: r[1] for r in minhash.groups(df, s).select("row.doc_id", "class_id").collect()}
+    assert got == dict(enumerate(root))
+    assert sum(v for k, v in made.items() if k.startswith("crossing") and k != "crossing-small") < 20 * len(texts)
+
+
 def test_signatures_when_the_last_text_fills_a_chunk(monkeypatch):
     import pandas as pd
 
