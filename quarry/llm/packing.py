@@ -14,11 +14,14 @@ are ignored; an empty table packs into nothing.
 from __future__ import annotations
 
 import os
+import struct
 import unicodedata
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +30,10 @@ from quarry.llm.common import Scratch, table
 CAPACITY = 4096
 END = 1
 PARTITION_PIECES = 10_000
-REMEMBERED = 400_000      # words whose ids a worker keeps
-ROWS_TOKENS = 1_000_000   # tokens of the rows that a worker hands over at once
+REMEMBERED = 400_000      # words whose ids a worker keeps; a quarter as many parts of words
+MARKS = ".,;:!?#$%&*"     # a run of these after a word's letters is split off by the tokenizer
+ROWS_TOKENS = 250_000     # tokens of the rows that a worker hands over at once
+BATCH_ROWS = 500          # documents that a worker takes out of an Arrow batch at once
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -48,49 +53,59 @@ class TextEncoder:
         rest = [b for b in range(256) if b not in kept]
         self.shown = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.remember = remember
-        self.words = _Words(self)
+        self.words = _Remembered(self.encode_word)
+        self.parts = _Remembered(self._plain)  # lower-cased letters, and runs of the marks that may end a word
 
     def _bytes(self, ids) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, text: str) -> bytes:
+        shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.shown)
+        return self._bytes([t.id for t in self.model.tokenize(shown)])
 
     def encode_word(self, word: str) -> bytes:
-        tail = word[-1] if word[-1] in ".,;:!?" else ""
-        core = word[:-1] if tail else word
+        core = word.rstrip(MARKS)
+        tail = word[len(core):]
         low = core.lower()
         if core.isalpha() and (core.isascii() or (low.isalpha() and len(low) == len(core) and "Σ" not in core
                                                   and unicodedata.is_normalized("NFC", word))):
-            ids = []
-            for part in (low, tail):
-                if part:
-                    ids += [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.shown))]
-            return self._bytes(ids)
+            if 8 * len(self.parts) > self.remember:
+                self.parts.age()
+            return self.parts[low] + self.parts[tail] if tail else self.parts[low]
         return self._bytes(self.whole.encode(word, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         if not text.isprintable() and any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python only
             return self._bytes(self.whole.encode(text, add_special_tokens=False).ids)
-        if len(self.words) > self.remember:
-            self.words.clear()
+        if 2 * len(self.words) > self.remember:
+            self.words.age()
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
-class _Words(dict):
-    def __init__(self, encoder: TextEncoder):
+class _Remembered(dict):
+    """Ids of strings met since the last ``age``; those met between the last two are taken over when they come again."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.encoder = encoder
+        self.encode = encode
+        self.before: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        self[word] = ids = self.encoder.encode_word(word)
+    def __missing__(self, text: str) -> bytes:
+        self[text] = ids = self.before.get(text) or self.encode(text)
         return ids
 
+    def age(self) -> None:
+        self.before = dict(self)
+        self.clear()
+
 
-_ENCODERS: dict[str, TextEncoder] = {}  # one for each worker process and file
+_ENCODERS: dict[tuple[str, int], TextEncoder] = {}  # one for each worker process, file and size
 
 
-def encoder_of(path: str) -> TextEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = TextEncoder(path)
-    return _ENCODERS[path]
+def encoder_of(path: str, remember: int = REMEMBERED) -> TextEncoder:
+    if (path, remember) not in _ENCODERS:
+        _ENCODERS[path, remember] = TextEncoder(path, remember)
+    return _ENCODERS[path, remember]
 
 
 def tokenizer_path() -> str:
@@ -105,30 +120,38 @@ def pieces_of(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
     def run(batches):
         from quarry.llm.packing import encoder_of  # the worker's own module: what it remembers outlives the task
 
-        encoder = encoder_of(path or tokenizer_path())
-        names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-
-        def frame(rows):
-            out = pd.DataFrame(rows, columns=names)
-            return out.assign(doc_id=pd.array(out["doc_id"], dtype="Int64"))
-
-        for pdf in batches:
-            out, held = [], 0
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                ids = encoder.encode(text or "") + END.to_bytes(4, "little")
-                for i, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    row = (doc_id, i, at // 4, len(part) // 4, zlib.crc32(part))
-                    out.append((*row, np.frombuffer(part, "<u4").astype(np.int32)) if with_ids else row)
-                held += len(ids) // 4
-                if held >= ROWS_TOKENS:
-                    yield frame(out)
-                    out, held = [], 0
+        # beside the ids of its rows (and, in the pipeline, what other stages hold) a worker keeps fewer words
+        encoder = encoder_of(path or tokenizer_path(), REMEMBERED // 8 if with_ids else REMEMBERED)
+
+        def rows(out, parts):
+            doc_id, piece, start, length, crc = zip(*out, strict=True)
+            columns = {"doc_id": pa.array(doc_id, pa.int64()), "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
+                       "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
+            if with_ids:
+                ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<u4").view("<i4")))
+            return pa.RecordBatch.from_pydict(columns)
+
+        for batch in batches:
+            out, parts, held = [], [], 0
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                some = batch.slice(at, BATCH_ROWS)
+                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist(), strict=True):
+                    ids = encoder.encode(text or "") + END.to_bytes(4, "little")
+                    for i, start in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[start:start + 4 * capacity]
+                        out.append((doc_id, i, start // 4, len(part) // 4, zlib.crc32(part)))
+                        if with_ids:
+                            parts.append(part)
+                    held += len(ids) // 4
+                    if held >= ROWS_TOKENS:
+                        yield rows(out, parts)
+                        out, parts, held = [], [], 0
             if out:
-                yield frame(out)
+                yield rows(out, parts)
 
     return (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-            .mapInPandas(run, PIECES + (", ids array<int>" if with_ids else "")))
+            .mapInArrow(run, PIECES + (", ids array<int>" if with_ids else "")))
 
 
 def lower_bound(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY) -> int:

@@ -325,6 +325,20 @@ def test_encoder_equals_the_tokenizer():
         assert e.encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+def test_encoder_keeps_words_that_come_again(monkeypatch):
+    asked, plain = Counter(), packing.TextEncoder.encode_word
+    monkeypatch.setattr(packing.TextEncoder, "encode_word", lambda self, w: asked.update([w]) or plain(self, w))
+    e = packing.TextEncoder(packing.tokenizer_path(), remember=30)
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    for i in range(40):
+        text = f"often the other{i} word{i}, Again{i}! new{i} An$$$ été.%%% A!? b.,;: x&&&y $$$ c*#*"
+        assert e.encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert len(e.words) <= 30 + len(text.split())
+    assert asked["often"] == asked["the"] == asked["other3"] == 1
+
+
 def test_toxicity_learns_and_forgives_groups(spark, docs, empty):
     good = [f"a plain sentence number {i} about the {w} people and trees" for i in range(300) for w in ("old",)]
     bad = [f"those muslim people are idiotic scum number {i}" for i in range(60)]
