@@ -25,52 +25,69 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Scratch, mix64, remainder, table
 
 HOT, LEAST, DISCOUNT = 2e-6, 4, 0.5
-FILTER_BITS = 25  # of a filter, at most; a full one only lets more rows through
-STRIDE = 3  # lengths beyond four counted in one reading
-FLUSH_TOKENS, CHUNK_CHARS = 300_000, 2_000_000
+FILTER_BITS = 27  # of a filter, at most; a full one only lets more rows through
+STRIDE = 5  # lengths beyond four counted in one reading
+FLUSH_TOKENS, CHUNK_BYTES, PART_BYTES = 500_000, 2_000_000, 1 << 24
+LONG = 64  # bytes of a word that is hashed on its own
 END = np.uint64(xxhash.xxh64_intdigest(b" "))  # no word holds a space
+BLOCKS = "length int, part int, context binary, suffix binary, n binary"
 GRAMS = "length int, key long, context long, suffix long, n long"
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
-SCORES = "struct<n_tokens:bigint,n_known:bigint,base:double,more:double,rare:array<bigint>,rare_n:array<int>,rare_word:array<boolean>>"
-
-
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 100_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def tokens(text: str | None, known: dict) -> np.ndarray:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII case and white space only
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    out[-1] = END
-    return out
-
-
-def joined(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """Key of a context followed by a symbol; also the key of the longer context."""
-    return mix64(context * _PAIR + symbol)
+_FOLD = np.arange(256, dtype=np.uint8)  # A-Z lower-cased, white space as spaces
+_FOLD[65:91] += 32
+_FOLD[9:14] = 32
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+ASKED = "part int, first long, word boolean, doc binary, key binary, own binary"
+ANSWERS = "first long, doc binary, base binary, more binary, known binary, own binary"
+
+
+
+def tokens(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the texts that lie one after the other in ``data`` (bytes) and end at ``ends``, and how many each has."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = _FOLD[data]
+    word = padded[:len(data)] != 32
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    full = np.diff(ends, prepend=0) > 0  # texts with bytes: a word neither comes from the text before nor goes on in the next
+    begin, end = (ends - np.diff(ends, prepend=0))[full], ends[full] - 1
+    first[begin], last[end] = word[begin], word[end]
+    begin, size = np.flatnonzero(first), np.flatnonzero(last) + 1 - np.flatnonzero(first)
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    h, who, at, left = size.astype(np.uint64), np.arange(len(size)), begin, size
+    for _ in range(LONG // 8):
+        h[who] = joined(h[who], eight[at] & _LOW[np.minimum(left, 8)])
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        who, at, left = who[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG):
+        h[i] = xxhash.xxh64_intdigest(padded[begin[i]:begin[i] + size[i]])
+    at = np.searchsorted(begin, ends) + np.arange(len(ends))
+    out = np.full(len(begin) + len(ends), END)
+    rest = np.ones(len(out), bool)
+    rest[at] = False
+    out[rest] = h
+    return out, np.diff(at, prepend=-1)
 
 
-def flat(docs: list[np.ndarray]):
-    """Tokens of some documents and the number of the document of each."""
-    return (np.concatenate(docs) if docs else np.zeros(0, np.uint64)), np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+def joined(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Key of a gram from the keys of all but its last token and of all but its first; also that of the context it makes."""
+    return mix64(context * _PAIR + suffix)
 
 
-def longer(keys: np.ndarray, w: np.ndarray, length: int) -> np.ndarray:
-    """Keys of the grams of ``length`` tokens at each place, from those one shorter (whether inside a document or not)."""
-    return joined(keys[:max(len(w) - length + 1, 0)], w[length - 1:])
+def longer(keys: np.ndarray) -> np.ndarray:
+    """Keys of the grams one token longer at each place (whether inside a document or not)."""
+    return joined(keys[:-1], keys[1:])
 
 
 def inside(doc: np.ndarray, length: int) -> np.ndarray:
@@ -78,60 +95,118 @@ def inside(doc: np.ndarray, length: int) -> np.ndarray:
     return np.flatnonzero(doc[length - 1:] == doc[:max(len(doc) - length + 1, 0)])
 
 
+def _pieces(texts: pa.Array):
+    """Tokens and their numbers for some whole texts at a time."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + CHUNK_BYTES, "right")) - 1)
+        yield tokens(data[ends[i]:ends[j]], ends[i + 1:j + 1] - ends[i])
+        i = j
+
+
 def _flushed(batches, use):
-    """``use(list of token arrays)`` for every so many tokens of a partition."""
-    known, docs, n = _WordHash(), [], 0
-    for pdf in batches:
-        for text in pdf["text"]:
-            docs.append(tokens(text, known))
-            n += len(docs[-1])
+    """``use(tokens, number of the document of each)`` for every so many tokens of a partition."""
+    held, n = [], 0
+
+    def flush():
+        sizes = np.concatenate([x[1] for x in held])
+        return use(np.concatenate([x[0] for x in held]), np.repeat(np.arange(len(sizes)), sizes))
+
+    for batch in batches:
+        for piece in _pieces(batch.column(0)):
+            held.append(piece)
+            n += len(piece[0])
             if n >= FLUSH_TOKENS:
-                yield use(docs)
-                docs, n = [], 0
-    if docs:
-        yield use(docs)
+                yield from flush()
+                held, n = [], 0
+    if held:
+        yield from flush()
 
 
-def _frame(length: int, key: np.ndarray, context: np.ndarray, suffix: np.ndarray) -> pd.DataFrame:
-    key, first, n = np.unique(key, return_index=True, return_counts=True)
-    return pd.DataFrame({"length": np.int32(length), "key": key.view(np.int64), "context": context[first].view(np.int64),
-                         "suffix": suffix[first].view(np.int64), "n": n})
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal keys are neighbours, and where in it each run begins."""
+    order = np.argsort(key)
+    key = key[order]
+    return order, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
 
 
-def _summed(train: DataFrame, use) -> DataFrame:
-    """Grams with their context (all but the last token), suffix (all but the first) and exact count."""
-    return (train.select("text").mapInPandas(lambda it: _flushed(it, use), GRAMS).groupBy("length", "key")
-            .agg(F.max("context").alias("context"), F.max("suffix").alias("suffix"), F.sum("n").alias("n")))
+def _part(key: np.ndarray, bits: int) -> np.ndarray:
+    return (key >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _words_and_pairs(train: DataFrame) -> DataFrame:
-    def use(docs):
-        w, doc = flat(docs)
-        i = inside(doc, 2)
-        return pd.concat([_frame(1, w, np.zeros_like(w), np.zeros_like(w)), _frame(2, longer(w, w, 2)[i], w[i], w[i + 1])],
-                         ignore_index=True)
+def _blocks(length: int, key: np.ndarray, context: np.ndarray, suffix: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Distinct grams and their counts, in one row for each range of keys; words have neither context nor suffix."""
+    order, first = _runs(key)
+    n, first = np.diff(np.append(first, len(order))).astype(np.uint32), order[first]
+    cut = np.searchsorted(_part(key[first], bits), np.arange((1 << bits) + 1))
+    parts = np.flatnonzero(cut[1:] > cut[:-1])
+    columns = [[x[cut[p]:cut[p + 1]].tobytes() for p in parts] for x in (context[first], suffix[first], n)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(parts), length), pa.int32()), pa.array(parts, pa.int32()), *(pa.array(x, pa.binary()) for x in columns)],
+        ["length", "part", "context", "suffix", "n"])
 
-    return _summed(train, use)
 
+def _whole(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), kind)
 
-def _grams(train: DataFrame, length: int, wanted: Filter) -> DataFrame:
-    """Grams of three tokens whose pairs pass ``wanted``; or those of ``length`` tokens whose context's suffix passes it and,
-    beyond four, those up to ``STRIDE`` - 1 tokens longer whose context ends in one that does (by then more than can be retained)."""
-    def use(docs):
-        w, doc = flat(docs)
-        keys, out = {1: w}, []
-        for n in range(2, length + (STRIDE if length > 4 else 1)):
-            keys[n] = longer(keys[n - 1], w, n)
-            if n >= length:
+
+def _summed(train: DataFrame, use) -> DataFrame:
+    """Grams with their context (all but the last token), suffix (all but the first) and exact count: words, and longer ones
+    that occur at least ``LEAST`` times.  Tasks hand on packed blocks of their counts, one for each range of keys."""
+    def count(blocks: pa.Table) -> pa.Table:
+        length = blocks["length"][0].as_py()
+        context, suffix, n = (_whole(blocks[c], k) for c, k in (("context", "<u8"), ("suffix", "<u8"), ("n", "<u4")))
+        key = context if length == 1 else joined(context, suffix)
+        order, first = _runs(key)
+        n = np.add.reduceat(n[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+        own = n >= (1 if length == 1 else LEAST)
+        n, first = n[own], order[first[own]]
+        return pa.table({"length": pa.array(np.full(len(n), length), pa.int32())}
+                        | {c: x[first].view(np.int64) for c, x in (("key", key), ("context", context), ("suffix", suffix))} | {"n": n})
+
+    return (train.select("text").mapInArrow(lambda it: _flushed(it, use), BLOCKS).groupBy("length", "part").applyInArrow(count, GRAMS))
+
+
+def _words(train: DataFrame, bits: int) -> DataFrame:
+    return _summed(train, lambda w, doc: [_blocks(1, w, w, w, bits)]).select("key", "n")
+
+
+def _grams(train: DataFrame, bits: int, length: int, frequent: Filter, wanted: Filter | None) -> DataFrame:
+    """Grams of ``length`` tokens that hold only grams of ``length`` - 1, at most three, tokens that pass ``frequent`` and whose
+    context's suffix passes ``wanted``.  Beyond four also those up to ``STRIDE`` - 1 tokens longer whose context ends in one that
+    does (by then more than can be retained), and the contexts themselves."""
+    top = length + (STRIDE if length > 4 else 1)
+
+    def use(w, doc):
+        keys, i, known = w, np.arange(len(w)), min(length - 1, 3)
+        for n in range(2, top):
+            short, keys = keys, np.zeros(max(len(w) - n + 1, 0), np.uint64)
+            if n <= known:
+                keys[:] = longer(short)
                 i = inside(doc, n)
-                if length == 3:
-                    i = i[wanted.has(keys[2][i]) & wanted.has(keys[2][i + 1])]
-                else:
-                    i = i[ends[i + n - length + 1]]
-                out.append(_frame(n, keys[n][i], keys[n - 1][i], keys[n - 1][i + 1]))
-            elif n == length - 2:
-                ends = wanted.has(keys[n])
-        return pd.concat(out, ignore_index=True)
+            if n == known or n == 2 and known == 1:
+                i = i[frequent.has(keys[i])] if known > 1 else np.flatnonzero(frequent.has(w))
+            if n > known:  # both shorter ones have passed
+                ok = np.zeros(len(w) + 1, bool)
+                ok[i] = True
+                i = i[ok[i + 1]]
+                i = i[doc[i] == doc[i + 1]]
+                keys[i] = joined(short[i], short[i + 1])
+            if wanted is not None and n == length - 2:
+                ends = np.zeros(len(w) + STRIDE, bool)
+                at = i if n > 2 else inside(doc, 2)
+                ends[at[wanted.has(keys[at])]] = True
+            at = i[:0]
+            if n >= length:
+                at = i if wanted is None else i[ends[i + n - length + 1]]
+            if length > 4 and length - 1 <= n < top - 1:
+                at = i[ends[i + n - length + 2] | (n >= length) & ends[i + n - length + 1]]
+            if len(at):
+                yield _blocks(n, keys[at], short[at], short[at + 1], bits)
 
     return _summed(train, use)
 
@@ -147,9 +222,9 @@ class Filter:
         mask = (1 << min(max((8 * keys.count()).bit_length(), 12), FILTER_BITS)) - 1
         got = (keys.selectExpr(f"explode(array(key & {mask}L, shiftrightunsigned(key, 32) & {mask}L)) AS p")
                .groupBy(F.expr("shiftright(p, 6)").alias("at"))
-               .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toPandas())
+               .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toArrow())
         words = np.zeros((mask + 1) >> 6, np.uint64)
-        words[got["at"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+        words[got["at"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
         return Filter(words, mask)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
@@ -159,12 +234,26 @@ class Filter:
         return out
 
 
-def _at(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in a sorted array, -1 if it is not there."""
-    if not len(known):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, at, -1)
+class Places:
+    """Finds keys in a sorted array by their first bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.bits = np.append(keys, np.uint64(0)), max(len(keys).bit_length(), 1)
+        begin = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        self.begin = np.append(np.searchsorted(keys, begin), len(keys)).astype(np.int32)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 if it is not there."""
+        own = _part(keys, self.bits)
+        at, end = self.begin[own], self.begin[own + 1]
+        found = (at < end) & (self.keys[at] == keys)
+        todo = np.flatnonzero(~found & (at + 1 < end))
+        while len(todo):
+            at[todo] += 1
+            hit = self.keys[at[todo]] == keys[todo]
+            found[todo[hit]] = True
+            todo = todo[~hit & (at[todo] + 1 < end[todo])]
+        return np.where(found, at, -1)
 
 
 @dataclass
@@ -173,9 +262,10 @@ class Tree:
     v: int  # distinct ones
     longest: int  # tokens of the longest gram with a value
     floor: float  # count from which a key is looked up in the tasks
-    words: np.ndarray  # frequent words, sorted
+    bits: int  # first bits of a key that say with which others it is looked up
+    words: Places  # frequent words
     counts: np.ndarray
-    keys: np.ndarray  # frequent grams with a value, sorted
+    keys: Places  # frequent grams with a value
     values: np.ndarray
     rare: Filter  # the other grams with a value
     nodes: DataFrame  # (key, n, value) of all grams with a value
@@ -183,38 +273,32 @@ class Tree:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.n + 0.1 * (self.v + 1)))
 
-    def scores(self, docs: list[np.ndarray]) -> pd.DataFrame:
-        w, doc = flat(docs)
-        sizes = np.array([len(d) for d in docs], np.int64)
-        at = _at(self.words, w)
+    def scores(self, w: np.ndarray, sizes: np.ndarray) -> tuple[dict[str, np.ndarray], list]:
+        """Sums of some documents, and what is to be looked up for them later (here it counts as 0): the documents and keys of
+        rare words and of rare grams."""
+        docs, doc = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+        at = self.words.of(w)
         known = at >= 0
-        base = np.zeros(len(w))  # what a rare word or gram adds is joined later: here it counts as 0
+        base = np.zeros(len(w))
         base[known] = self.base(self.counts[at[known]])
-        more = np.zeros(len(docs))
-        found, keys = [(doc[~known], w[~known], True)], w
+        more = np.zeros(docs)
+        found, keys = [], w
         for length in range(1, self.longest + 1):
-            keys = longer(keys, w, length) if length > 1 else w
+            keys = longer(keys) if length > 1 else w
             i = inside(doc, length)
             if length > 3:  # the gram's context or, if it is one, its suffix has a value as well
                 i = i[valued[i] | valued[i + 1]]
-            at = _at(self.keys, keys[i])
+            at = self.keys.of(keys[i])
             own, at, i = i[at >= 0], at[at >= 0], i[at < 0]
-            more += np.bincount(doc[own], self.values[at], len(docs))
+            more += np.bincount(doc[own], self.values[at], docs)
             i = i[(known[i] if length == 1 else True) & self.rare.has(keys[i])]
-            found.append((doc[i], keys[i], False))
+            found.append((doc[i], keys[i]))
             valued = np.zeros(len(w) + 1, bool)
             valued[own] = valued[i] = True
-        d, h = (np.concatenate([x[j] for x in found]) for j in (0, 1))
-        word = np.repeat([x[2] for x in found], [len(x[0]) for x in found])
-        order = np.lexsort((word, h, d))
-        d, h, word = d[order], h[order], word[order]
-        first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (word[1:] != word[:-1])])[:len(d)])
-        n = np.diff(np.append(first, len(d))).astype(np.int32)
-        d, h, word = d[first], h[first].view(np.int64), word[first]
-        cut = np.searchsorted(d, np.arange(1, len(docs)))
-        return pd.DataFrame({"n_tokens": sizes, "n_known": np.bincount(doc, known, len(docs)).astype(np.int64),
-                             "base": np.bincount(doc, base, len(docs)), "more": more,
-                             "rare": np.split(h, cut), "rare_n": np.split(n, cut), "rare_word": np.split(word, cut)})
+        sums = {"n_tokens": sizes, "n_known": np.bincount(doc, known, docs).astype(np.int64), "base": np.bincount(doc, base, docs),
+                "more": more}
+        grams = tuple(np.concatenate([x[j] for x in found]) for j in (0, 1))
+        return sums, [(doc[~known], w[~known]), grams]
 
 
 def _retained(seen: DataFrame) -> DataFrame:
@@ -234,86 +318,152 @@ def _retained(seen: DataFrame) -> DataFrame:
         F.when(F.col("rest").isNotNull(), own - parent - F.col("rest")).alias("value"))
 
 
+def _sorted(rows: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, and the value of each as a double."""
+    got = rows.select("key", F.col(value).cast("double")).toArrow()
+    key = got["key"].to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return key[order], got[value].to_numpy()[order]
+
+
 def learn(train: DataFrame, scratch: Scratch) -> tuple[Tree, DataFrame]:
     """The tree, and ``(key, n)`` of all words."""
-    counts = scratch.put(_words_and_pairs(train).where((F.col("length") == 1) | (F.col("n") >= LEAST)), "counts")
-    words = counts.where("length = 1").select("key", "n")
+    size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max((size // PART_BYTES).bit_length(), 1)
+    words = scratch.put(_words(train, bits), "words")
     n, v = words.select(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     at_root = F.log10((F.col("n") + 0.1) / F.lit(n + 0.1 * (v + 1)))
-    pairs = counts.where("length = 2").drop("length")
     total = lambda x: x.select(F.col("key").alias("context"), F.col("n").alias("total"))
-    seen = (pairs.join(words.select(F.col("key").alias("suffix"), at_root.alias("parent")), "suffix")
-            .join(total(words), "context"))
+    common = words.where(F.col("n") >= LEAST)
+    frequent = Filter.of(common)
+    grams = scratch.put(_grams(train, bits, 2, frequent, None), "grams2")
+    seen = (grams.drop("length").join(common.select(F.col("key").alias("suffix"), at_root.alias("parent")), "suffix")
+            .join(total(common), "context"))
     levels, length = [scratch.put(_retained(seen), "level2")], 2
     while True:
         length += 1
-        last = levels[-1]
+        last, shorter, done = levels[-1], grams, None
         kept = last.where("rest IS NOT NULL")
-        wanted = pairs.select("key") if length == 3 else kept.select(F.col("context").alias("key")).distinct()
+        wanted = shorter if length == 3 else kept.select(F.col("context").alias("key")).distinct()
         if wanted.isEmpty():
             break
         if length <= 4 or length >= counted:
-            counted, name = length + (STRIDE if length > 4 else 1), f"grams{length}"
-            read = scratch.put(_grams(train, length, Filter.of(wanted)), name)
+            if length <= 4:
+                frequent = Filter.of(shorter)
+            counted = length + (STRIDE if length > 4 else 1)
+            read = scratch.put(_grams(train, bits, length, frequent, Filter.of(wanted) if length > 3 else None), f"grams{length}")
+            done = f"grams{length - 1}" if length <= 5 else name
+            name = f"grams{length}"
         grams = read.where(F.col("length") == length)
-        totals = total(pairs) if length == 3 else grams.groupBy("context").agg(F.sum("n").alias("total"))
+        totals = total(shorter if length <= 4 else read.where(F.col("length") == length - 1))
         parents = (last if length == 3 else kept).select(F.col("key").alias("suffix"), F.col("logp").alias("parent"))
-        seen = grams.drop("length").where(F.col("n") >= LEAST).join(parents, "suffix").join(totals, "context")
+        seen = grams.drop("length").join(parents, "suffix").join(totals, "context")
         levels.append(scratch.put(_retained(seen), f"level{length}"))
-        del seen, totals, parents, grams
+        del seen, totals, parents
+        if done:  # the shorter ones: the next length has the totals it needs in what was read now, or in these
+            scratch.drop(done)
         train.sparkSession.sparkContext._jvm.System.gc()  # Spark then deletes the shuffle files of tables that are written
-        if length + 1 == counted:
-            scratch.drop(name)
     parts = []
     for level in levels:
         kept = level.where("rest IS NOT NULL")
         parts += [kept.select("key", "n", "value"), kept.groupBy("context").agg(F.max("total"), F.max("rest"))]
     nodes = scratch.put(reduce(DataFrame.union, parts).groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value")), "nodes")
     floor = max(HOT * n, LEAST)
-    frequent = words.where(F.col("n") >= floor).toPandas()  # at most 1 / HOT rows
-    hot = nodes.where(F.col("n") >= floor).toPandas()  # at most 1 / HOT rows of each length
-    frequent, hot = (x.assign(key=x["key"].to_numpy(np.int64).view(np.uint64)).sort_values("key") for x in (frequent, hot))
-    return Tree(n, v, length - 1, floor, frequent["key"].to_numpy(), frequent["n"].to_numpy(float), hot["key"].to_numpy(),
-                hot["value"].to_numpy(float), Filter.of(nodes.where(F.col("n") < floor)), nodes), words
-
-
-def _scored(text: Column, tree: Tree) -> Column:
-    tree = replace(tree, nodes=None)  # a table does not travel
-
-    def run(s: pd.Series) -> pd.DataFrame:
-        known, parts, now, size = _WordHash(), [], [], 0
-        for x in s:
-            now.append(tokens(x, known))
-            size += len(x or "")
-            if size >= CHUNK_CHARS:
-                parts.append(tree.scores(now))
-                now, size = [], 0
-        if now or not parts:
-            parts.append(tree.scores(now))
-        return pd.concat(parts, ignore_index=True)
-
-    return F.pandas_udf(run, SCORES)(text)
+    frequent, counts = _sorted(words.where(F.col("n") >= floor), "n")  # at most 1 / HOT rows
+    hot, values = _sorted(nodes.where(F.col("n") >= floor), "value")  # at most 1 / HOT rows of each length
+    tree = Tree(n, v, length - 1, floor, max(bits - 1, 1), Places(frequent), counts, Places(hot), values,
+                Filter.of(nodes.where(F.col("n") < floor)), nodes)
+    del levels, grams, shorter, last, kept, wanted, level, parts
+    scratch.drop_all("level", "grams")
+    train.sparkSession.sparkContext._jvm.System.gc()
+    return tree, words
+
+
+def _asked(docs: DataFrame, tree: Tree) -> DataFrame:
+    """For some documents at a time, known by the row number of the first: a row with what is known of them already (``own``),
+    and their rare words and grams in one row for each range of keys."""
+    bits, tree = tree.bits, replace(tree, nodes=None)  # a table does not travel
+
+    def row(first, part, word=None, doc=None, key=None, own=None):
+        n = len(part)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part, pa.int32()), pa.array(np.full(n, first), pa.int64()), pa.array([word] * n, pa.bool_()),
+             *(pa.array(x or [None] * n, pa.binary()) for x in (doc, key, own))], ["part", "first", "word", "doc", "key", "own"])
+
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for w, sizes in _pieces(batch.column(2)):
+                first, doc_id = batch.column(0)[at].as_py(), batch.column(1).slice(at, len(sizes))
+                at += len(sizes)
+                sums, rare = tree.scores(w, sizes)
+                own = pa.table({"doc_id": doc_id} | sums)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, own.schema) as out:
+                    out.write_table(own)
+                yield row(first, [first % (1 << bits)], own=[sink.getvalue().to_pybytes()])
+                for word, (doc, key) in zip((True, False), rare, strict=True):
+                    part = _part(key, bits)
+                    order = np.lexsort((doc, part))
+                    key, doc = key[order], doc[order].astype(np.uint32)
+                    cut = np.append(0, np.cumsum(np.bincount(part, minlength=1 << bits)))
+                    parts = np.flatnonzero(cut[1:] > cut[:-1])
+                    yield row(first, parts, word, *([x[cut[p]:cut[p + 1]].tobytes() for p in parts] for x in (doc, key)))
+
+    return docs.select(F.monotonically_increasing_id(), "doc_id", "text").mapInArrow(run, ASKED)
+
+
+def _answers(asked: DataFrame, values: DataFrame, tree: Tree) -> DataFrame:
+    """What the rare words and grams of a row of ``asked`` add to each of its documents; ``values``: part, key and either the
+    count n of a word or the value of a gram."""
+    tree = replace(tree, words=None, counts=None, keys=None, values=None, rare=None, nodes=None)
+
+    def run(asked: pa.Table, values: pa.Table) -> pa.Table:
+        key, n, value = (values[c].to_numpy() for c in ("key", "n", "value"))
+        key, gram = key.view(np.uint64), n == 0
+        words, grams = (x[np.argsort(key[x])] for x in (np.flatnonzero(~gram), np.flatnonzero(gram)))
+        counts, added = np.append(n[words], 0), np.append(value[grams], 0.0)  # a place of -1 gives 0
+        words, grams = Places(key[words]), Places(key[grams])
+        out = {x: [] for x in ("doc", "base", "more", "known")}
+        for word, docs, keys in zip(asked["word"], asked["doc"], asked["key"], strict=True):
+            if not word.is_valid:  # what is known already goes on as it is
+                for x in out.values():
+                    x.append(b"")
+                continue
+            doc, key = np.frombuffer(docs.as_py(), np.uint32), np.frombuffer(keys.as_py(), np.uint64)
+            first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+            out["doc"].append(doc[first].tobytes())
+            out["more"].append(np.add.reduceat(added[grams.of(key)], first).tobytes())
+            c = counts[words.of(key)] if word.as_py() else None
+            out["base"].append(b"" if c is None else np.add.reduceat(tree.base(c), first).tobytes())
+            out["known"].append(b"" if c is None else np.add.reduceat(c > 0, first, dtype=np.uint32).tobytes())
+        return pa.table({"first": asked["first"]} | {c: pa.array(x, pa.binary()) for c, x in out.items()} | {"own": asked["own"]})
+
+    return asked.groupBy("part").cogroup(values.groupBy("part")).applyInArrow(run, ANSWERS)
+
+
+def _sums(answers: DataFrame, doc_id: str) -> DataFrame:
+    """Every document with what is known of it and what its rare words and grams add."""
+    def run(rows: pa.Table) -> pa.Table:
+        own = pa.ipc.open_stream(next(x.as_py() for x in rows["own"] if x.is_valid)).read_all()
+        word = np.array([len(x.as_py()) > 0 for x in rows["base"]])
+        doc, of_words = _whole(rows["doc"], "<u4"), _whole(rows["doc"].filter(pa.array(word)), "<u4")
+        base, more, known = (np.bincount(d, _whole(rows[c], k), len(own))
+                             for c, d, k in (("base", of_words, "<f8"), ("more", doc, "<f8"), ("known", of_words, "<u4")))
+        base = base + own["base"].to_numpy()
+        return pa.table({"doc_id": own["doc_id"], "n_tokens": own["n_tokens"], "n_known": own["n_known"].to_numpy() + known.astype(np.int64),
+                         "base_score": base, "score": base + own["more"].to_numpy() + more})
+
+    return answers.groupBy("first").applyInArrow(run, f"doc_id {doc_id}, n_tokens long, n_known long, base_score double, score double")
 
 
 def score_documents(docs: DataFrame, tree: Tree, words: DataFrame, scratch: Scratch) -> DataFrame:
     """``docs`` (doc_id, text) with n_tokens, n_known, base_score and score."""
-    rows = scratch.put(docs.select("doc_id", _scored(docs["text"], tree).alias("s"))
-                       .select("doc_id", F.monotonically_increasing_id().alias("rid"), "s.*"), "scored")
-    rare = rows.select("rid", F.explode(F.arrays_zip("rare", "rare_n", "rare_word")).alias("x")).select(
-        "rid", F.col("x.rare").alias("key"), F.col("x.rare_n").alias("times"), F.col("x.rare_word").alias("word"))
-    known = (words.where(F.col("n") < tree.floor).select("key", "n", F.lit(0.0).alias("value"))
-             .union(tree.nodes.where(F.col("n") < tree.floor).select("key", F.lit(0).cast("long"), "value"))
-             .groupBy("key").agg(F.sum("n").alias("n"), F.sum("value").alias("value")))
-    c = F.coalesce(F.col("n"), F.lit(0))
-    at_root = F.when(F.col("word"), F.log10((c + 0.1) / F.lit(tree.n + 0.1 * (tree.v + 1)))).otherwise(0.0)
-    sums = (rare.join(known, "key", "left").groupBy("rid").agg(
-        F.sum(F.col("times") * at_root).alias("rare_base"),
-        F.sum(F.col("times") * F.coalesce("value", F.lit(0.0))).alias("rare_more"),
-        F.sum(F.when(F.col("word") & (c > 0), F.col("times")).otherwise(0)).alias("more_known")))
-    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
-    return rows.drop("rare", "rare_n", "rare_word").join(sums, "rid", "left").select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        base.alias("base_score"), (base + F.col("more") + F.coalesce("rare_more", F.lit(0.0))).alias("score"))
+    rare = F.col("n") < tree.floor
+    values = (words.where(rare).select("key", "n", F.lit(0.0).alias("value"))
+              .union(tree.nodes.where(rare).select("key", F.lit(0).cast("long"), "value"))
+              .select(F.shiftrightunsigned("key", 64 - tree.bits).cast("int").alias("part"), "key", "n", "value"))
+    return _sums(_answers(_asked(docs, tree), values, tree), docs.schema["doc_id"].dataType.simpleString())
 
 
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

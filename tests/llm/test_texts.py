@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -380,6 +381,35 @@ def test_suffix_tree_base_scores_and_gain(spark, docs, empty):
         assert {r["base_score"] for r in suffixtree.score_documents(df, tree, words, s).collect()} == {0.0}
 
 
+def test_suffix_tree_tokens_of_texts_side_by_side():
+    long = "x" * 64 + "y"
+    texts = ["Ab\tcd", "ef", None, "", " \x0b\x0c\r\n", "ab" + "é" * 40, long + " " + long[:-1], "\x1cab ab\x85ab", "CD AB", "x" * 200 + " x" * 9]
+    seen, want = {}, [[*re.findall(rb"[^\x20\x09-\x0D]+", (x or "").encode().lower()), b" "] for x in texts]
+    for pieces in ([texts], [[x] for x in texts]):
+        got = [(w, n) for x in pieces for w, n in suffixtree._pieces(pa.array(x, pa.string()))]
+        assert np.concatenate([n for _, n in got]).tolist() == [len(x) for x in want]
+        for word, h in zip((w for x in want for w in x), np.concatenate([w for w, _ in got]).tolist(), strict=True):
+            assert seen.setdefault(word, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_suffix_tree_counts_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(suffixtree, "FLUSH_TOKENS", 500)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.2, 100) % 999) for _ in range(60)]
+    hashed = [suffixtree.tokens(np.frombuffer(x.encode(), np.uint8), np.array([len(x)]))[0] for x in texts]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]
+    rows = [b for b in suffixtree._flushed(batches, lambda w, doc: [suffixtree._blocks(2, suffixtree.longer(w), w[:-1], w[1:], 3)])]
+    assert sum(len(b) for b in rows) <= 8 * len(rows)  # packed: not a row a gram, which took more disk than the input
+    df = spark.createDataFrame([(x,) for x in texts], "text string").repartition(3)
+    got = {(r["key"], r["n"]) for r in suffixtree._words(df, 3).collect()}
+    assert got == {(int(np.uint64(w).view(np.int64)), n) for w, n in Counter(np.concatenate(hashed).tolist()).items()}
+    every = suffixtree.Filter(np.full(1, ~np.uint64(0)), 63)
+    want = Counter((a, b) for w in hashed for a, b in zip(w[:-1].tolist(), w[1:].tolist(), strict=True))
+    got = {(r["context"], r["suffix"]): r["n"] for r in suffixtree._grams(df, 3, 2, every, None).collect()}
+    assert got == {tuple(int(np.uint64(x).view(np.int64)) for x in k): n for k, n in want.items() if n >= suffixtree.LEAST}
+
+
 def _suffix_tree_scores(train, texts):
     """Plain Python: score of each text under the tree learnt from ``train``."""
     docs = [[*(t or "").lower().split(), "\n"] for t in train]
