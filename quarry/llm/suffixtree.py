@@ -8,11 +8,12 @@ it diverges from its suffix: if its log-likelihood gain on the training rows exc
 contexts of one and two words are tried, then, length by length, those whose suffix is retained, until none is.  A
 token is scored by the longest retained suffix of what precedes it.
 
-Counting and joining are Spark's: grams, nodes and words are tables by key.  A filter of fixed size only keeps rows that
+Counting and joining are Spark's: grams, nodes and words are tables by key; tasks hand on distinct keys and counts packed in one
+block for each range of keys.  A filter of fixed size only keeps rows that
 cannot matter out of a shuffle; what it lets through wrongly, the joins drop.  A gram's key is also that of the context
 it makes, and scores are sums: a token's is that of the root plus, for every retained context before it, what the context
 changes.  So a document's is the sum of a value for each of its grams.  Keys of at least ``HOT`` of all tokens are looked up
-in the tasks (at most 1 / HOT of each length, whatever the input), all others by a join: this says where, not whether.
+in the tasks (at most 1 / HOT of each length, whatever the input), all others by range of keys: this says where, not whether.
 
 Words are known by 64-bit hashes.  Defined cases: null as empty text (one end token); a null id is learnt from and not
 held out; repeated rows count each time; without training rows every token scores log10(0.1 / 0.1) = 0; extra columns are
