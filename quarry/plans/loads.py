@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from quarry.operators import aggregate, ordering
 from quarry.operators.tfidf import tfidf
 from quarry.plans.tables import table
-from quarry.session import scratch_path
+from quarry.session import delete_path, scratch_path
 from quarry.sources import readers, sinks
 from quarry.sources.keyed import KeyedTable
 
@@ -130,6 +130,7 @@ def packed_tfidf(spark: SparkSession, sf: str) -> DataFrame:
      .write.option("maxRecordsPerFile", DOCS_PER_FILE).json(files))
     packed = scratch_path(spark, "doc-packed")
     readers.pack_small_files(spark, files, packed)
+    delete_path(spark, files)  # all of them are in the container now
     doc_schema = "doc_id BIGINT, text STRING"
     lines = readers.read_packed(spark, packed).where(F.col("filename").endswith(".json")).select(
         F.explode(F.split(F.decode("contents", "UTF-8"), "\n")).alias("line"))

@@ -1,6 +1,8 @@
 """Bloom semi join properties and the TF-IDF fixture (FIXTURES A8)."""
 
 import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,3 +105,31 @@ def test_tfidf_joins_sort_no_postings(spark):
     assert plan.count("ShuffledHashJoin") >= 2 and "SortMergeJoin" not in plan
     assert rows(scored, "word", "doc_id", "n", "total_terms", "doc_freq") == [
         ("cat", 1, 2, 5, 1), ("dog", 1, 2, 5, 2), ("dog", 2, 1, 1, 2), ("owl", 1, 1, 5, 1)]
+
+
+def test_tfidf_postings_stay_in_their_bins(spark):
+    """Only one row a word and bin goes by word; ids in several rows, ids that are null and texts without words are as they were."""
+    texts = ["Dog cat_x the dog 9x", "owl; CAT, dog\u00e9 cat", "", None, "the of 1a _b", "a1 A1 a_1 zebra I"]
+    data = [(f"d{i % 17}" if i % 11 else None, texts[i % len(texts)]) for i in range(120)]
+    scored = tfidf.tfidf(spark.createDataFrame(data, "name string, text string"), "name", "text", places=None)
+    dealt = set(re.findall(r"hashpartitioning\(([^)]*?), \d+\)", re.sub(r"#\d+L?", "", executed_plan(scored))))
+    assert dealt == {"bin", "word"}
+    counts = Counter((w, d) for d, t in data if d for w in re.findall(r"[a-z0-9_]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+                     if re.fullmatch("[a-z][a-z0-9]*", w) and w not in tfidf.STOPWORDS)
+    totals, dfreq = Counter(), Counter(w for w, _ in counts)
+    for (_, d), n in counts.items():
+        totals[d] += n
+    got = {(r["word"], r["name"]): (r["n"], r["total_terms"], r["doc_freq"], r["tfidf"]) for r in scored.collect()}
+    assert got == {(w, d): (n, totals[d], dfreq[w], pytest.approx(n / totals[d] * math.log10(len(data) / dfreq[w]))) for (w, d), n in counts.items()}
+
+
+def test_packed_tfidf_keeps_one_copy_of_the_documents(spark):
+    from pathlib import Path
+
+    from quarry.plans.loads import packed_tfidf
+    from quarry.session import checkpoint_root
+
+    scratch = Path(checkpoint_root(spark).removeprefix("file:")) / "quarry-scratch"
+    before = set(scratch.glob("doc-*"))
+    assert packed_tfidf(spark, "/root/testdata/sf0.001").count() > 0
+    assert [p.name.rsplit("-", 1)[0] for p in set(scratch.glob("doc-*")) - before] == ["doc-packed"]
