@@ -27,6 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import Scratch, mix64, remainder, table
 
 HOT, LEAST, DISCOUNT = 2e-6, 4, 0.5
-FILTER_BITS = 27  # of a filter, at most; a full one only lets more rows through
+FILTER_BITS, PAGE_BITS = 29, 19  # of a filter (64 MB), at most, and of a page of it; a full one only lets more rows through
 STRIDE = 5  # lengths beyond four counted in one reading
 FLUSH_TOKENS, CHUNK_BYTES, PART_BYTES = 500_000, 2_000_000, 1 << 24
 LONG = 64  # bytes of a word that is hashed on its own
@@ -128,6 +129,19 @@ def _flushed(batches, use):
         yield from flush()
 
 
+def _held(batches):
+    """The first column of a partition, so many rows at a time."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch.column(0).to_numpy(zero_copy_only=False))
+        n += len(held[-1])
+        if n >= FLUSH_TOKENS:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if n:
+        yield np.concatenate(held)
+
+
 def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order in which equal keys are neighbours, and where in it each run begins."""
     order = np.argsort(key)
@@ -135,6 +149,11 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
 
 
+def _stable(x: np.ndarray) -> np.ndarray:
+    """Order of numbers from 0, equal ones as they are; short ones are sorted by digits."""
+    return np.argsort(x.astype(np.uint16) if len(x) and x.max() < 1 << 16 else x, kind="stable")
+
+
 def _part(key: np.ndarray, bits: int) -> np.ndarray:
     return (key >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -218,15 +237,35 @@ class Filter:
     words: np.ndarray
     mask: int
 
+    @staticmethod
+    def bits(n: int) -> int:
+        """8 for each of ``n`` keys, or up to twice that."""
+        return min(max((8 * n).bit_length(), 12), FILTER_BITS)
+
     @staticmethod
     def of(keys: DataFrame) -> Filter:
-        mask = (1 << min(max((8 * keys.count()).bit_length(), 12), FILTER_BITS)) - 1
-        got = (keys.selectExpr(f"explode(array(key & {mask}L, shiftrightunsigned(key, 32) & {mask}L)) AS p")
-               .groupBy(F.expr("shiftright(p, 6)").alias("at"))
-               .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toArrow())
-        words = np.zeros((mask + 1) >> 6, np.uint64)
-        words[got["at"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
-        return Filter(words, mask)
+        bits = Filter.bits(keys.count())
+        mask, page = (1 << bits) - 1, min(bits, PAGE_BITS)
+
+        def places(batches):
+            for held in _held(batches):
+                key = held.view(np.uint64)
+                at = np.sort(np.concatenate([key & np.uint64(mask), (key >> np.uint64(32)) & np.uint64(mask)]))
+                cut = np.searchsorted(at, np.arange((1 << bits - page) + 1, dtype=np.uint64) << np.uint64(page))
+                pages, at = np.flatnonzero(cut[1:] > cut[:-1]), (at & np.uint64((1 << page) - 1)).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([pa.array(pages, pa.int32()), pa.array([at[cut[i]:cut[i + 1]].tobytes() for i in pages], pa.binary())],
+                                                 ["page", "at"])
+
+        def filled(rows: pa.Table) -> pa.Table:
+            bit = np.zeros(1 << page, np.uint8)
+            bit[_whole(rows["at"], "<u4")] = 1
+            return pa.table({"page": rows["page"].slice(0, 1), "bits": [np.packbits(bit, bitorder="little").tobytes()]})
+
+        got = keys.select("key").mapInArrow(places, "page int, at binary").groupBy("page").applyInArrow(filled, "page int, bits binary").toArrow()
+        words = np.zeros((1 << bits - page, 1 << page >> 6), "<u8")
+        for i, x in zip(got["page"], got["bits"], strict=True):
+            words[i.as_py()] = np.frombuffer(x.as_buffer(), "<u8")
+        return Filter(words.reshape(-1), mask)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         mask, out = np.uint64(self.mask), np.ones(len(keys), bool)
@@ -314,7 +353,7 @@ def _retained(seen: DataFrame) -> DataFrame:
     gain = F.col("e") - F.col("s") * F.log("t") + (F.col("t") - F.col("s")) * F.log("left")
     by = by.where(gain > 0.5 * F.col("k") * F.log("t") + 2).select("context", F.log10("left").alias("rest"))
     own = F.log10((n - DISCOUNT) / F.col("total"))
-    return seen.join(by, "context", "left").select(
+    return seen.join(by.hint("shuffle_hash"), "context", "left").select(
         "key", "context", "n", "total", "rest", F.when(F.col("rest").isNull(), parent).otherwise(own).alias("logp"),
         F.when(F.col("rest").isNotNull(), own - parent - F.col("rest")).alias("value"))
 
@@ -338,15 +377,15 @@ def learn(train: DataFrame, scratch: Scratch) -> tuple[Tree, DataFrame]:
     common = words.where(F.col("n") >= LEAST)
     frequent = Filter.of(common)
     grams = scratch.put(_grams(train, bits, 2, frequent, None), "grams2")
-    seen = (grams.drop("length").join(common.select(F.col("key").alias("suffix"), at_root.alias("parent")), "suffix")
-            .join(total(common), "context"))
+    seen = (grams.drop("length").join(common.select(F.col("key").alias("suffix"), at_root.alias("parent")).hint("shuffle_hash"), "suffix")
+            .join(total(common).hint("shuffle_hash"), "context"))
     levels, length = [scratch.put(_retained(seen), "level2")], 2
     while True:
         length += 1
         last, shorter, done = levels[-1], grams, None
         kept = last.where("rest IS NOT NULL")
         wanted = shorter if length == 3 else kept.select(F.col("context").alias("key")).distinct()
-        if wanted.isEmpty():
+        if (shorter if length == 3 else kept).isEmpty():
             break
         if length <= 4 or length >= counted:
             if length <= 4:
@@ -358,7 +397,7 @@ def learn(train: DataFrame, scratch: Scratch) -> tuple[Tree, DataFrame]:
         grams = read.where(F.col("length") == length)
         totals = total(shorter if length <= 4 else read.where(F.col("length") == length - 1))
         parents = (last if length == 3 else kept).select(F.col("key").alias("suffix"), F.col("logp").alias("parent"))
-        seen = grams.drop("length").join(parents, "suffix").join(totals, "context")
+        seen = grams.drop("length").join(parents.hint("shuffle_hash"), "suffix").join(totals.hint("shuffle_hash"), "context")
         levels.append(scratch.put(_retained(seen), f"level{length}"))
         del seen, totals, parents
         if done:  # the shorter ones: the next length has the totals it needs in what was read now, or in these
@@ -405,7 +444,8 @@ def _asked(docs: DataFrame, tree: Tree) -> DataFrame:
                 yield row(first, [first % (1 << bits)], own=[sink.getvalue().to_pybytes()])
                 for word, (doc, key) in zip((True, False), rare, strict=True):
                     part = _part(key, bits)
-                    order = np.lexsort((doc, part))
+                    order = _stable(doc)
+                    order = order[_stable(part[order])]
                     key, doc = key[order], doc[order].astype(np.uint32)
                     cut = np.append(0, np.cumsum(np.bincount(part, minlength=1 << bits)))
                     parts = np.flatnonzero(cut[1:] > cut[:-1])
@@ -425,19 +465,28 @@ def _answers(asked: DataFrame, values: DataFrame, tree: Tree) -> DataFrame:
         words, grams = (x[np.argsort(key[x])] for x in (np.flatnonzero(~gram), np.flatnonzero(gram)))
         counts, added = np.append(n[words], 0), np.append(value[grams], 0.0)  # a place of -1 gives 0
         words, grams = Places(key[words]), Places(key[grams])
-        out = {x: [] for x in ("doc", "base", "more", "known")}
-        for word, docs, keys in zip(asked["word"], asked["doc"], asked["key"], strict=True):
-            if not word.is_valid:  # what is known already goes on as it is
-                for x in out.values():
-                    x.append(b"")
-                continue
-            doc, key = np.frombuffer(docs.as_py(), np.uint32), np.frombuffer(keys.as_py(), np.uint64)
-            first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-            out["doc"].append(doc[first].tobytes())
-            out["more"].append(np.add.reduceat(added[grams.of(key)], first).tobytes())
-            c = counts[words.of(key)] if word.as_py() else None
-            out["base"].append(b"" if c is None else np.add.reduceat(tree.base(c), first).tobytes())
-            out["known"].append(b"" if c is None else np.add.reduceat(c > 0, first, dtype=np.uint32).tobytes())
+        out = {x: [b""] * len(asked) for x in ("doc", "base", "more", "known")}  # what is known already goes on as it is
+        word = asked["word"].to_numpy()
+        for of_words in (True, False):
+            rows = np.flatnonzero(word == of_words)  # null is neither
+            sizes = pc.binary_length(asked["doc"].take(pa.array(rows))).to_numpy() // 4
+            for at in np.split(rows, np.flatnonzero(np.diff(np.cumsum(sizes) // FLUSH_TOKENS)) + 1):
+                if not len(at):
+                    continue
+                docs, keys = (asked[c].take(pa.array(at)) for c in ("doc", "key"))
+                doc, key = _whole(docs, "<u4"), _whole(keys, "<u8")
+                begin = np.cumsum(pc.binary_length(docs).to_numpy() // 4)
+                new = np.concatenate([[True], doc[1:] != doc[:-1]])
+                new[begin[:-1]] = True  # of a row
+                first = np.flatnonzero(new)
+                found = {"doc": doc[first], "more": np.add.reduceat(added[grams.of(key)], first)}
+                if of_words:
+                    c = counts[words.of(key)]
+                    found |= {"base": np.add.reduceat(tree.base(c), first), "known": np.add.reduceat(c > 0, first, dtype=np.uint32)}
+                cut = np.append(0, np.searchsorted(first, begin))
+                for name, x in found.items():
+                    for i, row in enumerate(at):
+                        out[name][row] = x[cut[i]:cut[i + 1]].tobytes()
         return pa.table({"first": asked["first"]} | {c: pa.array(x, pa.binary()) for c, x in out.items()} | {"own": asked["own"]})
 
     return asked.groupBy("part").cogroup(values.groupBy("part")).applyInArrow(run, ANSWERS)

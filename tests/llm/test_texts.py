@@ -410,6 +410,19 @@ def test_suffix_tree_counts_in_blocks(spark, monkeypatch):
     assert got == {tuple(int(np.uint64(x).view(np.int64)) for x in k): n for k, n in want.items() if n >= suffixtree.LEAST}
 
 
+def test_suffix_tree_filters_grow_with_their_keys(spark, monkeypatch):
+    assert [suffixtree.Filter.bits(n) for n in (0, 10**6, 40_000_000, 60_000_000)] == [12, 23, 29, 29]  # as of 6 GB: 2 bits a key before
+    monkeypatch.setattr(suffixtree, "FLUSH_TOKENS", 700)
+    monkeypatch.setattr(suffixtree, "PAGE_BITS", 9)
+    keys = np.random.default_rng(5).integers(-2**63, 2**63 - 1, 3000)
+    for part in (keys, keys[:3], keys[:0]):
+        got = suffixtree.Filter.of(spark.createDataFrame([(int(x),) for x in part], "key long").repartition(2))
+        bits = np.unpackbits(got.words.view(np.uint8), bitorder="little")
+        want = np.unique(np.concatenate([part.view(np.uint64) & np.uint64(got.mask), part.view(np.uint64) >> np.uint64(32) & np.uint64(got.mask)]))
+        assert np.flatnonzero(bits).tolist() == want.tolist() and len(bits) == got.mask + 1
+        assert got.has(part.view(np.uint64)).all()
+
+
 def _suffix_tree_scores(train, texts):
     """Plain Python: score of each text under the tree learnt from ``train``."""
     docs = [[*(t or "").lower().split(), "\n"] for t in train]

@@ -123,7 +123,7 @@ def test_tfidf_postings_stay_in_their_bins(spark):
     assert got == {(w, d): (n, totals[d], dfreq[w], pytest.approx(n / totals[d] * math.log10(len(data) / dfreq[w]))) for (w, d), n in counts.items()}
 
 
-def test_packed_tfidf_keeps_one_copy_of_the_documents(spark):
+def test_packed_tfidf_keeps_one_copy_of_the_documents(spark, tmp_path):
     from pathlib import Path
 
     from quarry.plans.loads import packed_tfidf
@@ -131,5 +131,6 @@ def test_packed_tfidf_keeps_one_copy_of_the_documents(spark):
 
     scratch = Path(checkpoint_root(spark).removeprefix("file:")) / "quarry-scratch"
     before = set(scratch.glob("doc-*"))
-    assert packed_tfidf(spark, "/root/testdata/sf0.001").count() > 0
+    spark.createDataFrame([(1, "dog cat"), (2, "dog"), (3, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert rows(packed_tfidf(spark, str(tmp_path)), "word", "doc_id", "n") == [("cat", 1, 1), ("dog", 1, 1), ("dog", 2, 1)]
     assert [p.name.rsplit("-", 1)[0] for p in set(scratch.glob("doc-*")) - before] == ["doc-packed"]
